@@ -24,6 +24,12 @@ def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text")
 
 
+def op3_weak_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.weak_label import classify
+
+    return classify(_table(spark, sf_dir, "documents")).drop("text")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.line_dedup import dedup_lines
 
@@ -42,14 +48,50 @@ def op5_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(messages_as_events(rows)))
 
 
+def op6_shard_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.sharding import shard_documents
+
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
+def op7_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.jaccard import jaccard_classes
+
+    return jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
+def op8_piece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from curatrix.llm.wfst import encode_documents
+
+    docs = _table(spark, sf_dir, "documents")
+    coded = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "n_bytes", F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.secrets import scan_secrets
 
     return scan_secrets(_table(spark, sf_dir, "documents")).drop("text", "redacted")
 
 
+def op10_pivot_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.pivots import cosine_links
+
+    return cosine_links(_table(spark, sf_dir, "embeddings"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    return {k: v for k, v in globals().items() if (k.startswith("op") or k == "pipeline") and callable(v)}
 
 
 _KEYS = r"""
@@ -58,6 +100,23 @@ k as (select doc_id, i, ls[i] as line, translate(regexp_replace(ls[i], '^[\x20\x
 """
 
 ORACLES = {
+    "op7_jaccard_forest": r"""with recursive
+w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+  else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as (select c.a, c.b from c join n x on c.a = x.doc_id join n y on c.b = y.doc_id where c.k >= 0.8 * (x.n + y.n - c.k)),
+r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on r.b = e.a)
+select d.doc_id, min(r.b) as class_id, (select count(*) from e where e.a = d.doc_id) as n_links, d.doc_id = min(r.b) as kept
+from documents d join r on r.a = d.doc_id group by d.doc_id""",
+    "op10_pivot_neardup": r"""with recursive
+v as (select vec_id, cast(embedding as double[]) as x from embeddings),
+g as (select vec_id, x from v where x is not null and len(list_filter(x, lambda y: y is null or not isfinite(y))) = 0 and list_dot_product(x, x) > 0),
+e as (select a.vec_id as a, b.vec_id as b from g a join g b on a.vec_id <> b.vec_id where list_cosine_similarity(a.x, b.x) >= 0.9),
+r as (select vec_id as a, vec_id as b from embeddings union select r.a, e.b from r join e on r.b = e.a)
+select d.vec_id, (select count(*) from e where e.a = d.vec_id) as n_links, min(r.b) as component_id, d.vec_id = min(r.b) as kept
+from embeddings d join r on r.a = d.vec_id group by d.vec_id""",
     "op4_line_dedup": f"""with {_KEYS},
 f as (select key, max(doc_id) as holder from k where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
 d as (select k.doc_id, k.i, k.line, f.key is not null and f.holder <> k.doc_id as gone from k left join f on k.key = f.key)
