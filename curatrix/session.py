@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +21,21 @@ def local_session(cpus: int, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to ``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
+    sc = spark.sparkContext
     if not (sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()):
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
+    return (sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()).rstrip("/")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -6,7 +6,7 @@ import gzip
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
@@ -95,6 +95,16 @@ def read_run_info(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.select("run", T.finite(F.col("j.p_pseudoaligned")).alias("mapping_rate"), F.coalesce("j.quant_backend", F.lit("kallisto")).alias("backend"), F.coalesce("j.length_model", F.lit("effective")).alias("length_model"))
 
 
+def read_quant_model(rows: DataFrame) -> DataFrame:
+    """Backend and length model per run; blanks are the defaults, a blank or repeated run raises."""
+    def given(c: str, default: str) -> Column:
+        return F.when(T.is_blank(F.col(c)), default).otherwise(T.trimmed(F.col(c))).alias(c)
+
+    out = rows.select(T.trimmed(F.col("run")).alias("run"), given("backend", "kallisto"), given("length_model", "effective"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("run"))
+    return raise_if(out.withColumn("_n", n), (F.col("_n") > 1) | (F.col("run") == ""), "runs must be given once").drop("_n")
+
+
 def merge_stage_stats(meta: DataFrame, stats: DataFrame, columns: list[str]) -> DataFrame:
     return meta.join(stats.select("run", *columns), "run", "left")
 
