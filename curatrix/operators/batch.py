@@ -6,6 +6,7 @@ Every pass runs over blocks of targets and brings back sums of runs-by-runs size
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -137,6 +138,42 @@ def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> i
     return int((p <= SV_LEVEL).sum())
 
 
+def _first(hit: np.ndarray, after: int, default: int) -> int:
+    at = np.flatnonzero(hit[after:])
+    return int(at[0]) + after if len(at) else default
+
+
+def num_sv_leek(m: RunMatrix, design: np.ndarray, parts: int = 10, steps: int = 100) -> int:
+    """How many eigenvalues stay above a threshold that shrinks with the number of targets.
+
+    Targets are dealt into tenths by a hash of their id; growing unions of tenths each give the eigenvalues of the residual
+    gram less the noise level. Among the thresholds, the stretch where the count has settled over the unions decides.
+    """
+    n, keep = m.n, np.eye(m.n) - hat(design)
+
+    def tenths(x: np.ndarray, ids: list[str]) -> np.ndarray:
+        x, of = np.nan_to_num(x), np.array([zlib.crc32(i.encode()) % parts for i in ids])
+        out = np.zeros((parts, n * n + 1))
+        for j in range(parts):
+            y = x[of == j]
+            out[j, :-1], out[j, -1] = (y.T @ y).ravel(), len(y)
+        return out
+
+    grown = np.cumsum(m.sums(tenths, with_ids=True), axis=0)
+    scale, count = np.linspace(0, 2, steps), np.zeros((steps, parts))
+    for j, row in enumerate(grown):
+        gram, size = row[:-1].reshape(n, n), max(row[-1], 1.0)
+        noise = np.linalg.eigvalsh(gram)[0] / size
+        w = np.linalg.eigvalsh(keep @ gram @ keep / size - noise * keep)
+        count[:, j] = (w[None, :] > (scale * size ** (-1 / 3) * n)[:, None]).sum(1)
+    spread = count.var(axis=1, ddof=1)
+    rise = _first(spread > 2 * spread[0], 0, 0)
+    settled = _first(spread < spread[0] / 2, rise + 1, 0)
+    leaves = _first(spread > spread[0], settled + 1, steps - 1)
+    values, times = np.unique(count[settled : leaves + 1, -1], return_counts=True)
+    return int(min(max(values[times.argmax()], 0), max(0, n - design.shape[1] - 1)))
+
+
 Z_EDGES = np.linspace(-8, 8, 321)
 Z_MID = (Z_EDGES[:-1] + Z_EDGES[1:]) / 2
 _PHI = np.array([0.5 * math.erfc(-z / 2**0.5) for z in Z_EDGES])

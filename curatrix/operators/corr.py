@@ -159,6 +159,13 @@ def cross_species_group_means(expr: DataFrame, meta: DataFrame) -> DataFrame:
     return counts.join(means, ["species", "sample_group"])
 
 
+def delta_test(gaps: DataFrame) -> DataFrame:
+    """Paired t statistics of the gaps, first against last round, over species; more than two are needed."""
+    out = gaps.select((F.col("between_first") - F.col("between_last")).alias("b"), (F.col("within_first") - F.col("within_last")).alias("w"))
+    t = lambda c: F.when(F.count(c) > 2, F.try_divide(F.avg(c) * F.sqrt(F.count(c)), F.stddev_samp(c)))
+    return out.agg(F.count("b").alias("n"), t("b").alias("t_between"), t("w").alias("t_within"))
+
+
 def delta_pcc(rounds: DataFrame) -> DataFrame:
     """Per species, first against last round: the gaps |bwbw - wibw| and |bwwi - wiwi|."""
     first, last = (lambda c: F.min_by(c, "round")), (lambda c: F.max_by(c, "round"))

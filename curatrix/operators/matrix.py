@@ -31,14 +31,14 @@ class RunMatrix:
         cells = expr.select("target_id", "run", T.finite(F.col("value")).alias("value")).join(F.broadcast(order), "run")  # MAX_RUNS rows at most
         self.rows = cells.groupBy("target_id").agg(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value"))).alias("c")).select("target_id", F.transform("c", lambda x: x["i"]).alias("i"), F.transform("c", lambda x: x["value"]).alias("v"))
 
-    def sums(self, f: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-        """The sum over all blocks of a small matrix that ``f`` makes of each."""
+    def sums(self, f: Callable[..., np.ndarray], with_ids: bool = False) -> np.ndarray:
+        """The sum over all blocks of a small matrix that ``f`` makes of each (and of its target ids, if asked)."""
         n = self.n
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = None
             for pdf in batches:
-                m = f(_block(pdf, n))
+                m = f(_block(pdf, n), pdf["target_id"].tolist()) if with_ids else f(_block(pdf, n))
                 total = m if total is None else total + m
             if total is not None:
                 r, c = np.indices(total.shape)

@@ -74,6 +74,12 @@ def num_sv_be(spark, d):
     return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumn("n_sv", F.lit(n))
 
 
+@query()
+def num_sv_leek(spark, d):
+    m, _, x = _design(spark, d)
+    return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumn("n_sv", F.lit(G.num_sv_leek(m, x)))
+
+
 @query()
 def local_fdr(spark, d):
     m, _, x = _design(spark, d)

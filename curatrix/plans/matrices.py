@@ -291,8 +291,20 @@ def cross_species_group_means(spark, d):
     return C.cross_species_group_means(B.expr(spark, d), B.expr_meta(spark, d))
 
 
-@query("with r as (select user_id % 7 as species, event_id // 1000 as round, avg(value) as a, max(value) as b, min(value) as c, median(value) as e from events group by all) select species, abs(arg_min(a, round) - arg_min(b, round)) as between_first, abs(arg_max(a, round) - arg_max(b, round)) as between_last, abs(arg_min(c, round) - arg_min(e, round)) as within_first, abs(arg_max(c, round) - arg_max(e, round)) as within_last from r group by 1")
+DELTA = "with r as (select user_id % 7 as species, event_id // 1000 as round, avg(value) as a, max(value) as b, min(value) as c, median(value) as e from events group by all) select species, abs(arg_min(a, round) - arg_min(b, round)) as between_first, abs(arg_max(a, round) - arg_max(b, round)) as between_last, abs(arg_min(c, round) - arg_min(e, round)) as within_first, abs(arg_max(c, round) - arg_max(e, round)) as within_last from r group by 1"
+
+
+@query(DELTA)
 def delta_pcc(spark, d):
+    return _gaps(spark, d)
+
+
+@query(f"with g as ({DELTA}) select count(*) as n, avg(between_first - between_last) * sqrt(count(*)) / stddev_samp(between_first - between_last) as t_between, avg(within_first - within_last) * sqrt(count(*)) / stddev_samp(within_first - within_last) as t_within from g")
+def delta_pcc_test(spark, d):
+    return C.delta_test(_gaps(spark, d))
+
+
+def _gaps(spark, d):
     e = B.table(spark, d, "events").groupBy((F.col("user_id") % 7).alias("species"), F.floor(F.col("event_id") / 1000).alias("round"))
     return C.delta_pcc(e.agg(F.avg("value").alias("bwbw"), F.max("value").alias("wibw"), F.min("value").alias("bwwi"), F.median("value").alias("wiwi")))
 

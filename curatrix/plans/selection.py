@@ -362,11 +362,25 @@ def fastq_stem_mate(spark, d):
     return B.reads(spark, d).select("core", T.read_file_stem(name).alias("stem"), T.read_file_mate(name).alias("mate"))
 
 
-@query(cte("reads") + " select core, coalesce(mate, 1) as mate, '@'||core||'/'||coalesce(mate, 1) as renamed from reads")
-def read_core(spark, d):
+def _headers(spark, d):
     header = F.when(F.col("ordinal") % 2 == 0, F.concat(F.lit("@"), "core", F.lit("/"), F.coalesce("mate", F.lit(1)), F.lit(" extra"))).otherwise(F.concat(F.lit("@"), "core", F.lit(" "), F.coalesce("mate", F.lit(1)), F.lit(":N:0")))
-    rows = B.reads(spark, d).select(T.read_core(header).alias("core"), T.read_mate(header).alias("mate"))
-    return rows.withColumn("renamed", T.mate_header(F.col("core"), F.col("mate")))
+    return B.reads(spark, d).select(F.col("core").alias("id"), header.alias("header"))
+
+
+@query(cte("reads") + " select core as id, core from reads")
+def read_core(spark, d):
+    return _headers(spark, d).select("id", T.read_core(F.col("header")).alias("core"))
+
+
+@query(cte("reads") + " select core as id, coalesce(mate, 1) as mate from reads")
+def read_mate(spark, d):
+    return _headers(spark, d).select("id", T.read_mate(F.col("header")).alias("mate"))
+
+
+@query(cte("reads") + " select core as id, '@'||core||'/'||coalesce(mate, 1) as renamed from reads")
+def rename_header(spark, d):
+    h = F.col("header")
+    return _headers(spark, d).select("id", T.mate_header(T.read_core(h), T.read_mate(h)).alias("renamed"))
 
 
 @query("select p_partkey, cast(floor(p_retailprice + 0.5) as bigint) as x from part")

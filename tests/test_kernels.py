@@ -95,6 +95,7 @@ def test_surrogates_find_the_hidden_factor(spark):
     x, groups, hidden = planted()
     m, d = X.RunMatrix(long(spark, x)), G.design_matrix(groups)
     assert G.num_sv_be(m, d, b=10) == 1
+    assert G.num_sv_leek(m, d) == 1
     sv = G.sva_factors(m, d, 1, rounds=3)
     h = hidden - G.hat(d) @ hidden
     s = sv[:, 0] - G.hat(d) @ sv[:, 0]
