@@ -65,20 +65,25 @@ class PieceTransducer:
         self.scores: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.bytes: dict[int, int] = {}
-        self.text: list[str | int | None] = []
+        self.spelled: list[bytes] = []
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-                self.text.append(int(piece[3:5], 16))
+                self.spelled.append(bytes.fromhex(piece[3:5]))
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
-                self.text.append(None)
+                self.spelled.append(b"")
             else:
                 self.ids[piece], self.scores[piece] = i, sp.get_score(i)
-                self.text.append(piece)
+                self.spelled.append(piece.replace(SPACE, " ").encode())
         self.unknown = sp.unk_id()
         self.longest = max(map(len, self.ids))
         self.letters = {p for p in self.ids if len(p) == 1}
+        sizes: dict[str, set[int]] = {}
+        for piece in self.ids:
+            sizes.setdefault(piece[:2], {1}).add(len(piece))
+        #: Piece lengths by the first two characters, longest first.
+        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces span words")
         # a line end without a piece of its own ends a chunk, since no arc crosses it
@@ -116,20 +121,21 @@ class PieceTransducer:
 
     def _finite_path(self, s: str) -> list[str]:
         """The one path of finite weight through a chunk of known characters."""
-        ids, path, dead, at = self.ids, [], set(), 0
-        size = min(self.longest, len(s))
-        while at < len(s):
-            left = path[-1] if path else ""
-            for n in range(min(size, len(s) - at), 0, -1):
-                t = s[at : at + n]
-                if t in ids and at + n not in dead and self.may_follow(left, t):
-                    path.append(t)
-                    at += n
-                    break
+        ids, follows, lengths, path, dead, at, stop, left = self.ids, self.follows, self.lengths, [], set(), 0, len(s), ""
+        while at < stop:
+            for n in lengths.get(s[at : at + 2], (1,)):
+                end = at + n
+                t = s[at:end]
+                if t in ids and end <= stop and end not in dead:
+                    ok = follows.get((left, t))
+                    if ok or ok is None and self.may_follow(left, t):
+                        path.append(t)
+                        left, at = t, end
+                        break
             else:
                 dead.add(at)
                 at -= len(path.pop())
-            size = self.longest
+                left = path[-1] if path else ""
         return path
 
     def _shortest_path(self, s: str) -> list[str]:
@@ -155,6 +161,9 @@ class PieceTransducer:
                 out.extend(self.ids[p] for p in (self._finite_path(s) if self.kind == BPE else self._shortest_path(s)))
                 run.clear()
 
+        if self.letters.issuperset(chunk):
+            run.extend(chunk)
+            chunk = ""
         for c in chunk:
             if c in self.letters:
                 run.append(c)
@@ -178,14 +187,7 @@ class PieceTransducer:
             return b"".join([known[p] for p in parts])
 
     def decode(self, ids: np.ndarray) -> str:
-        out, table = [], self.text
-        for i in ids.tolist():
-            p = table[i]
-            if isinstance(p, str):
-                out.append(p.encode("utf-8", "surrogatepass"))
-            elif p is not None:
-                out.append(bytes((p,)))
-        text = b"".join(out).decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -203,7 +205,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model_path)
-        singles = np.zeros(len(t.text), bool)
+        singles = np.zeros(len(t.spelled), bool)
         singles[list(t.bytes.values())] = True
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
