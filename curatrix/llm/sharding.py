@@ -18,6 +18,7 @@ SHARDS = 24
 ROUNDS = 4
 #: Ranks inside a shard are counted by so many buckets of linked, and as many of unlinked, documents.
 BUCKETS = 128
+HOT = 1000
 
 
 def _pick(values: list, by: Column) -> Column:
@@ -29,6 +30,15 @@ def _share(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 20)) / float(1 << 20)
 
 
+def join_by_key(rows: DataFrame, keyed: DataFrame, size: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with one row per key; keys that hold over a HOT-th of all rows are few, whatever the input, and are
+    sent to every task, so their members stay where they are."""
+    hot = F.broadcast(keyed.where(F.col(size) * HOT > n_rows).drop(size).withColumn("_hot", F.lit(True)))  # under HOT rows
+    at_once = rows.join(hot, ["k1", "k2"], "left")
+    rest = at_once.where("_hot is null").select(*rows.columns).join(keyed.where(F.col(size) * HOT <= n_rows).drop(size), ["k1", "k2"], how)
+    return at_once.where("_hot").select(*rest.columns).unionByName(rest)
+
+
 def accepted(room: list[float], flow: dict[tuple[int, int], int]) -> list[float]:
     """The share of its applicants that each shard takes: what leaves a shard makes room in it, so swaps need none."""
     share = [1.0] * len(room)
@@ -59,9 +69,9 @@ def propagate(rows: DataFrame, n_rows: int, shards: int = SHARDS, rounds: int =
             .agg(F.sum("n").alias("members"), F.max("n").alias("most"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), F.xxhash64("k1", "shard").alias("tie"), "shard", "free"))).alias("found"))
             .withColumn("found", F.filter("found", lambda x: x["free"] | (-x["n"] == F.col("most"))))
             .withColumn("good", F.transform(F.slice("found", 1, F.ceil(F.col("members") / F.lit(float(quota))).cast("int")), lambda x: x["shard"]))
-            .select("k1", "k2", "good")
+            .select("k1", "k2", "good", "members")
         )
-        wish = rows.where("linked").join(best, ["k1", "k2"])
+        wish = join_by_key(rows.where("linked"), best, "members", n_rows)
         to = F.element_at("good", (F.pmod(F.xxhash64("rid", F.lit(step)), F.size("good")) + 1).cast("int"))
         wish = wish.withColumn("to", F.when(F.array_contains("good", F.col("shard")), F.col("shard")).otherwise(to)).drop("good")
         wish = materialize(wish.unionByName(rows.where("not linked").withColumn("to", F.col("shard"))), "wishes")
@@ -121,7 +131,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     ).withColumn("rid", F.xxhash64("doc_id", "k1", "row")).drop("row").withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
     rows = materialize(rows, "documents")
     n_rows = rows.count()
-    groups = rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("several"))
-    rows = rows.join(groups, ["k1", "k2"], "left").withColumn("linked", F.coalesce("several", F.lit(False))).drop("several")
+    groups = rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("several"), "count")
+    rows = join_by_key(rows, groups, "count", n_rows, "left").withColumn("linked", F.coalesce("several", F.lit(False))).drop("several")
     done = even_out(propagate(materialize(rows, "linked"), n_rows, shards, rounds), n_rows, shards)
     return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
