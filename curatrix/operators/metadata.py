@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
+from curatrix.session import checkpointed
 
 
 def raise_if(df: DataFrame, bad: Column, message: str) -> DataFrame:
@@ -131,10 +132,24 @@ def run_difference(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.select("run").distinct().join(after.select("run"), "run", "left_anti")
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Rows with their number (from 1) in a total order, without bringing them into one task.
+
+    A range-sorted, written table keeps its partitions; the driver gets a count per partition.
+    """
+    rows = checkpointed(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+    before, at = [], 0
+    for part, n in sorted(rows.groupBy("_part").count().collect()):
+        before.append((part, at))
+        at += n
+    offsets = df.sparkSession.createDataFrame(before, "_part int, _before long")  # a row per partition
+    number = F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1
+    return rows.join(F.broadcast(offsets), "_part").withColumn(name, number.cast("int")).drop("_id", "_part", "_before")
+
+
 def run_order(meta: DataFrame, position: str) -> DataFrame:
     """The column order of a matrix: group, species, project, then the order given."""
-    order = Window.partitionBy(F.lit(0)).orderBy("sample_group", "scientific_name", "bioproject", position)
-    return meta.withColumn("run_pos", F.row_number().over(order))
+    return numbered(meta, ["sample_group", "scientific_name", "bioproject", position], "run_pos")
 
 
 def batch_slice(meta: DataFrame, scope: str, n: int, position: str) -> DataFrame:

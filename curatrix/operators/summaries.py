@@ -21,8 +21,11 @@ def top_values(meta: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
     """The most frequent non-blank values of each column, ties by value."""
     pairs = meta.select(F.explode(F.array(*[F.struct(F.lit(c).alias("item"), T.trimmed(F.col(c)).alias("value")) for c in columns])).alias("x")).select("x.*").where("value <> ''")
     counted = pairs.groupBy("item", "value").agg(F.count(F.lit(1)).alias("n"))
+    # first within slices of the values, so that a column with many values is not ranked in one task
+    some = F.row_number().over(Window.partitionBy("item", "slice").orderBy(F.desc("n"), "value"))
+    few = counted.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(64))).withColumn("_r", some).where(F.col("_r") <= top)
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "value"))
-    return counted.withColumn("rank", rank).where(F.col("rank") <= top)
+    return few.select("item", "value", "n", rank.alias("rank")).where(F.col("rank") <= top)
 
 
 def normalization_summary(meta: DataFrame) -> DataFrame:
