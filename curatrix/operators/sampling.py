@@ -16,28 +16,39 @@ def _eligible(meta: DataFrame) -> DataFrame:
     return meta.withColumn("_ok", T.is_kept(F.col("exclusion")))
 
 
-def _label(ranked: DataFrame, n: int) -> DataFrame:
-    return ranked.withColumn("is_sampled", F.when(F.col("_ok") & (F.col("_rank") <= n), "yes").otherwise("no")).drop(*[c for c in ranked.columns if c.startswith("_")])
+SLICES = 64
+
+
+def _label(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """``is_sampled`` for the first n eligible rows of each (species, group).
+
+    Rows are ranked within slices of a group first; only those among a slice's first n are ranked against each other,
+    so no task sorts a whole large group.
+    """
+    keys = ["scientific_name", "sample_group"]
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("run", "bioproject"), F.lit(SLICES)))
+    some = F.row_number().over(Window.partitionBy(*keys, "_ok", "_slice").orderBy(*order))
+    cell = F.when(F.col("_ok") & (F.col("_some") <= n), -1).otherwise(F.col("_slice"))
+    ranked = sliced.withColumn("_some", some).withColumn("_cell", cell)
+    rank = F.row_number().over(Window.partitionBy(*keys, "_ok", "_cell").orderBy(*order))
+    out = ranked.withColumn("_rank", rank).withColumn("is_sampled", F.when((F.col("_cell") == -1) & (F.col("_rank") <= n), "yes").otherwise("no"))
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
 def sample_max_diversity(meta: DataFrame, n: int, seed: int) -> DataFrame:
     """Up to n runs per (species, group), round by round over the projects in random order."""
-    group = ["scientific_name", "sample_group", "_ok"]
-    inner = Window.partitionBy(*group, "bioproject").orderBy(random_key(seed, "run"), "run")
-    ranked = _eligible(meta).withColumn("_round", F.row_number().over(inner))
-    outer = Window.partitionBy(*group).orderBy("_round", random_key(seed, "bioproject", "_round"), "bioproject")
-    return _label(ranked.withColumn("_rank", F.row_number().over(outer)), n)
+    inner = Window.partitionBy("scientific_name", "sample_group", "_ok", "bioproject").orderBy(random_key(seed, "run"), "run")
+    rounds = _eligible(meta).withColumn("_round", F.row_number().over(inner))
+    return _label(rounds, [F.col("_round"), random_key(seed, "bioproject", "_round"), F.col("bioproject")], n)
 
 
 def sample_by_project_size(meta: DataFrame, n: int, seed: int, largest_first: bool = True) -> DataFrame:
     """Whole projects by size, ties in random order, until n runs are chosen."""
-    group = ["scientific_name", "sample_group", "_ok"]
-    sized = _eligible(meta).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(*group, "bioproject")))
-    size = F.desc("_size") if largest_first else F.asc("_size")
-    order = Window.partitionBy(*group).orderBy(size, random_key(seed, "bioproject"), "bioproject", random_key(seed, "run"), "run")
-    return _label(sized.withColumn("_rank", F.row_number().over(order)), n)
+    size = F.count(F.lit(1)).over(Window.partitionBy("scientific_name", "sample_group", "_ok", "bioproject"))
+    sized = _eligible(meta).withColumn("_size", size)
+    by_size = F.desc("_size") if largest_first else F.asc("_size")
+    return _label(sized, [by_size, random_key(seed, "bioproject"), F.col("bioproject"), random_key(seed, "run"), F.col("run")], n)
 
 
 def sample_random(meta: DataFrame, n: int, seed: int) -> DataFrame:
-    order = Window.partitionBy("scientific_name", "sample_group", "_ok").orderBy(random_key(seed, "run"), "run")
-    return _label(_eligible(meta).withColumn("_rank", F.row_number().over(order)), n)
+    return _label(_eligible(meta), [random_key(seed, "run"), F.col("run")], n)
