@@ -22,7 +22,7 @@ COSINE = 0.9
 NEAREST, SHARED = 4, 1
 #: Pivots grow with the root of the number of vectors between these bounds; alike ones are dropped.
 LEAST_PIVOTS, MOST_PIVOTS, PIVOT_COSINE = 64, 4096, 0.7
-LIST_BLOCK = 1024
+LIST_BLOCK = 256
 
 
 def _unit(rows: list) -> np.ndarray:
