@@ -22,6 +22,8 @@ from curatrix.llm.quality_rules import BITS, _chunks, _grams, base_counts
 #: Documents that the scorer is fitted on, chosen by a hash of their id. A documented bound.
 SAMPLE = 20_000
 EPOCHS = 4
+#: Tasks that fit the scorer, so that each sees enough of the sample, into however many splits the table falls.
+FITTERS = 8
 SCALE, RATE = 100.0, 0.5
 GOOD, BAD = 1, 2  # a vote; 0 abstains
 
@@ -108,7 +110,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[int, float], np.nda
     table = dict(zip(codes.tolist(), post.tolist()))
 
     part = min(1.0, sample / counts.sum())
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).select("text")
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).select("text").repartition(FITTERS)
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
