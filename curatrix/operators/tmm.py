@@ -67,6 +67,7 @@ def centred(factors: DataFrame) -> DataFrame:
 
 def tmm_normalize(counts: DataFrame, libraries: DataFrame | None = None) -> DataFrame:
     """Two rounds: the second takes the run with the first round's median factor as reference."""
+    counts = checkpointed(counts)  # read by six passes
     libraries = library_sizes(counts) if libraries is None else libraries
     first = centred(tmm_factor(counts, libraries, reference_run(counts, upper_quartile_factor(counts, libraries))))
     return centred(tmm_factor(counts, libraries, reference_run(counts, first, "median")))
@@ -94,5 +95,5 @@ def cstmm(ortholog_counts: DataFrame, all_counts: DataFrame) -> DataFrame:
     from curatrix.operators.expression import impute_row_mean
 
     libraries = checkpointed(library_sizes(all_counts).where("library_size > 0"))
-    cells = checkpointed(impute_row_mean(ortholog_counts.join(libraries.select("run"), "run", "left_semi")))
+    cells = impute_row_mean(ortholog_counts.join(libraries.select("run"), "run", "left_semi"))
     return tmm_normalize(cells, libraries)
