@@ -10,30 +10,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table; one that is stored in fewer pieces than there are cores is dealt out to all of them."""
+    docs, cores = _table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+
+
 def op1_pack_bfd(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from curatrix.llm.packing import pack_documents
 
-    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.quality_rules import quality_rules
 
-    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text")
+    return quality_rules(_documents(spark, sf_dir), _table(spark, sf_dir, "labels")).drop("text")
 
 
 def op3_weak_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.weak_label import classify
 
-    return classify(_table(spark, sf_dir, "documents")).drop("text")
+    return classify(_documents(spark, sf_dir)).drop("text")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.line_dedup import dedup_lines
 
-    kept = dedup_lines(_table(spark, sf_dir, "documents"))
+    kept = dedup_lines(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -51,13 +57,13 @@ def op5_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_shard_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.sharding import shard_documents
 
-    return shard_documents(_table(spark, sf_dir, "documents"))
+    return shard_documents(_documents(spark, sf_dir))
 
 
 def op7_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.jaccard import jaccard_classes
 
-    return jaccard_classes(_table(spark, sf_dir, "documents"))
+    return jaccard_classes(_documents(spark, sf_dir))
 
 
 def op8_piece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +71,7 @@ def op8_piece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from curatrix.llm.wfst import encode_documents
 
-    docs = _table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     coded = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "n_bytes", F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -75,7 +81,7 @@ def op8_piece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.secrets import scan_secrets
 
-    return scan_secrets(_table(spark, sf_dir, "documents")).drop("text", "redacted")
+    return scan_secrets(_documents(spark, sf_dir)).drop("text", "redacted")
 
 
 def op10_pivot_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
