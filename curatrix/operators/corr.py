@@ -11,6 +11,8 @@ from curatrix.functions import text as T
 from curatrix.operators.tmm import average_rank
 
 RUN_BLOCK, TARGET_CHUNK = 256, 4096
+# Most runs in a block of Kendall's tau, and about how many cells.
+KENDALL_RUNS, KENDALL_CELLS = 64, 1 << 18
 # Pair classes, by same or other project and group.
 CLASSES = ("bwbw", "wibw", "bwwi", "wiwi")
 
@@ -72,27 +74,69 @@ def correlation_matrix(expr: DataFrame, method: str = "pearson") -> DataFrame:
     return sums.select("run_a", "run_b", F.col("n").alias("n_pairs"), pearson_from_sums().alias("r"))
 
 
+def _equal_pairs(ranked: np.ndarray) -> np.ndarray:
+    """Per column of a sorted array: pairs of equal values."""
+    at = np.arange(len(ranked))[:, None]
+    new = np.vstack([np.ones((1, ranked.shape[1]), bool), ranked[1:] != ranked[:-1]])
+    return (at - np.maximum.accumulate(np.where(new, at, 0), axis=0)).sum(0)
+
+
+def _inversions(y: np.ndarray) -> np.ndarray:
+    """Per column: pairs out of order, by merges of sorted halves; infinite values at the end are in order."""
+    n, m = y.shape
+    y = np.vstack([y, np.full(((1 << max(n - 1, 0).bit_length()) - n, m), np.inf)])
+    width, out = 1, np.zeros(m, np.int64)
+    while width < len(y):
+        halves = y.reshape(-1, 2 * width, m)
+        order = np.argsort(halves, axis=1, kind="stable")
+        right = order >= width
+        out += ((width - np.cumsum(~right, axis=1)) * right).sum((0, 1))
+        y = np.take_along_axis(halves, order, axis=1).reshape(len(y), m)
+        width *= 2
+    return out
+
+
+def kendall_taus(x: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and tau-b of ``x`` with each column of ``ys`` over rows where both are there, by sorting; NaN is missing."""
+    both = np.isfinite(x)[:, None] & np.isfinite(ys)
+    n = both.sum(0).astype(np.int64)
+    a, b = np.where(both, x[:, None], np.inf), np.where(both, ys, np.inf)
+    order = np.lexsort((b, a), axis=0)
+    a, b = np.take_along_axis(a, order, axis=0), np.take_along_axis(b, order, axis=0)
+    # rows without both come last and are all equal
+    gone = (len(x) - n) * (len(x) - n - 1) // 2
+    new = np.vstack([np.ones((1, a.shape[1]), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    tx, ty, txy = _equal_pairs(a) - gone, _equal_pairs(np.sort(b, axis=0)) - gone, _equal_pairs(np.cumsum(new, axis=0)) - gone
+    total = n * (n - 1) // 2
+    den = np.sqrt((total - tx).astype(float) * (total - ty))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return n, np.where(den > 0, (total - tx - ty + txy - 2 * _inversions(b)) / den, np.nan)
+
+
 def kendall_matrix(expr: DataFrame) -> DataFrame:
-    """Kendall's tau-b of run pairs, from pairs of blocks of runs."""
+    """Kendall's tau-b of run pairs, from pairs of blocks of runs; pairs out of order are counted by sorting.
+
+    The more targets, the fewer runs in a block: a task holds about ``2 * KENDALL_CELLS`` cells, or two runs.
+    """
     cells = expr.select("target_id", "run", T.finite(F.col("value")).alias("value")).where("value is not null")
-    n = cells.agg(F.greatest(F.lit(1), F.ceil(F.count_distinct("run") / F.lit(16.0))).cast("int").alias("blocks"))
+    size = F.greatest(F.lit(1), F.least(F.lit(KENDALL_RUNS), F.floor(F.lit(KENDALL_CELLS) / F.greatest(F.lit(1), F.max("k")))))
+    n = cells.groupBy("run").agg(F.count(F.lit(1)).alias("k")).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias("blocks"))
     dealt = cells.crossJoin(F.broadcast(n)).withColumn("mine", F.pmod(F.xxhash64("run"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
 
     def taus(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = key
         wide = pdf.pivot_table(index="target_id", columns="run", values="value", aggfunc="first")
-        mine = pdf.drop_duplicates("run").set_index("run")["mine"]
+        runs, v = wide.columns.to_numpy(), wide.to_numpy(float)
+        mine = pdf.drop_duplicates("run").set_index("run")["mine"].reindex(runs).to_numpy()
         out = []
-        runs = list(wide.columns)
-        for a, x in enumerate(runs):
-            for y in runs[a + 1 :]:
-                if lo == hi or mine[x] != mine[y]:
-                    v = wide[[x, y]].dropna().to_numpy()
-                    sx, sy = np.sign(v[:, None, 0] - v[None, :, 0]), np.sign(v[:, None, 1] - v[None, :, 1])
-                    den = np.sqrt((sx != 0).sum() * float((sy != 0).sum()))
-                    out.append((x, y, len(v), float((sx * sy).sum() / den) if den else None))
-        return pd.DataFrame(out, columns=["run_a", "run_b", "n_pairs", "r"])
+        for i, x in enumerate(runs):
+            at = np.flatnonzero((runs > x) & ((mine != mine[i]) | (lo == hi)))
+            for j in np.array_split(at, max(1, len(at) * len(v) // KENDALL_CELLS)):
+                if len(j):
+                    k, r = kendall_taus(v[:, i], v[:, j])
+                    out.append(pd.DataFrame({"run_a": x, "run_b": runs[j], "n_pairs": k, "r": pd.Series(r).astype(object).where(~np.isnan(r), None)}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["run_a", "run_b", "n_pairs", "r"])
 
     return dealt.groupBy("lo", "hi").applyInPandas(taus, "run_a string, run_b string, n_pairs long, r double")
 

@@ -237,9 +237,16 @@ def correlation_matrix_spearman(spark, d):
 @query(cte("counts") + """, p as (select a.run as run_a, b.run as run_b, x.value as x1, y.value as x2, a.value as y0, b.value as y1 from counts a join counts b on a.target_id = b.target_id and a.run < b.run join counts x on x.run = a.run join counts y on y.run = b.run and y.target_id = x.target_id where cast(a.run as int) % 5 = 0 and cast(b.run as int) % 5 = 0)
  select run_a, run_b, cast(sqrt(count(*)) as bigint) as n_pairs, sum(sign(x1 - y0) * sign(x2 - y1)) / sqrt(cast(count(*) filter (x1 <> y0) as double) * count(*) filter (x2 <> y1)) as r from p group by all""")
 def correlation_matrix_kendall(spark, d):
+    """Every fifth run, as its SQL has it; all runs are in ``correlation_matrix_kendall_whole``."""
     return C.kendall_matrix(B.counts(spark, d).where("cast(run as int) % 5 = 0"))
 
 
+@query(None)
+def correlation_matrix_kendall_whole(spark, d):
+    """All runs; checked by brute force in the tests."""
+    return C.kendall_matrix(B.counts(spark, d)).withColumn("r", F.round("r", 6))
+
+
 @query(cte("expr", "expr_meta") + """, m as (select target_id, avg(value) as ref from expr group by 1) select run, count(value) as n_pairs, case when count(value) > 1 and stddev_samp(value) > 1e-9 then corr(value, ref) end as r from expr join m using (target_id) group by 1""")
 def safe_pearson(spark, d):
     e = B.expr(spark, d)
