@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators.metadata import raise_if
+from curatrix.session import checkpointed
 
 # Platform words, the shortest believable fragment, and when mates count as one read.
 PLATFORMS = (("ont", r"nanopore|minion|gridion|promethion|\bont\b"), ("pacbio", r"pacbio|pacific biosciences|sequel|revio|\brs ii\b"), ("illumina", r"illumina|hiseq|nextseq|novaseq|miseq|genome analyzer"))
@@ -77,21 +78,27 @@ def target_bp_per_run(meta: DataFrame, max_bp: float) -> DataFrame:
     return out.select("n_runs", "total_bases", each.alias("bp_per_run"))
 
 
-def second_round_ranges(runs: DataFrame) -> DataFrame:
-    """Reads that each run still gives. Runs short of their own target leave a shortfall in base pairs, which others
-    take over in row order while they have spots; a running sum finds the run that takes the last part.
+def second_round_ranges(runs: DataFrame, job: str | None = None) -> DataFrame:
+    """Reads that each run still gives. Runs short of their own target leave a shortfall in base pairs, which others of
+    the job take over in row order while they have spots; a running sum finds the run that takes the last part.
 
-    ``runs``: pos, spot_length, total_spots, used_spots, target_bp, rate (share of base pairs that pass).
+    ``runs``: pos, spot_length, total_spots, used_spots, target_bp, rate (share of base pairs that pass). All runs are
+    one job unless a column names it. Rows are sorted into ranges and written; sums run inside a range of a job, and the
+    totals of the ranges before are added, so a large job is no single task.
     """
     need = F.ceil(F.col("target_bp") / F.col("spot_length") / F.col("rate")).cast("long")
     free = F.greatest(F.col("total_spots") - F.col("used_spots"), F.lit(0))
-    rows = runs.withColumns({"_need": need, "_free": free}).withColumn("_own", F.least("_need", "_free"))
+    rows = runs.withColumns({"_need": need, "_free": free, "_job": F.col(job) if job else F.lit(0)}).withColumn("_own", F.least("_need", "_free"))
     rows = rows.withColumns({"_short": (F.col("_need") - F.col("_own")) * F.col("spot_length"), "_cap": (F.col("_free") - F.col("_own")) * F.col("spot_length")})
-    before = F.coalesce(F.sum("_cap").over(Window.partitionBy(F.lit(0)).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))  # runs of one job
-    total = rows.agg(F.sum("_short").alias("_all"))
-    rest = F.col("_all") - before
+    rows = checkpointed(rows.orderBy("_job", "pos")).withColumn("_part", F.spark_partition_id())
+    parts = rows.groupBy("_job", "_part").agg(F.sum("_short").alias("_short"), F.sum("_cap").alias("_cap"))
+    earlier = F.sum("_cap").over(Window.partitionBy("_job").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(F.col("_job").alias("_j"), F.col("_part").alias("_p"), F.coalesce(earlier, F.lit(0.0)).alias("_earlier"), F.sum("_short").over(Window.partitionBy("_job")).alias("_all"))
+    inside = F.coalesce(F.sum("_cap").over(Window.partitionBy("_job", "_part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rows = rows.withColumn("_inside", inside).join(parts, F.col("_job").eqNullSafe(F.col("_j")) & (F.col("_part") == F.col("_p")))
+    rest = F.col("_all") - F.col("_earlier") - F.col("_inside")
     extra = F.when(rest <= 0, 0).when(rest >= F.col("_cap"), F.col("_free") - F.col("_own")).otherwise(F.ceil(rest / F.col("spot_length"))).cast("long")
-    return rows.crossJoin(F.broadcast(total)).withColumn("reads", F.col("_own") + extra).drop("_need", "_free", "_own", "_short", "_cap", "_all")
+    return rows.withColumn("reads", F.col("_own") + extra).drop("_need", "_free", "_own", "_short", "_cap", "_all", "_job", "_part", "_j", "_p", "_earlier", "_inside")
 
 
 def unique_run_ids(files: DataFrame) -> DataFrame:

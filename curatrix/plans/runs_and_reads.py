@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators import quality as Q
 from curatrix.operators import reads as R
+from curatrix.operators.metadata import numbered
 from curatrix.plans import bindings as B
 from curatrix.plans.bindings import cte, query
 
@@ -69,17 +70,30 @@ a as (select *, cast(ceil(target / len / rate) as bigint) as need, greatest(tota
 e as (select *, sum(short) over () - coalesce(sum(cap) over (order by pos rows between unbounded preceding and 1 preceding), 0) as rest from c)
 select pos, own + cast(case when rest <= 0 then 0 when rest >= cap then free - own else ceil(rest / len) end as bigint) as reads from e""")
 def second_round_ranges(spark, d):
-    from pyspark.sql import Window
-
-    li = B.table(spark, d, "lineitem").where("l_suppkey = 3").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("p0"), "l_partkey", (50.0 + F.col("l_linenumber") * 10).alias("spot_length"), F.floor("l_extendedprice").cast("long").alias("total_spots"),
-        F.floor(F.col("l_extendedprice") / 2).cast("long").alias("used_spots"), (F.col("l_quantity") * 40000).alias("target_bp"), (1 - F.col("l_discount")).alias("rate"),
-    ).distinct()
+    """One supplier, as its SQL has it; all are in ``second_round_ranges_whole``."""
     # the runs of one job are numbered in one order
-    x = li.withColumn("pos", F.row_number().over(Window.orderBy("p0", "l_partkey", "total_spots")))
+    x = numbered(_lines(spark, d).where("l_suppkey = 3"), ["p0", "l_partkey", "total_spots"], "pos")
     return R.second_round_ranges(x).select("pos", "reads")
 
 
+@query(None)
+def second_round_ranges_whole(spark, d):
+    """All lines, each supplier a job; checked in the tests against the same SQL by supplier."""
+    x = numbered(_lines(spark, d), ["l_suppkey", "p0", "l_partkey", "total_spots"], "n")
+    first = x.groupBy("l_suppkey").agg(F.min("n").alias("first"))
+    x = x.join(first, "l_suppkey").withColumn("pos", F.col("n") - F.col("first") + 1)
+    return R.second_round_ranges(x, "l_suppkey").select("l_suppkey", "pos", "reads")
+
+
+def _lines(spark, d):
+    """Lines as runs; equal ones count once."""
+    li = B.table(spark, d, "lineitem").select(
+        "l_suppkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("p0"), "l_partkey", (50.0 + F.col("l_linenumber") * 10).alias("spot_length"), F.floor("l_extendedprice").cast("long").alias("total_spots"),
+        F.floor(F.col("l_extendedprice") / 2).cast("long").alias("used_spots"), (F.col("l_quantity") * 40000).alias("target_bp"), (1 - F.col("l_discount")).alias("rate"),
+    )
+    return li.groupBy(*[c for c in li.columns if c != "p0"]).agg(F.min("p0").alias("p0"))
+
+
 @query("select p_partkey, case when n > 1 then 'f'||(p_partkey % 3)||'_'||p_name else p_name end || case when k > 1 then '_'||k else '' end as run from (select *, row_number() over (partition by case when n > 1 then 'f'||(p_partkey % 3)||'_'||p_name else p_name end order by p_partkey) as k from (select *, count(*) over (partition by p_name) as n from part))")
 def unique_run_ids(spark, d):
     f = B.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("basename"), F.concat(F.lit("f"), F.col("p_partkey") % 3).alias("folder"), F.col("p_partkey").alias("path"))

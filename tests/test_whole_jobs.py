@@ -2,11 +2,12 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from curatrix.operators import corr
+from curatrix.operators import corr, reads
 from curatrix.plans import bindings as B
 
 
@@ -43,3 +44,30 @@ def test_kendall_by_sorting_with_missing_cells_in_small_blocks(spark, monkeypatc
         v = v[~np.isnan(v).any(1)]
         want = brute_tau(v[:, 0], v[:, 1])
         assert n == len(v) and (r is None if want is None else r == pytest.approx(want, abs=1e-12))
+
+
+def test_second_round_over_all_suppliers(spark, sf_dir):
+    sql = entry.oracle_sql()["second_round_ranges"].replace(" where l_suppkey = 3", "").replace("(select l_orderkey * 10", "(select l_suppkey, l_orderkey * 10").replace("rate, l_partkey from r", "rate, l_partkey, l_suppkey from r")
+    sql = sql.replace("over (order by pos", "over (partition by l_suppkey order by pos").replace("over ()", "over (partition by l_suppkey)").replace("rate from q", "rate, l_suppkey from q").replace("select pos, own", "select l_suppkey, pos, own")
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{sf_dir}/lineitem.parquet'")
+    want = sorted(con.execute(sql).fetchall())
+    got = sorted((r.l_suppkey, r.pos, r.reads) for r in entry.queries()["second_round_ranges_whole"](spark, sf_dir).collect())
+    assert len({k for k, _, _ in got}) > 1 and got == want
+
+
+def test_second_round_of_one_large_job_runs_in_ranges(spark):
+    rows = [("a", 1, 100.0, 50, 50, 3000.0, 1.0), ("a", 2, 100.0, 40, 0, 1000.0, 1.0), ("b", 1, 100.0, 9, 0, 1000.0, 1.0), (None, 1, 100.0, 40, 0, 1000.0, 1.0)] + [("a", i, 100.0, 11, 0, 1000.0, 1.0) for i in range(3, 40)]
+    schema = "job string, pos int, spot_length double, total_spots long, used_spots long, target_bp double, rate double"
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = reads.second_round_ranges(spark.createDataFrame(rows, schema), "job")
+        got = {(r.job, r.pos): r.reads for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    # a: 30 short; the second run takes 30
+    assert got[("a", 1)] == 0 and got[("a", 2)] == 40 and all(got[("a", i)] == 10 for i in range(3, 40)) and got[("b", 1)] == 9 and got[(None, 1)] == 10
+    rows = [("a", 1, 100.0, 50, 50, 3000.0, 1.0)] + [("a", i, 100.0, 11, 0, 1000.0, 1.0) for i in range(2, 60)]
+    got = {r.pos: r.reads for r in reads.second_round_ranges(spark.createDataFrame(rows, schema), "job").collect()}
+    assert [p for p, n in got.items() if n == 11] and sorted(p for p, n in got.items() if n == 11) == list(range(2, 32))
