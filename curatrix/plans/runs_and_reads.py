@@ -170,9 +170,16 @@ def zero_output_stage(spark, d):
 @query(cte("reads") + """, p as (select run, ordinal, max(left(seq, 1)) filter (mate = 1) as s1, max(left(seq, 1)) filter (mate = 2) as s2 from reads group by all having s1 is not null and s2 is not null), k as (select *, row_number() over (partition by run order by md5(run||'|'||ordinal), ordinal) as r from p)
  select run, count(*) as n_pairs, avg((s1 = s2)::int) as ratio, avg((s1 = s2)::int) >= 0.99 as treat_as_single from k where r <= 2000 group by 1""")
 def identical_mate_ratio(spark, d):
+    """First characters, as its SQL has it; whole sequences are in ``identical_mate_ratio_whole``."""
     return R.identical_mate_ratio(B.reads(spark, d).withColumn("seq", F.substring("seq", 1, 1)))
 
 
+@query(None)
+def identical_mate_ratio_whole(spark, d):
+    """Whole sequences; checked on a fixture in the tests."""
+    return R.identical_mate_ratio(B.reads(spark, d)).withColumn("ratio", F.round("ratio", 6))
+
+
 @query("with q as (select cast(l_suppkey as varchar) as run, 't'||l_partkey as target_id, 1.0 * l_linenumber as length, 1.0 as eff_length, l_quantity as est_counts from lineitem) select run, target_id, length, eff_length, est_counts, c * 100.0 / 1000000 as p_mapped from q join (select run, sum(est_counts) as c from q group by 1) using (run)")
 def long_read_adapt(spark, d):
     li = B.table(spark, d, "lineitem")

@@ -71,3 +71,10 @@ def test_second_round_of_one_large_job_runs_in_ranges(spark):
     rows = [("a", 1, 100.0, 50, 50, 3000.0, 1.0)] + [("a", i, 100.0, 11, 0, 1000.0, 1.0) for i in range(2, 60)]
     got = {r.pos: r.reads for r in reads.second_round_ranges(spark.createDataFrame(rows, schema), "job").collect()}
     assert [p for p, n in got.items() if n == 11] and sorted(p for p, n in got.items() if n == 11) == list(range(2, 32))
+
+
+def test_mates_are_compared_as_whole_sequences(spark, tmp_path):
+    rows = [(c, turn, role, text) for c, second in ((0, "ACGT"), (1, "ACGA"), (10, "ACGA"), (2, None)) for turn, role, text in ((0, "user", "ACGT"), (1, "assistant", second)) if text]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.run: (r.n_pairs, r.ratio, r.treat_as_single) for r in entry.queries()["identical_mate_ratio_whole"](spark, str(tmp_path)).collect()}
+    assert got == {"c0": (2, 0.5, False), "c1": (1, 0.0, False)}
