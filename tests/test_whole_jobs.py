@@ -78,3 +78,11 @@ def test_mates_are_compared_as_whole_sequences(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.run: (r.n_pairs, r.ratio, r.treat_as_single) for r in entry.queries()["identical_mate_ratio_whole"](spark, str(tmp_path)).collect()}
     assert got == {"c0": (2, 0.5, False), "c1": (1, 0.0, False)}
+
+
+def test_strict_rows_look_at_every_run(spark, sf_dir, tmp_path):
+    spark.createDataFrame([(i, [float(i + p) for p in range(12)], 0) for i in (0, 5)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted((r.target_id, r.run, r.value) for r in entry.queries()["strict_rows_whole"](spark, str(tmp_path)).collect())
+    # g0 lacks a value in v0, g8 in v5
+    assert got == sorted((f"g{p}", f"v{i}", float(i + p)) for p in range(12) for i in (0, 5) if p not in (0, 8))
+    assert entry.queries()["strict_rows_whole"](spark, sf_dir).count() == 0
