@@ -342,7 +342,7 @@ def ruvseq(expr: DataFrame, meta: DataFrame, k_max: int = 3, top_n: int = 1000)
 # latent factors
 
 
-def latent_factors(m: RunMatrix, design: np.ndarray, k: int | None = None, rounds: int = 30, tol: float = 1e-5) -> tuple[np.ndarray, bool]:
+def latent_factors(m: RunMatrix, design: np.ndarray, k: int | None = None, rounds: int = 200, tol: float = 1e-5) -> tuple[np.ndarray, bool]:
     """Factors orthogonal to the design from residuals weighted by a negative-binomial variance, refitted until the
     subspace settles. Without ``k``: as many as hold 60 % of the energy, none if the first holds under 10 %."""
     h = np.eye(m.n) - hat(design)
@@ -432,7 +432,7 @@ def finalize(expr: DataFrame, meta: DataFrame, algorithm: str = "sva", method: s
         m = RunMatrix(ready)
         design = design_matrix(group_of(meta, m.runs))
         n_sv = num_sv_be(m, design, b=10)
-        ready = sva_correct(m, design, sva_factors(m, design, n_sv, rounds=2), counts=False) if n_sv else ready
+        ready = sva_correct(m, design, sva_factors(m, design, n_sv), counts=False) if n_sv else ready
     elif algorithm == "ruvseq":
         ready = ruvseq(expr, meta)[0]
     elif algorithm == "latent":

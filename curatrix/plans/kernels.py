@@ -26,12 +26,12 @@ def _design(spark, d):
 
 @query()
 def impute_em_pca(spark, d):
-    return X.impute_low_rank(_holes(spark, d), rounds=10, tol=1e-3)
+    return X.impute_low_rank(_holes(spark, d))
 
 
 @query()
 def impute_nipals(spark, d):
-    return X.impute_low_rank(_holes(spark, d), rounds=10, tol=1e-3, nipals=True)
+    return X.impute_low_rank(_holes(spark, d), nipals=True)
 
 
 @query(cte("counts") + " select a.run as run_a, b.run as run_b, count(*) as n_pairs, corr(a.value, b.value) as r from counts a join counts b on a.target_id = b.target_id and a.run < b.run group by all")
@@ -90,14 +90,14 @@ def local_fdr(spark, d):
 @query()
 def sva_factors(spark, d):
     m, _, x = _design(spark, d)
-    sv = G.sva_factors(m, x, 2, rounds=2)
+    sv = G.sva_factors(m, x, 2)
     return spark.createDataFrame([(r, *map(float, v)) for r, v in zip(m.runs, sv)], "run string, sv1 double, sv2 double")
 
 
 @query()
 def sva_correct(spark, d):
     m, _, x = _design(spark, d)
-    return G.sva_correct(m, x, G.sva_factors(m, x, 1, rounds=1))
+    return G.sva_correct(m, x, G.sva_factors(m, x, 1))
 
 
 @query(cte("counts") + ", q as (select run, quantile_cont(value, 0.75) as q from counts where target_id in (select target_id from counts group by 1 having max(value) > 0) group by 1) select target_id, run, round(value / (q / (select avg(q) from q))) as value, q / (select avg(q) from q) as scale from counts join q using (run)")
@@ -137,7 +137,7 @@ def ruvseq(spark, d):
 @query()
 def latent_factors(spark, d):
     m, _, x = _design(spark, d)
-    u, ok = G.latent_factors(m, x, k=2, rounds=5)
+    u, ok = G.latent_factors(m, x, k=2)
     return spark.createDataFrame([(r, *map(float, v), ok) for r, v in zip(m.runs, u)], "run string, f1 double, f2 double, settled boolean")
 
 

@@ -348,7 +348,7 @@ def one_outlier_per_iteration(spark, d):
 def wsfilter(spark, d):
     """The loop has as many rounds as the data ask for; checked in the tests."""
     m = B.expr_meta(spark, d)
-    return L.wsfilter(B.expr(spark, d), m, 0.0, -1.5, max_rounds=4).select("run", "exclusion")
+    return L.wsfilter(B.expr(spark, d), m, 0.0, -1.5).select("run", "exclusion")
 
 
 @query(None)

@@ -1,5 +1,6 @@
 """Whole tables where a query or operator used to take a part."""
 
+import inspect
 import math
 
 import duckdb
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from curatrix.operators import corr, reads
+from curatrix.operators import batch, corr, filters, matrix, reads
 from curatrix.plans import bindings as B
 
 
@@ -86,3 +87,44 @@ def test_strict_rows_look_at_every_run(spark, sf_dir, tmp_path):
     # g0 lacks a value in v0, g8 in v5
     assert got == sorted((f"g{p}", f"v{i}", float(i + p)) for p in range(12) for i in (0, 5) if p not in (0, 8))
     assert entry.queries()["strict_rows_whole"](spark, sf_dir).count() == 0
+
+
+def swapped(spark, folder):
+    """Thirty runs of a species and project; six of the first group look like the second, one goes per round."""
+    rng = np.random.default_rng(1)
+    base = rng.random((2, 64))
+    rows = [(20 * k, [float(v) for v in base[int(k < 6 or k >= 20)] + rng.random(64) * 0.1], int(k >= 20)) for k in range(30)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+
+
+def test_ws_filter_goes_on_until_nothing_is_flagged(spark, tmp_path):
+    swapped(spark, tmp_path)
+    d = str(tmp_path)
+    got = entry.queries()["wsfilter"](spark, d).where("exclusion <> 'no'").collect()
+    assert {r.run for r in got} == {f"v{20 * k}" for k in range(6)}
+    with pytest.raises(RuntimeError):
+        filters.wsfilter(B.expr(spark, d), B.expr_meta(spark, d), 0.0, -1.5, max_rounds=3)
+
+
+def test_kernel_queries_keep_the_bounds_of_the_reference(spark, sf_dir, monkeypatch):
+    seen = {}
+
+    def spy(module, name, *bounds):
+        f = getattr(module, name)
+
+        def run(*a, **b):
+            given = inspect.signature(f).bind(*a, **b)
+            given.apply_defaults()
+            seen.setdefault(name, set()).add(tuple(given.arguments[x] for x in bounds))
+            raise StopIteration
+
+        monkeypatch.setattr(module, name, run)
+
+    spy(matrix, "impute_low_rank", "rounds", "tol")
+    spy(batch, "sva_factors", "rounds")
+    spy(batch, "latent_factors", "rounds", "tol")
+    monkeypatch.setattr(batch, "num_sv_be", lambda *a, **b: 1)
+    for q in ("impute_em_pca", "impute_nipals", "sva_factors", "sva_correct", "latent_factors", "finalize"):
+        with pytest.raises(StopIteration):
+            entry.queries()[q](spark, sf_dir)
+    assert seen == {"impute_low_rank": {(50, 1e-6)}, "sva_factors": {(5,)}, "latent_factors": {(200, 1e-5)}}
