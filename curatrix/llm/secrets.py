@@ -72,7 +72,7 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
 
 
 def secret_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, kind's place in KINDS) in code points, by start then kind. Entropy spans avoid the fixed ones."""
+    """(start, end, kind's place in KINDS) in code points, by start then kind. Entropy spans inside a fixed one go."""
     found: list[tuple[int, int, int]] = []
     data = text.encode("utf-8", "surrogatepass")
     if b":" in data or b"=" in data:
@@ -83,7 +83,7 @@ def secret_spans(text: str) -> list[tuple[int, int, int]]:
         found += [(*m.span(), 2) for m in HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
     if b"x" * WINDOW in data.translate(_CANDIDATE_MAP):
         base = [(a, b) for a, b, _ in found]
-        found += [(a, b, 3) for a, b in entropy_spans(text) if not any(a < d and c < b for c, d in base)]
+        found += [(a, b, 3) for a, b in entropy_spans(text) if not any(c <= a and b <= d for c, d in base)]
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
