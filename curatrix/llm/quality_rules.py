@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import fresh
 
 BITS = 16
-#: Trusted documents that the target multinomial is counted on: the first by a hash of their id. A documented bound.
-TRUSTED = 20_000
 SMOOTHING = 0.5
 #: Nats per n-gram under which a document is more than noise away from trusted text.
 MIN_LLR = -0.5
@@ -67,29 +65,30 @@ def _chunks(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int
         yield first, held
 
 
-def gram_model(docs: DataFrame, trusted_ids: DataFrame, trusted: int = TRUSTED, smoothing: float = SMOOTHING) -> np.ndarray:
+def gram_model(docs: DataFrame, trusted_ids: DataFrame, smoothing: float = SMOOTHING) -> np.ndarray:
     """log p_target - log p_raw by bucket.
 
-    ``trusted_ids`` names trusted documents; the first ``trusted`` by hash are the target. Counts of raw n-grams
-    cover every document. Each task sends one row per bucket; the driver gets 2**BITS rows, whatever the input.
+    ``trusted_ids`` names trusted documents, found by a join on ``doc_id``; all of them are the target. Counts of raw
+    n-grams cover every document. Each task sends one row per bucket; the driver gets 2**BITS rows, whatever the input.
     """
-    picked = trusted_ids.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted)
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in picked.collect()))
+    named = trusted_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("_trusted", F.lit(True))
+    # one plan at every size: texts are dealt by id once, and not sorted
+    marked = docs.select("doc_id", "text").join(named.hint("shuffle_hash"), "doc_id", "left").select("text", F.col("_trusted").isNotNull().alias("trusted"))
 
     def count(batches):
         raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, run in _chunks(batch.column(1).to_pylist()):
+            wanted = batch.column(1).to_pylist()
+            for first, run in _chunks(batch.column(0).to_pylist()):
                 for chosen, into in ((False, raw), (True, target)):
                     # the separator's n-grams are left out by counting each text's own
-                    parts = [_grams(x) for k, x in enumerate(run) if not chosen or ids[first + k] in wanted.value]
+                    parts = [_grams(x) for k, x in enumerate(run) if not chosen or wanted[first + k]]
                     if parts:
                         into += np.bincount(np.concatenate(parts), minlength=1 << BITS)
         got = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(raw[got]), pa.array(target[got])], ["bucket", "raw", "target"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "bucket int, raw long, target long")
+    counted = marked.mapInArrow(count, "bucket int, raw long, target long")
     rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.full(1 << BITS, smoothing), np.full(1 << BITS, smoothing)
     raw[rows["bucket"]] += rows["raw"]

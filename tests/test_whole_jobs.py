@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from curatrix.llm import secrets
+from curatrix.llm import quality_rules, secrets
 from curatrix.operators import batch, corr, filters, matrix, reads
 from curatrix.plans import bindings as B
 
@@ -142,3 +142,19 @@ def test_entropy_spans_inside_a_fixed_one_go():
     text = "password=Qw8Zr5Lk2Vx7Np4T3f9aGh6JbYc1"
     spans = secrets.secret_spans(text)
     assert secrets.redact(text, spans) == "[SECRET]" and spans[0][2] == 0
+
+
+def test_target_counts_every_trusted_document(spark):
+    """Over 20,000 trusted documents: the model is that of their joined counts."""
+    n = 20_500
+    docs = spark.range(n + 500).selectExpr("id as doc_id", "concat('text ', md5(cast(id as string))) as text")
+    rows = docs.collect()
+    raw, target = np.full(1 << quality_rules.BITS, 0.5), np.full(1 << quality_rules.BITS, 0.5)
+    for r in rows:
+        g = quality_rules._grams(r.text.encode())
+        np.add.at(raw, g, 1)
+        if r.doc_id < n:
+            np.add.at(target, g, 1)
+    ids = spark.range(n).selectExpr("id as doc_id")
+    got = quality_rules.gram_model(docs, ids.union(ids.limit(5)))
+    assert np.allclose(got, np.log(target / target.sum()) - np.log(raw / raw.sum()))
