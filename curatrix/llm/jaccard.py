@@ -1,9 +1,9 @@
 """N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison of shingle sets decides.
 
 Documents with the same shingle set form a class, found by one aggregation, and take part as one representative.
-Each tree of the forest sorts representatives by its own stretch of the signature, a trie in sorted form. The matched
-prefix is shortened from the full depth until the share of pairs at the threshold that meet in some tree reaches the
-target recall; rows of a tree that share that prefix are compared by whole signature, near each other in sorted order.
+Each tree is a plain band: representatives meet where they agree in a prefix of their stretch of the signature. The
+prefix is constant, the longest at which the expected share of pairs at the threshold that meet in some tree reaches the
+target recall; rows of a tree that share it are compared by whole signature.
 What looks alike (with slack) is joined into candidate components; only their members' texts are turned into shingle
 sets and shuffled. Within a component every pair is verified exactly. Large prefixes and components are dealt into
 pairs of blocks, so no task holds more than two blocks. Results are a row per document, never pairs of copies.
@@ -41,7 +41,7 @@ _words: dict[bytes, int] = {}
 
 
 def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, target: float = TARGET_RECALL) -> int:
-    """The matched prefix, shortened until pairs at ``threshold`` meet in some tree with probability ``target``."""
+    """The longest prefix with which pairs at ``threshold`` meet in some tree with probability ``target``; no data is read."""
     for k in range(depth, 1, -1):
         if 1 - (1 - threshold**k) ** trees >= target:
             return k
