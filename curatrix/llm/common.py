@@ -6,11 +6,17 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows and bytes of text that a task works on at once (at least one row).
+ROWS_AT_ONCE, BYTES_AT_ONCE = 4096, 4 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -62,6 +68,33 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.concat_tables(held)
 
 
+def rows_at_once(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of bounded rows and bytes of its text ``column``."""
+    size, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()), 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(size, (size[at - 1] if at else 0) + BYTES_AT_ONCE, "right"))
+        stop = max(at + 1, min(upto, at + ROWS_AT_ONCE))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def ragged(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, and how many each entry has."""
+    return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
+def gather(pool: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the ``wanted`` entries one after another, and where each ends."""
+    n = size[wanted]
+    stop = np.cumsum(n)
+    return pool[np.repeat((np.cumsum(size) - size)[wanted] - stop + n, n) + np.arange(stop[-1] if len(stop) else 0)], stop
+
+
+def list_bounds(lists: pa.ListArray, stop: np.ndarray) -> np.ndarray:
+    """Bounds of each list's ids, from the ends of its entries' ids."""
+    return np.concatenate([[0], stop])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` of an undirected edge list ``(a, b)``; the component is its smallest node.
 

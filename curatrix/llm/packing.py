@@ -16,11 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import fresh, materialize
+from curatrix.llm.common import fresh, gather, list_bounds, materialize, ragged, rows_at_once
 
 WINDOW = 2048
 END_ID = 1
@@ -28,8 +29,8 @@ END_ID = 1
 TIGHT = 0.995
 #: So many neighbouring splits pack their loose windows together.
 SPLITS_TOGETHER = 16
-#: Words that a worker remembers with their ids.
-REMEMBERED_WORDS = 600_000
+#: Runs that a worker remembers with their ids, in each of two generations.
+REMEMBERED_WORDS = 400_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _encoders: dict[str, "WordEncoder"] = {}
@@ -87,38 +88,83 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int], int
     return where, at, used
 
 
+def _printable_bytes() -> dict[int, int]:
+    """How byte-level vocabularies spell a byte: itself if it is a printable Latin-1 character, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: b if b in plain else 256 + sum(c not in plain for c in range(b)) for b in range(256)}
+
+
 class WordEncoder:
     """Ids of whole texts from ids of their words.
 
-    The tokenizer never joins characters across ASCII white space, so a text's ids are its words' ids, and
-    frequent words are looked up. Texts on which folding first could differ (special strings, final sigma)
-    go to the tokenizer whole.
+    The tokenizer never joins characters across ASCII white space, so a text's ids are its words' ids. Arrow splits
+    and numbers the words; the distinct ones of a batch that hold Latin letters, digits and punctuation only are cut
+    into the tokenizer's runs, and each distinct run is looked up, a new one with the tokenizer's model. Any other word
+    goes through the whole tokenizer. Ids are gathered by run and by word number. Texts on which folding first could
+    differ (special strings, final sigma) go to the tokenizer whole. What is remembered has two generations, so that
+    a full memory drops rare entries only.
     """
 
+    SIMPLE = "^[!-~À-ÿ]+$"
+    # Fixed pattern: the runs into which the vocabulary's own file cuts folded text, for the characters of SIMPLE.
+    RUNS = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+)"
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model, self.spelling = self.tokenizer.model, _printable_bytes()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        whole = {i for i, t in enumerate(texts) if "<|" in t or "Σ" in t or "İ" in t}
-        words = [[] if i in whole else t.lower().encode().split() for i, t in enumerate(texts)]
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        known = self.known
-        new = {w for ws in words for w in set(ws) if w not in known}
-        tails = {w for w in new if len(w) > 1 and w[-1] in b".," and w[-2:-1].isalpha()}
-        ask = list({w[:-1] for w in tails}.union(new - tails, (b".", b",")) - known.keys())
-        known.update(zip(ask, self._raw([w.decode() for w in ask])))
-        for w in tails:
-            known[w] = known[w[:-1]] + known[w[-1:]]
-        return [self._raw([t])[0] if i in whole else b"".join([known[w] for w in ws]) for i, (t, ws) in enumerate(zip(texts, words))]
+    def _run(self, run: str) -> bytes:
+        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(self.spelling)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
+    def _looked_up(self, entries: list[str], ask) -> list[bytes]:
+        """Remembered ids of distinct entries; ``ask`` gives those of the others."""
+        known, older = self.known, self.older
+        new = [e for e in entries if e not in known]
+        if len(known) + len(new) > REMEMBERED_WORDS:
+            self.known, self.older = {}, known
+            known, older, new = self.known, known, entries
+        strange = [e for e in new if e not in older]
+        known.update(zip(strange, ask(strange)))
+        known.update((e, older[e]) for e in new if e in older)
+        return [known[e] for e in entries]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, and how many each has."""
+        simple = pc.match_substring_regex(words, self.SIMPLE)
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(pc.if_else(simple, words, "")), self.RUNS, r"\1 "))
+        runs = cut.flatten().dictionary_encode()
+        entries = runs.dictionary.to_numpy(zero_copy_only=False).tolist()
+        flat, stop = gather(*ragged(self._looked_up(entries, lambda new: map(self._run, new))), runs.indices.to_numpy())
+        at = list_bounds(cut, stop)
+        size, other = np.diff(at), words.filter(pc.invert(simple)).to_pylist()
+        if other:
+            ids = self._looked_up(other, self._whole)
+            place = np.flatnonzero(~simple.to_numpy(zero_copy_only=False))
+            flat = np.insert(flat, np.repeat(at[place], [len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4"))
+            size[place] = [len(x) // 4 for x in ids]
+        return flat, size
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        whole = pc.fill_null(pc.match_substring_regex(texts, r"<\||Σ|İ"), False)
+        split = pc.ascii_split_whitespace(pc.if_else(whole, "", pc.fill_null(texts, "")))
+        words = split.flatten().dictionary_encode()
+        flat, stop = gather(*self._words(words.dictionary), words.indices.to_numpy())
+        at = list_bounds(split, stop).tolist()
+        out = [flat[a:b].tobytes() for a, b in zip(at, at[1:])]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            out[i] = self._whole([texts[int(i)].as_py()])[0]
+        return out
 
 
 def encoder(path: str) -> WordEncoder:
@@ -131,14 +177,13 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: i
     """Tokenize and pack one split; a row per piece."""
     end, out = np.asarray([end_id], dtype="<u4").tobytes(), {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for at in range(0, len(ids), 256):
-            for doc, buf in zip(ids[at : at + 256], encoder(path).encode([t or "" for t in texts[at : at + 256]])):
+        for part in rows_at_once(batch, 1):
+            for doc, buf in zip(part.column(0).to_pylist(), encoder(path).encode(part.column(1))):
                 buf += end
                 n = len(buf) // 4
                 for s in range(0, n, window):
-                    part = buf[4 * s : 4 * (s + window)]
-                    for k, v in zip(out, (doc, s, len(part) // 4, zlib.crc32(part), n)):
+                    piece = buf[4 * s : 4 * (s + window)]
+                    for k, v in zip(out, (doc, s, len(piece) // 4, zlib.crc32(piece), n)):
                         out[k].append(v)
     # the order within a split does not depend on how rows arrived
     order = sorted(range(len(out["start"])), key=lambda i: (out["doc_id"][i] is not None, out["doc_id"][i] or 0, out["start"][i], out["ids_crc32"][i]))
@@ -157,7 +202,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, e
 
     A null text counts as empty (one piece: the end id). Overlong documents give full windows and one rest.
     Repeated rows and ties are packed like others; a null ``doc_id`` stays null. An empty table gives no row.
-    Other columns of ``docs`` are not looked at, so their names cannot clash.
+    Texts are cut whole, however long. Other columns of ``docs`` are not looked at, so their names cannot clash.
+    Which windows are formed, and their numbers, follow from the input splits; any split gives full coverage.
     """
     def pieces(batches):
         return _pieces(batches, tokenizer_path, window, end_id)
@@ -191,7 +237,7 @@ def packed_sequences(docs: DataFrame, plan: DataFrame, tokenizer_path: str, wind
     """
     def ids(batches):
         for batch in batches:
-            bufs = encoder(tokenizer_path).encode([t or "" for t in batch.column(1).to_pylist()])
+            bufs = encoder(tokenizer_path).encode(batch.column(1))
             lists = [np.frombuffer(b, "<u4").astype("int32").tolist() + [end_id] for b in bufs]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
