@@ -139,3 +139,11 @@ def with_block_pairs(df: DataFrame, blocks: str, salt) -> DataFrame:
         .withColumn("hi", F.greatest("mine", "other"))
         .drop("other", blocks)
     )
+
+
+def deal_pairs(df: DataFrame, group) -> DataFrame:
+    """Partition by ``group`` (a hash) and block pair ``(lo, hi)``; the pairs of one group go to partitions in turn, so that
+    as few as possible of a large group's meet in one."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pair = F.col("hi").cast("long") * (F.col("hi") + 1) / 2 + F.col("lo")
+    return df.repartitionById(n, F.pmod(F.pmod(group, F.lit(n)) + pair.cast("long"), F.lit(n)).cast("int"))

@@ -1,12 +1,15 @@
 """N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison of shingle sets decides.
 
 Documents with the same shingle set form a class, found by one aggregation, and take part as one representative.
-Each tree is a plain band: representatives meet where they agree in a prefix of their stretch of the signature. The
-prefix is constant, the longest at which the expected share of pairs at the threshold that meet in some tree reaches the
-target recall; rows of a tree that share it are compared by whole signature.
+Each of the forest's trees is a trie of representatives, sorted by the tree's own stretch of their signatures. The trie is
+dealt by its shortest useful prefix, the longest at which the expected share of pairs at the threshold that meet in some
+tree reaches the target recall. Inside such a subtree rows are matched at full depth first; then the prefix is shortened
+level by level, and only rows that are not joined yet are compared. A node is done, and shortens no further, as soon as
+all of its rows are joined, since every pair below it will be verified.
 What looks alike (with slack) is joined into candidate components; only their members' texts are turned into shingle
-sets and shuffled. Within a component every pair is verified exactly. Large prefixes and components are dealt into
-pairs of blocks, so no task holds more than two blocks. Results are a row per document, never pairs of copies.
+sets and shuffled. Within a component every pair is verified exactly. Large subtrees and components are dealt into
+pairs of blocks, a partition after the other, so no task holds more than two blocks at a time. Results are a row per
+document, never pairs of copies.
 """
 
 from __future__ import annotations
@@ -19,24 +22,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import block_count, connected_components, fresh, materialize, sorted_groups, with_block_pairs
+from curatrix.llm.common import block_count, connected_components, deal_pairs, fresh, materialize, sorted_groups, with_block_pairs
 
 WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 8
 #: Share of pairs at the threshold that must meet in a tree.
 TARGET_RECALL = 0.999
-#: Signatures that agree in a smaller share are no candidates: five standard deviations under the threshold.
-SLACK = 5
+#: How far under the threshold the agreement of two signatures may be: six standard deviations for the smallest sets.
+SLACK = 0.25
 BUCKET_BLOCK = 2048
 COMPONENT_BLOCK, COMPONENT_SHINGLES = 512, 1_000_000
-FILTER_BITS = 1 << 23
+#: Bits of the map of wanted ids for each of them, and bits at most; a fuller map only lets more texts pass to the join.
+BITS_AN_ID, MOST_BITS = 16, 1 << 28
 REMEMBERED_WORDS = 600_000
 
 _MUL = np.uint64(0x9DDFEA08EB382D69)
-_rng = np.random.default_rng(7)
-_A = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
+#: Permutations of a signature, each with a share of its values: a permutation's value of a bin is the least in that bin.
+PERMUTATIONS, _BINS = 4, TREES * DEPTH // 4
+_TURN = np.random.default_rng(3).integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
+#: Where each bin begins in the range of hashes, and which other bins of its permutation stand in for it when it is empty.
+_BEGIN = np.arange(_BINS, dtype=np.uint64) << np.uint64(64 - (_BINS - 1).bit_length())
+_STAND_IN = (np.random.default_rng(11).integers(0, _BINS, (64, PERMUTATIONS, _BINS)) + _BINS * np.arange(PERMUTATIONS)[:, None]).reshape(64, -1)
 _words: dict[bytes, int] = {}
 
 
@@ -66,11 +73,29 @@ def shingle_set(text: str | None, width: int = WORDS) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """MinHash values, 16 bits each (of 32-bit minima)."""
-    low = np.full(len(_A), np.iinfo(np.uint32).max, np.uint64)
-    for i in range(0, len(s), 4096):
-        low = np.minimum(low, ((s[i : i + 4096, None] * _A + _B) >> np.uint64(32)).min(0))
-    return ((low * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)) >> np.uint64(16)).astype("<u2").tobytes()
+    """MinHash values, 16 bits each: the smallest hash of each bin of the hash range, for a few permutations.
+
+    An empty bin takes the value of the first filled one in its own fixed order of bins. A tree's stretch takes bins of
+    all permutations in turn.
+    """
+    x = s * _TURN[:, None]
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    x.sort(axis=1)
+    at = np.stack([np.searchsorted(row, _BEGIN) for row in x])
+    full = (at < np.append(at[:, 1:], np.full((PERMUTATIONS, 1), len(s)), axis=1)).ravel()
+    source = np.arange(len(full))
+    empty = np.flatnonzero(~full)
+    for stand_in in _STAND_IN:
+        if not len(empty):
+            break
+        source[empty] = stand_in[empty]
+        empty = empty[~full[source[empty]]]
+    for k in empty:
+        first = k // _BINS * _BINS
+        source[k] = first + np.argmax(full[first : first + _BINS])
+    low = x[source // _BINS, at.ravel()[source]]
+    values = (low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    return values.astype("<u2").reshape(PERMUTATIONS, -1, TREES).transpose(2, 1, 0).tobytes()
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,33 +125,44 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return lab
 
 
-def _alike(floor: float):
-    """Spanning edges among rows of a bucket whose signatures agree in at least ``floor``."""
-    def edges(nodes: np.ndarray, sig: np.ndarray, mine: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        found_i, found_j = [], []
-        left = np.flatnonzero(mine == lo)
-        right = np.flatnonzero(mine == hi)
-        for k, i in enumerate(left):
-            others = left[k + 1 :] if lo == hi else right
-            hit = others[(sig[others] == sig[i]).mean(1) >= floor]
-            if len(hit):
-                found_i.append(np.full(len(hit), i))
-                found_j.append(hit)
-        if not found_i:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lab = roots(len(nodes), np.concatenate(found_i), np.concatenate(found_j))
-        at = np.flatnonzero(lab != np.arange(len(nodes)))
-        return nodes[at], nodes[lab[at]]
+def descend(sig: np.ndarray, stretch: np.ndarray, floor: float, shortest: int) -> tuple[np.ndarray, list[int]]:
+    """Join alike rows of a subtree, sorted by ``stretch``: each row's smallest joined row, and comparisons by level.
+
+    From the full depth to the ``shortest`` prefix, rows under one node are compared if they are not joined yet.
+    """
+    lab, compared = np.arange(len(sig)), []
+    for depth in range(stretch.shape[1], shortest - 1, -1):
+        new = np.flatnonzero(np.concatenate([[True], (stretch[1:, :depth] != stretch[:-1, :depth]).any(1), [True]]))
+        done = 0
+        for a, b in zip(new[:-1].tolist(), new[1:].tolist()):
+            if b - a < 2:
+                continue
+            for i in range(a, b - 1):
+                apart = i + 1 + np.flatnonzero(lab[i + 1 : b] != lab[i])
+                if not len(apart):
+                    if i == a and (lab[a:b] == lab[a]).all():
+                        break
+                    continue
+                done += len(apart)
+                hit = apart[(sig[apart] == sig[i]).mean(1) >= floor]
+                if len(hit):
+                    joined = np.unique(np.append(lab[hit], lab[i]))
+                    lab[np.isin(lab, joined)] = joined[0]
+        compared.append(done)
+    return lab, compared
+
 
+def _alike(floor: float, shortest: int):
+    """Spanning edges among rows of a subtree (or of two blocks of it) whose signatures agree in at least ``floor``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _with_end(batches):
             table = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
             if table is None or not table.num_rows:
                 continue
-            key, lo, hi, mine, node = (table.column(c).to_numpy() for c in ("key", "lo", "hi", "mine", "node"))
+            key, lo, hi, tree, node = (table.column(c).to_numpy() for c in ("key", "lo", "hi", "tree", "node"))
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
-            if batch is not None:  # the last bucket may go on in the next batch
+            if batch is not None:  # the last subtree may go on in the next batch
                 rest = table.slice(int(new[-1]))
                 stop, new = int(new[-1]), new[:-1]
                 if not len(new):
@@ -138,7 +174,7 @@ def _alike(floor: float):
             group = np.repeat(np.arange(len(new)), sizes)
             small = sizes <= 8
             a, b = [], []
-            for d in range(1, 8):  # small buckets: all pairs at a distance, for all buckets at once
+            for d in range(1, 8):  # small subtrees: all pairs at a distance, for all of them at once
                 i = np.flatnonzero(small[group[:-d]] & (group[:-d] == group[d:])) if stop > d else np.zeros(0, np.int64)
                 for part in np.array_split(i, max(1, len(i) // 50_000)):
                     hit = part[(sig[part] == sig[part + d]).mean(1) >= floor] if len(part) else part
@@ -146,9 +182,11 @@ def _alike(floor: float):
                     b.append(node[hit + d])
             for g in np.flatnonzero(~small):
                 s = slice(int(new[g]), int(new[g] + sizes[g]))
-                x, y = edges(node[s], sig[s], mine[s], lo[s.start], hi[s.start])
-                a.append(x)
-                b.append(y)
+                t = int(tree[s.start]) * DEPTH
+                lab, _ = descend(sig[s], sig[s, t : t + DEPTH], floor, shortest)
+                at = np.flatnonzero(lab != np.arange(len(lab)))
+                a.append(node[s][at])
+                b.append(node[s][lab[at]])
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
@@ -207,8 +245,8 @@ def _links(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], ["node", "links", "root", "several"])
 
 
-def member_filter(nodes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit map of hashed ids, made of sums per task: ``bits`` / 8 bytes, however many ids there are."""
+def member_filter(nodes: DataFrame, bits: int) -> np.ndarray:
+    """A bit map of hashed ids, made of sums per task: ``bits`` / 8 bytes."""
     slot = F.pmod(F.xxhash64("node"), F.lit(bits)) + 1
     maps = nodes.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("m")).collect()
     out = np.zeros(bits // 8, np.uint8)
@@ -222,7 +260,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     A link is a Jaccard similarity of at least ``threshold`` of the sets of runs of five words (words end at ASCII white
     space; texts under five words are one run). Texts without words (null, empty) link with nothing. Documents with one
-    set are linked with each other. Rows of one ``doc_id`` are one document, linked with what any of its texts is
+    set are linked with each other; a similarity of just the threshold links. Texts are read whole, however long. Rows of one ``doc_id`` are one document, linked with what any of its texts is
     linked with; a null id links with nothing. An empty table gives no row. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -233,17 +271,19 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.min_by("sig", "doc_id").alias("sig")), "representatives",
     )
 
-    depth, floor = prefix_depth(threshold), threshold - SLACK * (threshold * (1 - threshold) / (TREES * DEPTH)) ** 0.5
-    trees = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", 2 * DEPTH * t + 1, 2 * depth)) for t in range(TREES)])
-    prefixes = reps.select("node", F.explode(trees).alias("key"))
-    several = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = prefixes.join(several, "key").join(reps.select("node", "sig"), "node")
+    shortest, floor = prefix_depth(threshold), threshold - SLACK
+    trees = F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("sig", 2 * DEPTH * t + 1, 2 * DEPTH).alias("stretch")) for t in range(TREES)])
+    leaves = reps.select("node", F.explode(trees).alias("leaf")).select("node", "leaf.tree", "leaf.stretch")
+    leaves = leaves.withColumn("key", F.xxhash64("tree", F.substring("stretch", 1, 2 * shortest)))
+    several = leaves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = leaves.join(several, "key").join(reps.select("node", "sig"), "node")
     dealt = with_block_pairs(members.withColumn("blocks", block_count(F.col("n"), BUCKET_BLOCK)), "blocks", F.xxhash64("node"))
-    sorted_trees = dealt.select("key", "lo", "hi", "mine", "node", "sig").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "sig")
-    parts = connected_components(sorted_trees.mapInArrow(_alike(floor), "a long, b long"))
+    tries = deal_pairs(dealt.select("key", "lo", "hi", "tree", "stretch", "node", "sig"), F.col("key")).sortWithinPartitions("key", "lo", "hi", "stretch")
+    parts = connected_components(tries.mapInArrow(_alike(floor, shortest), "a long, b long"))
 
     candidates = parts.join(reps.select("node", "copies", "h1", "h2"), "node")
-    wanted = spark.sparkContext.broadcast(member_filter(parts.select("node")))
+    bits = min(MOST_BITS, max(1 << 16, 1 << (BITS_AN_ID * parts.count()).bit_length()))
+    wanted = spark.sparkContext.broadcast(member_filter(parts.select("node"), bits))
 
     def sets(batches):
         for batch in batches:
@@ -254,14 +294,15 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             h = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), ">i8") for s in found], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([ids, pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "h1", "h2", "shingles"])
 
-    slot = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(FILTER_BITS)), F.lit(0)).alias("slot")
+    slot = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(bits)), F.lit(0)).alias("slot")
     of_text = rows.select("doc_id", "text", slot).mapInArrow(sets, "node long, h1 long, h2 long, shingles binary").where("node is not null")
     of_text = of_text.join(candidates, ["node", "h1", "h2"]).dropDuplicates(["node", "h1", "h2"])
     of_text = materialize(of_text, "shingles")
     weight = of_text.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles") / 8).alias("w"))
     weight = weight.select("component", F.greatest(block_count(F.col("n"), COMPONENT_BLOCK), block_count(F.col("w"), COMPONENT_SHINGLES)).alias("n_blocks"))
     pairs = with_block_pairs(of_text.join(weight, "component").withColumn("blocks", F.col("n_blocks")), "blocks", F.xxhash64("node", "h1"))
-    pairs = pairs.select("component", "lo", "hi", "mine", "node", "copies", "n_blocks", "shingles").repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
+    pairs = pairs.select("component", "lo", "hi", "mine", "node", "copies", "n_blocks", "shingles")
+    pairs = deal_pairs(pairs, F.xxhash64("component")).sortWithinPartitions("component", "lo", "hi")
     found = materialize(pairs.mapInArrow(_verify(threshold), "node long, links long, root long, several boolean"), "links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
