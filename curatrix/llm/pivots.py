@@ -1,54 +1,136 @@
 """Near-duplicate embeddings by a pivot-permutation index.
 
-Reference vectors (pivots) are a bounded, spread-out sample of the table. Every vector is described by its nearest
-pivots in order; the inverted list of a pivot holds the vectors that have it among their nearest. Two vectors are
-compared where their lists meet, once, at the smallest pivot that they share, if they share enough; the comparison is
-the exact cosine in double precision. Long lists are dealt into pairs of blocks. Equal vectors take part as one.
+Reference vectors (pivots) are a bounded, spread-out sample of the table. Every vector is described by its nearest pivots
+in order. It enters the inverted lists of the first few, so a pivot's rank decides whether it retrieves; how many is
+measured: perturbed copies of sampled vectors, at just the threshold, must be retrieved with the target recall. Two vectors
+that meet in a list are candidates if their ordered prefixes share enough pivots, and are taken once, in the list of the
+smallest pivot at which they meet; the comparison is the exact cosine in double precision. Long lists are dealt into pairs
+of blocks. Equal vectors take part as one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import block_count, connected_components, materialize, with_block_pairs
+from curatrix.llm.common import block_count, connected_components, deal_pairs, materialize, sorted_groups, with_block_pairs
 from curatrix.llm.jaccard import roots
 
 COSINE = 0.9
-#: Nearest pivots that describe a vector, and how many of them a pair must share.
-NEAREST, SHARED = 4, 1
+#: Nearest pivots that describe a vector, how many of them a pair must share, and the share of pairs to be retrieved.
+NEAREST, SHARED, TARGET_RECALL = 8, 2, 0.98
+#: Vectors on perturbed copies of which recall is measured.
+MEASURED = 1000
 #: Pivots grow with the root of the number of vectors between these bounds; alike ones are dropped.
-LEAST_PIVOTS, MOST_PIVOTS, PIVOT_COSINE = 64, 4096, 0.7
+LEAST_PIVOTS, MOST_PIVOTS, PIVOT_COSINE = 64, 65_536, 0.7
 LIST_BLOCK = 256
 
 
-def _unit(rows: list) -> np.ndarray:
+def unit(rows: list) -> np.ndarray:
+    """Rows of length one, in double precision; scaled first, so that no square overflows or vanishes."""
     m = np.array(rows, np.float64)
+    m = m / np.abs(m).max(axis=1, keepdims=True)
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def choose_pivots(vectors: DataFrame, n: int) -> np.ndarray:
-    """Unit pivots: the first vectors by hash, without those close to an earlier one. At most MOST_PIVOTS rows are collected."""
-    want = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 4 * n**0.5)))
-    rows = vectors.orderBy(F.xxhash64("h1", "h2"), "h1").select("vector").limit(want).collect()
-    if not rows:
-        return np.zeros((0, 0))
-    m, kept = _unit([r[0] for r in rows]), []
-    for i in range(len(m)):
-        if not kept or (m[kept] @ m[i]).max() < PIVOT_COSINE:
-            kept.append(i)
-    return m[kept]
+def permutations(units: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
+    """Numbers of the nearest pivots of each row, nearest first, ties by number."""
+    near = units @ pivots.T
+    k = min(nearest, near.shape[1])
+    some = np.sort(np.argpartition(-near, k - 1, axis=1)[:, :k], axis=1)
+    order = np.argsort(-np.take_along_axis(near, some, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, axis=1).astype(np.int32)
+
+
+def retrieved(x: np.ndarray, y: np.ndarray, reach: int, shared: int) -> np.ndarray:
+    """Which pairs of permutations (row by row) meet in a list of their first ``reach`` pivots and share enough pivots."""
+    both = x[:, :, None] == y[:, None, :]
+    return both[:, :reach, :reach].any((1, 2)) & (both.sum((1, 2)) >= shared)
+
 
+def measured_reach(units: np.ndarray, pivots: np.ndarray, threshold: float = COSINE, target: float = TARGET_RECALL) -> tuple[int, int]:
+    """The fewest lists a vector must enter, and the pivots a pair must share, to meet the target just at the threshold."""
+    noise = np.random.default_rng(5).normal(size=units.shape)
+    noise -= (noise * units).sum(1, keepdims=True) * units
+    size = np.linalg.norm(noise, axis=1, keepdims=True)
+    copies = threshold * units + (1 - threshold**2) ** 0.5 * np.divide(noise, size, out=np.zeros_like(noise), where=size > 0)
+    x, y = permutations(units, pivots), permutations(copies, pivots)
+    for shared in range(min(SHARED, x.shape[1]), 0, -1):
+        for reach in range(1, x.shape[1] + 1):
+            if retrieved(x, y, reach, shared).mean() >= target:
+                return reach, shared
+    return x.shape[1], 1
 
-def cosine_links(vectors: DataFrame, threshold: float = COSINE, nearest: int = NEAREST, shared: int = SHARED) -> DataFrame:
+
+def choose_pivots(vectors: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit pivots: the first vectors by hash, without those close to an earlier one; and the sample for ``measured_reach``.
+
+    At most MOST_PIVOTS rows are collected.
+    """
+    want = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 4 * n**0.5)))
+    rows = unit([r[0] for r in vectors.orderBy(F.xxhash64("h1", "h2"), "h1").select("vector").limit(max(want, MEASURED)).collect()])
+    kept: list[int] = []
+    chosen = np.zeros_like(rows[:want])
+    for i in range(len(chosen)):
+        if not kept or (chosen[: len(kept)] @ rows[i]).max() < PIVOT_COSINE:
+            chosen[len(kept)] = rows[i]
+            kept.append(i)
+    return rows[kept], rows[:MEASURED]
+
+
+def _compare(threshold: float, plan: dict[int, tuple[int, int]]):
+    """Links of every row of a list (or of two blocks of it), and the smallest row it is linked to, step by step."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[list] = [[], [], []]
+        for table in sorted_groups(batches, ["pivot", "lo", "hi"]):
+            pivot, lo, hi = (table.column(c)[0].as_py() for c in ("pivot", "lo", "hi"))
+            node, copies, mine = (table.column(c).to_numpy() for c in ("node", "copies", "mine"))
+            vectors = table.column("vector").to_pylist()
+            reach, shared = plan[len(vectors[0])]
+            near = np.array(table.column("near").to_pylist(), np.int64)
+            numbers, local = np.unique(near, return_inverse=True)
+            local = local.reshape(near.shape)
+            has = np.zeros((len(node), len(numbers)), np.float32)
+            np.put_along_axis(has, local, 1, axis=1)
+            met = np.zeros_like(has)  # the lists before this one that a row enters
+            np.put_along_axis(met, local[:, :reach], (near[:, :reach] < pivot).astype(np.float32), axis=1)
+            units = unit(vectors)
+            a, b = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
+            candidate = (has[a] @ has[b].T >= shared) & (met[a] @ met[b].T < 1)
+            if lo == hi:
+                candidate = np.triu(candidate, 1)
+            i, j = np.nonzero(candidate & (units[a] @ units[b].T >= threshold))
+            i, j = a[i], b[j]
+            links = np.bincount(i, weights=copies[j], minlength=len(node)) + np.bincount(j, weights=copies[i], minlength=len(node))
+            order = np.argsort(node, kind="stable")
+            place = np.empty(len(node), np.int64)
+            place[order] = np.arange(len(node))
+            root = node[order][roots(len(node), place[i], place[j])[place]]
+            for column, values in zip(out, (node, links.astype(np.int64), root)):
+                column.append(values[links > 0])
+            if sum(map(len, out[0])) > 20_000:
+                yield _links(out)
+                out = [[], [], []]
+        yield _links(out)
+
+    return run
+
+
+def _links(columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in columns], ["node", "links", "root"])
+
+
+def cosine_links(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     """A row per vector: ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, link with
-    nothing. Repeated rows count as vectors of their own. All valid vectors must have one length. Other columns, labels
-    among them, are not looked at. An empty table gives no row.
+    nothing. Vectors of different lengths are not linked; each length has pivots of its own. A cosine of just the
+    threshold links. Repeated rows count as vectors of their own. Other columns, labels among them, are not looked at, so
+    their names cannot clash. An empty table gives no row.
     """
     e = F.col("embedding").cast("array<double>")
     ok = F.col("vec_id").isNotNull() & e.isNotNull() & F.exists(e, lambda x: x != 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -58,43 +140,30 @@ def cosine_links(vectors: DataFrame, threshold: float = COSINE, nearest: int = N
         rows.where("ok").groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")), "distinct-vectors"
     )
     spark, kind = vectors.sparkSession, dict(rows.dtypes)["vector"]
-    pivots = spark.sparkContext.broadcast(choose_pivots(classes, classes.count()))
+    of_length, plan, first = {}, {}, 0
+    for size, n in classes.groupBy(F.size("vector").alias("size")).count().orderBy("size").collect():  # as many rows as lengths
+        pivots, sample = choose_pivots(classes.where(F.size("vector") == size), n)
+        of_length[size], plan[size] = (pivots, first), measured_reach(sample, pivots, threshold)
+        first += len(pivots)
+    sent = spark.sparkContext.broadcast(of_length)
 
     def describe(batches):
         for batch in batches:
-            if batch.num_rows:
-                near = _unit(batch.column(2).to_pylist()) @ pivots.value.T
-                k = min(nearest, near.shape[1])
-                first = np.sort(np.argpartition(-near, k - 1, axis=1)[:, :k], axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first.tolist(), pa.list_(pa.int32()))], ["node", "copies", "vector", "near"])
-
-    index = materialize(classes.select("node", "copies", "vector").mapInArrow(describe, f"node long, copies long, vector {kind}, near array<int>"), "pivot-index")
-    lists = index.withColumn("pivot", F.explode("near"))
-    sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))  # a row per pivot, MOST_PIVOTS at most
+            length = np.array([len(v) for v in batch.column(2).to_pylist()])
+            for size in np.unique(length):
+                part = batch.take(pa.array(np.flatnonzero(length == size)))
+                pivots, number = sent.value[int(size)]
+                near = permutations(unit(part.column(2).to_pylist()), pivots) + number
+                reach = pa.array([plan[int(size)][0]] * len(near), pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near.tolist(), pa.list_(pa.int32())), reach], ["node", "copies", "vector", "near", "reach"])
+
+    index = materialize(classes.select("node", "copies", "vector").mapInArrow(describe, f"node long, copies long, vector {kind}, near array<int>, reach int"), "pivot-index")
+    lists = index.withColumn("pivot", F.explode(F.slice("near", 1, F.col("reach")))).drop("reach")
+    sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))  # a row per pivot, MOST_PIVOTS at most for a length
     dealt = lists.join(F.broadcast(sizes.withColumn("blocks", block_count(F.col("n"), LIST_BLOCK))), "pivot").where("n > 1").drop("n")
-    dealt = with_block_pairs(dealt, "blocks", F.xxhash64("node"))
-
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pivot, lo, hi = key
-        node, copies, mine = (pdf[c].to_numpy() for c in ("node", "copies", "mine"))
-        unit, near = _unit(pdf["vector"].tolist()), np.array(pdf["near"].tolist())
-        a, b = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-        i, j = np.nonzero(np.triu(unit[a] @ unit[b].T >= threshold, 1) if lo == hi else unit[a] @ unit[b].T >= threshold)
-        i, j = a[i], b[j]
-        here = np.zeros(len(i), bool)
-        for s in range(0, len(i), 200_000):
-            x, y = near[i[s : s + 200_000]], near[j[s : s + 200_000]]
-            both = (x[:, :, None] == y[:, None, :]).any(2)
-            here[s : s + 200_000] = (np.where(both, x, 1 << 30).min(1) == pivot) & (both.sum(1) >= shared)
-        i, j = i[here], j[here]
-        links = np.bincount(i, weights=copies[j], minlength=len(node)) + np.bincount(j, weights=copies[i], minlength=len(node))
-        order = np.argsort(node, kind="stable")
-        place = np.empty(len(node), np.int64)
-        place[order] = np.arange(len(node))
-        root = node[order][roots(len(node), place[i], place[j])[place]]
-        return pd.DataFrame({"node": node, "links": links.astype(np.int64), "root": root})[links > 0]
-
-    found = materialize(dealt.groupBy("pivot", "lo", "hi").applyInPandas(compare, "node long, links long, root long"), "cosine-links")
+    dealt = deal_pairs(with_block_pairs(dealt, "blocks", F.xxhash64("node")), F.xxhash64("pivot")).sortWithinPartitions("pivot", "lo", "hi")
+
+    found = materialize(dealt.mapInArrow(_compare(threshold, plan), "node long, links long, root long"), "cosine-links")
     over = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links")).join(over, "node", "left")
     result = classes.select("h1", "h2", "node", "copies").join(links, "node", "left").select(
