@@ -1,10 +1,12 @@
-"""Line dedup with a sharded minimal perfect hash over frequent line hashes.
-
-Lines are counted by a 128-bit hash of their key, first inside each task, then over the corpus. Hashes found in
-enough documents are dealt into shards by their leading bits; each shard is built into a minimal perfect hash
-(bit levels with ranks) that indexes compact fingerprint, count and holder arrays. Documents probe the arrays.
-While the arrays are small (their size is known before they are sent) every task gets all of them, and no line and
-no text is shuffled. Beyond that size, line hashes are dealt by shard to the arrays, and the hits come back by document.
+"""Line dedup with a sharded minimal perfect hash over distinct line hashes.
+
+Lines are counted by a 128-bit hash of their key, first inside each task, then over the corpus. Distinct hashes that two
+documents hold at least are dealt into shards by their leading bits (a line of one document goes at no threshold, so it
+needs no entry); each shard is built into a minimal perfect hash (bit levels with ranks) that indexes compact fingerprint,
+count and holder arrays. Documents probe the arrays: a line is frequent if its fingerprint is the one stored at its index
+and the count there reaches the threshold. While the arrays are small (their size is known before they are sent) every
+task gets all of them, and no line and no text is shuffled. Beyond that size, line hashes are dealt by shard to the arrays,
+in as many pieces as their number asks for, and the hits come back by document. Results are the same either way.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ MIN_DOCS = 3
 #: Hashes a shard holds on average, and bytes of arrays that are sent to every task at most.
 SHARD_KEYS = 200_000
 BROADCAST_BYTES = 32 << 20
+#: Line hashes that are dealt to one copy of a shard's arrays, about.
+PROBED_LINES = 4_000_000
 #: Distinct lines that a task counts before it passes the counts on.
 HELD_LINES = 300_000
 NO_ID = -(1 << 63)
@@ -87,36 +91,37 @@ class LineIndex:
         cut = np.cumsum([0] + [(s + 7) // 8 for s in sizes])
         bits = np.frombuffer(row["bits"], np.uint8)
         self.hash = PerfectHash([(s, bits[a:b]) for s, a, b in zip(sizes, cut, cut[1:])])
-        self.prints, self.holders = np.frombuffer(row["prints"], np.uint64), np.frombuffer(row["holders"], np.int64)
-        self.twins = np.frombuffer(row["twins"], np.int64).reshape(-1, 3)
+        self.prints, self.counts, self.holders = np.frombuffer(row["prints"], np.uint64), np.frombuffer(row["counts"], np.int32), np.frombuffer(row["holders"], np.int64)
+        self.twins = np.frombuffer(row["twins"], np.int64).reshape(-1, 4)
 
-    def holder(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are of frequent lines, and the document that keeps each."""
+    def dropped(self, h1: np.ndarray, h2: np.ndarray, owner: np.ndarray, min_docs: int) -> np.ndarray:
+        """Which lines go: found in enough documents, and held by another document than theirs."""
         at = self.hash.index(h1)
         safe = np.maximum(at, 0)
         if not len(self.prints):
-            return np.zeros(len(h1), bool), np.zeros(len(h1), np.int64)
-        known, holders = (at >= 0) & (self.prints[safe] == h2), self.holders[safe]
-        for a, b, holder in self.twins:
+            return np.zeros(len(h1), bool)
+        drop = (at >= 0) & (self.prints[safe] == h2) & (self.counts[safe] >= min_docs) & (self.holders[safe] != owner)
+        for a, b, docs, holder in self.twins:
             same = (h1.view(np.int64) == a) & (h2.view(np.int64) == b)
-            known, holders = known | same, np.where(same, holder, holders)
-        return known, holders
+            drop = np.where(same, (docs >= min_docs) & (holder != owner), drop)
+        return drop
 
 
 def _shard_row(shard: int, pdf: pd.DataFrame) -> dict:
     pdf = pdf.sort_values(["h1", "h2"])
     # different lines whose hashes share the first half are next to impossible, but not wrong: all but one go beside the arrays
     twin = pdf.duplicated("h1").to_numpy()
-    twins, pdf = pdf.loc[twin, ["h1", "h2", "holder"]].to_numpy(np.int64), pdf.loc[~twin]
+    held = int(pdf["docs"].sum())
+    twins, pdf = pdf.loc[twin, ["h1", "h2", "docs", "holder"]].to_numpy(np.int64), pdf.loc[~twin]
     h1, h2 = pdf["h1"].to_numpy(np.int64).view(np.uint64), pdf["h2"].to_numpy(np.int64).view(np.uint64)
     ph = PerfectHash.build(h1)
     at = ph.index(h1)
     prints, counts, holders = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int32), np.zeros(len(at), np.int64)
     prints[at], counts[at], holders[at] = h2, np.minimum(pdf["docs"], 2**31 - 1), pdf["holder"]
-    return {"shard": shard, "sizes": [s for s, _, _ in ph.levels], "bits": b"".join(b.tobytes() for _, b, _ in ph.levels), "prints": prints.tobytes(), "counts": counts.tobytes(), "holders": holders.tobytes(), "twins": twins.tobytes()}
+    return {"shard": shard, "held": held, "sizes": [s for s, _, _ in ph.levels], "bits": b"".join(b.tobytes() for _, b, _ in ph.levels), "prints": prints.tobytes(), "counts": counts.tobytes(), "holders": holders.tobytes(), "twins": twins.tobytes()}
 
 
-INDEX = "shard int, sizes array<int>, bits binary, prints binary, counts binary, holders binary, twins binary"
+INDEX = "shard int, held long, sizes array<int>, bits binary, prints binary, counts binary, holders binary, twins binary"
 
 
 def keys_of(text: str | None, min_chars: int) -> tuple[list[bytes], list[int], list[bytes]]:
@@ -169,17 +174,19 @@ def count_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return counted.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("holder").alias("holder"))
 
 
-def line_index(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
-    """One row of arrays per shard, and the number of shard bits, which grows with the number of frequent lines."""
-    # hashes that agree in their first half only would not be distinct keys: deal them by a mix of both halves
-    frequent = materialize(count_lines(docs, min_chars).where(F.col("docs") >= min_docs), "frequent-lines")
-    bits = max(0, (max(1, frequent.count()) // shard_keys).bit_length())
-    shard = F.shiftrightunsigned("h1", 64 - bits).cast("int") if bits else F.lit(0)
+def line_index(docs: DataFrame, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
+    """One row of arrays per shard, and the number of shard bits, which grows with the number of lines that repeat."""
+    repeated = materialize(count_lines(docs, min_chars).where("docs > 1"), "repeated-lines")
+    bits = max(0, (max(1, repeated.count()) // shard_keys).bit_length())
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([_shard_row(int(pdf["shard"].iloc[0]), pdf)])
 
-    return materialize(frequent.withColumn("shard", shard).groupBy("shard").applyInPandas(build, INDEX), "line-index"), bits
+    return materialize(repeated.withColumn("shard", _shard(bits)).groupBy("shard").applyInPandas(build, INDEX), "line-index"), bits
+
+
+def _shard(bits: int):
+    return F.shiftrightunsigned("h1", 64 - bits).cast("int") if bits else F.lit(0)
 
 
 def _decide(texts: list, ids: list, min_chars: int, lookup) -> tuple[list, list, list]:
@@ -205,15 +212,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     code points and is found in at least ``min_docs`` rows, unless the document is the largest ``doc_id`` holding it;
     that one keeps all of its copies. A null or empty text is one empty line and stays as it is; rows that repeat a
     ``doc_id`` count as documents of their own and are kept or cut alike; a null ``doc_id`` is smaller than any other.
+    Ties need no order, since a line has one holder. Texts are read whole, however long. An empty table gives no row.
     With ``carry`` all columns of ``docs`` stay (those named ``n_lines`` or ``n_dropped`` are replaced).
     """
     docs = fresh(docs, "n_lines", "n_dropped") if carry else docs.select("doc_id", "text")
-    index, bits = line_index(docs, min_chars, min_docs, shard_keys)
-    size = index.agg(F.sum(sum(F.length(c) for c in ("bits", "prints", "holders", "twins")))).first()[0] or 0
+    if min_docs < 2:
+        raise ValueError("a line of one document is no repeated line")
+    index, bits = line_index(docs, min_chars, shard_keys)
+    size = index.agg(F.sum(sum(F.length(c) for c in ("bits", "prints", "counts", "holders", "twins")))).first()[0] or 0
     if size > broadcast_bytes:
-        return _routed(docs, index, bits, min_chars)
+        return _routed(docs, index, bits, min_chars, min_docs)
 
-    rows = {r["shard"]: r.asDict() for r in index.select("shard", "sizes", "bits", "prints", "holders", "twins").collect()}
+    rows = {r["shard"]: r.asDict() for r in index.collect()}
     sent = docs.sparkSession.sparkContext.broadcast(rows)
     names, (doc_at, text_at) = docs.columns, (docs.columns.index("doc_id"), docs.columns.index("text"))
 
@@ -225,8 +235,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
             for s in np.unique(of):
                 if int(s) in shards:
                     mine = np.flatnonzero(of == s)
-                    known, holder = shards[int(s)].holder(h1[mine], h2[mine])
-                    drop[mine] = known & (holder != owner[mine])
+                    drop[mine] = shards[int(s)].dropped(h1[mine], h2[mine], owner[mine], min_docs)
             return drop
 
         for batch in batches:
@@ -238,8 +247,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     return docs.mapInArrow(rewrite, f"{own}, n_lines long, n_dropped long")
 
 
-def _routed(docs: DataFrame, index: DataFrame, bits: int, min_chars: int) -> DataFrame:
-    """The way for arrays of any size: hashes go to their shard's arrays in pieces of the corpus, hits come back."""
+def _routed(docs: DataFrame, index: DataFrame, bits: int, min_chars: int, min_docs: int) -> DataFrame:
+    """The way for arrays of any size: hashes stream past their shard's arrays in pieces of the corpus, hits come back."""
     docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
 
     def hashes(batches):
@@ -254,18 +263,29 @@ def _routed(docs: DataFrame, index: DataFrame, bits: int, min_chars: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], ["_row", "owner", "line", "h1", "h2"])
 
     lines = docs.select("_row", "doc_id", "text").mapInArrow(hashes, "_row long, owner long, line int, h1 long, h2 long")
-    salts = 16  # a shard's lines are probed in so many tasks
-    shard = F.shiftrightunsigned("h1", 64 - bits).cast("int") if bits else F.lit(0)
-    left = lines.withColumn("shard", shard).withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
-    right = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-    def probe(mine: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine) or not len(arrays):
-            return pd.DataFrame({"_row": [], "line": []})
-        known, holder = LineIndex(arrays.iloc[0].to_dict()).holder(mine["h1"].to_numpy().view(np.uint64), mine["h2"].to_numpy().view(np.uint64))
-        return mine.loc[known & (holder != mine["owner"].to_numpy()), ["_row", "line"]]
-
-    hits = left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(probe, "_row long, line int")
+    # lines of a shard: those it knows, and its part of the others, which hashes spread evenly
+    n_lines = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)))).first()[0] or 0
+    salts = F.ceil((F.col("held") + F.lit(n_lines / (1 << bits))) / PROBED_LINES).cast("int")
+    copies = materialize(index.select("shard", salts.alias("salts")), "copies")  # a row per shard
+    left = lines.withColumn("shard", _shard(bits)).join(F.broadcast(copies), "shard").withColumn("salt", F.pmod(F.xxhash64("_row", "line"), F.col("salts")).cast("int"))
+    right = index.join(F.broadcast(copies), "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    both = left.withColumn("of_line", F.lit(True)).unionByName(right.withColumn("of_line", F.lit(False)), allowMissingColumns=True).drop("salts", "held")
+    dealt = both.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "of_line")  # the arrays come before their lines
+
+    def probe(batches):
+        arrays = None
+        for batch in batches:
+            begins = np.flatnonzero(~batch.column("of_line").to_numpy(zero_copy_only=False))
+            for a, b in zip([-1, *begins.tolist()], [*begins.tolist(), batch.num_rows]):
+                if a >= 0:
+                    arrays = LineIndex({k: batch.column(k)[a].as_py() for k in ("sizes", "bits", "prints", "counts", "holders", "twins")})
+                mine = batch.slice(a + 1, b - a - 1)
+                if mine.num_rows:
+                    h1, h2, owner = (mine.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("h1", "h2", "owner"))
+                    gone = pa.array(np.flatnonzero(arrays.dropped(h1.view(np.uint64), h2.view(np.uint64), owner, min_docs)))
+                    yield pa.RecordBatch.from_arrays([mine.column("_row").take(gone), mine.column("line").take(gone)], ["_row", "line"])
+
+    hits = dealt.mapInArrow(probe, "_row long, line int")
     gone = hits.groupBy("_row").agg(F.collect_set("line").alias("_gone"))
     joined = docs.join(gone, "_row", "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<int>")))
     lines_of = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
