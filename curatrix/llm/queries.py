@@ -44,14 +44,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from curatrix.llm.chat import format_turns, messages_as_events, read_back
+    from curatrix.llm.chat import format_turns, read_back, turns_as_log
 
     control = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
-    return read_back(format_turns(messages_as_events(rows)))
+    return read_back(format_turns(turns_as_log(rows)))
 
 
 def op6_shard_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
