@@ -16,8 +16,10 @@ from curatrix.llm.common import materialize
 
 SHARDS = 24
 ROUNDS = 4
-#: Ranks inside a shard are counted by so many buckets of linked, and as many of unlinked, documents.
-BUCKETS = 128
+#: Ranks inside a shard are counted by buckets of linked and of unlinked documents: so many at least, of so many rows about.
+BUCKETS, BUCKET_ROWS = 128, 250_000
+#: Repeated rows that are numbered in one piece.
+REPEATS = 10_000
 HOT = 1000
 
 
@@ -39,19 +41,43 @@ def join_by_key(rows: DataFrame, keyed: DataFrame, size: str, n_rows: int, how:
     return at_once.where("_hot").select(*rest.columns).unionByName(rest)
 
 
-def accepted(room: list[float], flow: dict[tuple[int, int], int]) -> list[float]:
-    """The share of its applicants that each shard takes: what leaves a shard makes room in it, so swaps need none."""
-    share = [1.0] * len(room)
-    for _ in range(200):
-        before = list(share)
-        for s in range(len(room)):
-            come = sum(n for (_, b), n in flow.items() if b == s)
-            leave = sum(n * share[b] for (a, b), n in flow.items() if a == s)
-            if come:
-                share[s] = min(share[s], max(0.0, room[s] + leave) / come)
-        if max(x - y for x, y in zip(before, share)) < 1e-6:
-            break
-    return share
+def accepted(room: list[int], flow: dict[tuple[int, int], int]) -> dict[tuple[int, int], float]:
+    """The share of the applicants from one shard to another that may go, such that the most do and no shard overflows.
+
+    What leaves a shard makes room in it. At first all go; then the load of an overfull shard is passed on, along the
+    cheapest path of moves taken back (or granted again), to shards with room. There are as many nodes as shards.
+    """
+    going, load = dict(flow), [-r for r in room]
+    for (a, b), n in flow.items():
+        load[a] -= n
+        load[b] += n
+    for over in range(len(room)):
+        while load[over] > 0:
+            cost, step = {over: 0}, {}
+            for _ in range(len(room)):
+                before = dict(cost)
+                for (a, b), n in flow.items():
+                    for frm, to, price, some in ((b, a, 1, going[(a, b)]), (a, b, -1, n - going[(a, b)])):
+                        if some and frm in cost and cost[frm] + price < cost.get(to, 1 << 30):
+                            cost[to], step[to] = cost[frm] + price, (a, b)
+                if cost == before:
+                    break
+            free = [s for s in cost if load[s] < 0]
+            if not free:
+                break
+            at = min(free, key=lambda s: (cost[s], s))
+            path, some = [], min(load[over], -load[at])
+            end = at
+            while at != over:
+                a, b = step[at]
+                path.append((a, b, at == a))
+                some = min(some, going[(a, b)] if at == a else flow[(a, b)] - going[(a, b)])
+                at = b if at == a else a
+            for a, b, back in path:
+                going[(a, b)] += -some if back else some
+            load[over] -= some
+            load[end] += some
+    return {k: going[k] / n for k, n in flow.items()}
 
 
 def propagate(rows: DataFrame, n_rows: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -81,24 +107,28 @@ def propagate(rows: DataFrame, n_rows: int, shards: int = SHARDS, rounds: int =
         if not flow:
             return wish.drop("to")
         share = accepted([quota - held.get(s, 0) for s in range(shards)], flow)
-        go = (F.col("to") != F.col("shard")) & (_share("rid", F.lit(-step - 1)) < _pick(share, F.col("to")))
+        if not any(share.values()):
+            return wish.drop("to")
+        shares = [share.get((a, b), 0.0) for a in range(shards) for b in range(shards)]
+        go = (F.col("to") != F.col("shard")) & (_share("rid", F.lit(-step - 1)) < _pick(shares, F.col("shard") * shards + F.col("to")))
         rows = wish.withColumn("shard", F.when(go, F.col("to")).otherwise(F.col("shard"))).drop("to")
     return rows
 
 
 def even_out(rows: DataFrame, n_rows: int, shards: int = SHARDS) -> DataFrame:
     """Final ``shard`` and gapless ``slot``; a shard's last ranks (unlinked documents) move to shards that lack rows."""
-    part = F.pmod("rid", F.lit(BUCKETS)).cast("int") + F.when(F.col("linked"), 0).otherwise(BUCKETS)
+    buckets = max(BUCKETS, n_rows // (shards * BUCKET_ROWS))
+    part = F.pmod("rid", F.lit(buckets)).cast("int") + F.when(F.col("linked"), 0).otherwise(buckets)
     rows = materialize(rows.withColumn("part", part), "dealt")
     counts = {(r[0], r[1]): r[2] for r in rows.groupBy("shard", "part").count().collect()}
-    have = [sum(counts.get((s, p), 0) for p in range(2 * BUCKETS)) for s in range(shards)]
+    have = [sum(counts.get((s, p), 0) for p in range(2 * buckets)) for s in range(shards)]
     # the fullest shards get the extra rows
     more = sorted(range(shards), key=lambda s: (-have[s], s))[: n_rows % shards]
     want = [n_rows // shards + (s in more) for s in range(shards)]
     offsets, moved, filled, out_at, in_at = [], [], [], 0, []
     for s in range(shards):
         at = 0
-        for p in range(2 * BUCKETS):
+        for p in range(2 * buckets):
             offsets.append((s, p, at))
             at += counts.get((s, p), 0)
         moved.append(out_at)
@@ -108,7 +138,7 @@ def even_out(rows: DataFrame, n_rows: int, shards: int = SHARDS) -> DataFrame:
         in_at.append(at)
         at += max(0, want[s] - have[s])
     ranks = rows.sparkSession.createDataFrame(offsets, "shard int, part int, base long")  # a row per shard and bucket
-    at = F.row_number().over(Window.partitionBy("shard", "part").orderBy("rid", "doc_id")) - 1
+    at = F.row_number().over(Window.partitionBy("shard", "part").orderBy("rid", "doc_id", "k1", "k2")) - 1
     ranked = rows.withColumn("at", at).join(F.broadcast(ranks), ["shard", "part"]).withColumn("rank", F.col("base") + F.col("at"))
     over = F.col("rank") >= _pick(want, F.col("shard"))
     ranked = ranked.withColumn("turn", F.when(over, _pick(moved, F.col("shard")) + F.col("rank") - _pick(want, F.col("shard"))))
@@ -122,13 +152,20 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     """Every document with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard``, under the law ``rows``.
 
     Equal texts are linked; null texts count as equal to each other and to the empty text. Repeated rows are rows like
-    others. An empty table gives no row. Other columns are not looked at. With fewer rows than shards some stay empty.
+    others: they are counted and numbered, so that the result follows from the rows alone and not from where they lie. Ties
+    are broken by hashes of the row. A text of any length costs its hashes. An empty table gives no row. Other columns are
+    not looked at, so their names cannot clash. With fewer rows than shards some stay empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"), F.monotonically_increasing_id().alias("row"),
-    ).withColumn("rid", F.xxhash64("doc_id", "k1", "row")).drop("row").withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
+    counted = docs.select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
+    ).groupBy("doc_id", "size", "text_crc32", "k1", "k2").agg(F.count(F.lit(1)).alias("times"))
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / REPEATS).cast("int"))))
+    pieces = pieces.repartition("doc_id", "k1", "piece")  # a row that stands very often is numbered by several tasks
+    first = F.col("piece").cast("long") * REPEATS
+    number = F.explode(F.sequence(first, F.least(first + (REPEATS - 1), F.col("times") - 1)))
+    rows = pieces.select("doc_id", "size", "text_crc32", "k1", "k2", number.alias("number")).withColumn("rid", F.xxhash64("doc_id", "k1", "k2", "number")).drop("number")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
     rows = materialize(rows, "documents")
     n_rows = rows.count()
     groups = rows.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("several"), "count")
