@@ -102,7 +102,8 @@ def judge(docs: DataFrame, model: np.ndarray, min_llr: float = MIN_LLR, carry: b
     """Every document with its base counts, ``llr`` and ``kept``; with ``carry``, after all of its own columns.
 
     A null or empty text has no words and fails the base rules. Ties and repeated rows are judged each on its own
-    text. Columns of ``docs`` named like a result column are left out. An empty table gives an empty result.
+    text, whole and however long; the verdict does not depend on which rows lie beside it. Columns of ``docs`` named like a
+    result column are left out. An empty table gives an empty result.
     """
     added = [x.strip().split()[0] for x in BASE.split(",")] + ["llr", "kept"]
     docs = fresh(docs, *added) if carry else docs.select("doc_id", "text")
@@ -115,10 +116,12 @@ def judge(docs: DataFrame, model: np.ndarray, min_llr: float = MIN_LLR, carry: b
             llr = np.zeros(len(texts))
             for first, run in _chunks(texts):
                 ends = np.cumsum([len(x) for x in run])
-                total = np.concatenate([[0.0], np.cumsum(table.value[_grams(b"".join(run))])])
-                begin, stop = ends - [len(x) for x in run], np.maximum(ends - 3, 0)
-                n = np.maximum(stop - begin, 0)
-                llr[first : first + len(run)] = np.where(n > 0, total[np.minimum(np.maximum(stop, begin), len(total) - 1)] - total[np.minimum(begin, len(total) - 1)], 0) / np.maximum(n, 1)
+                begin = ends - [len(x) for x in run]
+                n = np.maximum(ends - 3 - begin, 0)
+                # each text's own sum, so that its neighbours do not touch even the last digit
+                terms = np.append(table.value[_grams(b"".join(run))], [0.0] * 4)
+                total = np.add.reduceat(terms, np.stack([begin, begin + n], 1).ravel())[::2]
+                llr[first : first + len(run)] = np.where(n > 0, total, 0) / np.maximum(n, 1)
             base = np.array([base_counts(t or "") for t in texts], np.int64).reshape(-1, 5)
             failed = (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
             cols = [*batch.columns, *(pa.array(base[:, k]) for k in range(5)), pa.array(failed), pa.array(llr), pa.array(~failed & (llr >= min_llr))]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import fresh
 
 # Fixed patterns and lengths.
-ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)  # letters of ASCII only, in either case
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "entropy")
@@ -60,7 +60,10 @@ def densest_window(text: str, chars: frozenset, width: int = WINDOW) -> float:
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
-    """Candidates dense enough for a class and not on the allow-list. Prose has no digits inside its words."""
+    """Candidates dense enough for a class and not on the allow-list.
+
+    A string of letters only is never a secret here: prose has no digits inside its words, and long words are as dense.
+    """
     found = []
     for m in CANDIDATE.finditer(text):
         s = m.group()
@@ -107,8 +110,8 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]")
 def scan_secrets(docs: DataFrame, carry: bool = False) -> DataFrame:
     """Every document with its span counts, a digest of the fixed spans, all spans and the text with spans masked.
 
-    A null text counts as empty and stays null when masked. Each row is scanned on its own, so repeated rows and ties
-    give repeated results. With ``carry`` the columns of ``docs`` come first (those named like a result column go).
+    A null text counts as empty and stays null when masked. Texts are scanned whole, however long, each row on its own, so
+    repeated rows and ties give repeated results. An empty table gives an empty result. With ``carry`` the columns of ``docs`` come first (those named like a result column go).
     """
     added = [x.strip().split()[0] for x in RESULT.split(",")]
     docs = fresh(docs, *added) if carry else docs.select("doc_id", "text")
