@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import pytest
@@ -89,6 +90,31 @@ def test_formatted_turns_read_back(spark):
     assert chat.read_back(chat.format_turns(chat.messages_as_events(df.limit(0)))).collect() == []
 
 
+def test_a_log_of_drafts_deltas_edits_and_regenerations_comes_to_the_same_turns(spark):
+    rng = random.Random(4)
+    pool = ["[INST]", "</s>", "\\", "x", "\n", "é😀", "<", "] ", " "]
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", None]), "".join(rng.choice(pool) for _ in range(rng.choice([0, 3, 40, 300])))) for c in range(12) for t in range(7)]
+    rows += [(0, 3, "assistant", None), (0, 3, "user", None), (None, None, "user", "x"), (None, None, "user", "x")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, kind string")
+    log = chat.turns_as_log(df, piece=50)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    plain = chat.read_back(chat.format_turns(chat.messages_as_events(df)))
+    assert Counter(chat.read_back(chat.format_turns(log)).collect()) == Counter(plain.collect())
+    assert chat.read_back(chat.format_turns(chat.turns_as_log(df.limit(0)))).collect() == []
+
+
+def test_a_turn_of_any_length_is_parsed_in_little_memory():
+    import tracemalloc
+
+    text = "a \\[b\\<c\\\\ " * 2_000_000  # 20 million characters of the format
+    formatted = f"[INST] {text} [/INST]{text}</s>"
+    tracemalloc.start()
+    sizes = [(role, len(x)) for role, x, _ in chat.parse(formatted)]
+    assert tracemalloc.get_traced_memory()[1] < 400_000_000
+    tracemalloc.stop()
+    assert sizes == [("user", 16_000_000), ("assistant", 16_000_000)]
+
+
 # sharding
 
 
@@ -106,6 +132,34 @@ def test_shards_are_even_and_slots_gapless(spark, n):
     assert all(r.law == "rows" and r.grown_shard is None for r in got)
 
 
+def test_most_applicants_go_and_no_shard_overflows():
+    assert sharding.accepted([0, 0, 0], {(0, 1): 5, (1, 2): 5, (2, 0): 5}) == {(0, 1): 1, (1, 2): 1, (2, 0): 1}
+    assert sharding.accepted([3, 0], {(1, 0): 5}) == {(1, 0): 0.6} and sharding.accepted([0, 9], {(1, 0): 5}) == {(1, 0): 0}
+    rng = random.Random(3)
+    for _ in range(200):
+        room = [rng.randint(0, 3) for _ in range(3)]
+        flow = {(a, b): rng.randint(1, 3) for a in range(3) for b in range(3) if a != b and rng.random() < 0.7}
+        share = sharding.accepted(room, flow)
+        go = {k: round(share[k] * n) for k, n in flow.items()}
+        loads = lambda x: [sum(n for (_, b), n in x.items() if b == s) - sum(n for (a, _), n in x.items() if a == s) for s in range(3)]
+        assert all(v <= r for v, r in zip(loads(go), room))
+        best = max(sum(x) for x in product(*(range(n + 1) for n in flow.values())) if all(v <= r for v, r in zip(loads(dict(zip(flow, x))), room)))
+        assert sum(go.values()) == best
+
+
+def test_shards_do_not_depend_on_where_rows_lie(spark):
+    rows = [(i % 150, f"group {i // 6}" if i % 2 else "hot") for i in range(600)] + [(None, None)] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [Counter(tuple(r) for r in sharding.shard_documents(df.repartition(n)).collect()) for n in (3, 7)]
+    assert got[0] == got[1]
+
+
+def test_rows_that_stand_often_are_numbered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "REPEATS", 7)
+    got = sharding.shard_documents(spark.createDataFrame([(1, "x")] * 50 + [(2, "x")], "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in got) == {1: 50, 2: 1} and len({(r.shard, r.slot) for r in got}) == 51
+
+
 def test_labels_gather_copies(spark):
     rows = [(i, f"group {i // 6}") for i in range(3000)]
     got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -178,6 +232,52 @@ def test_prefix_is_shortened_until_the_recall_is_met():
         assert k == jaccard.DEPTH or 1 - (1 - s ** (k + 1)) ** jaccard.TREES < jaccard.TARGET_RECALL
 
 
+def plain_signature_pair(rng, n, share):
+    """Two sets of n of which ``share`` is common to both, as sorted hashes."""
+    u = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    common, rest = u[: round(len(u) * share)], u[round(len(u) * share) :]
+    return np.sort(np.concatenate([common, rest[::2]])), np.sort(np.concatenate([common, rest[1::2]]))
+
+
+@pytest.mark.parametrize("n", [5, 10, 40, 300])
+def test_signatures_agree_as_sets_do_and_meet_in_a_tree(n):
+    rng, agree, met = np.random.default_rng(n), [], 0
+    for _ in range(400):
+        x, y = (np.frombuffer(jaccard.signature(s), "<u2") for s in plain_signature_pair(rng, n, 0.8))
+        agree.append((x == y).mean())
+        met += (x == y).reshape(jaccard.TREES, jaccard.DEPTH)[:, : jaccard.prefix_depth(0.8)].all(1).any()
+    assert abs(np.mean(agree) - 0.8) < 0.01 and min(agree) > 0.8 - jaccard.SLACK
+    assert met >= 399
+
+
+def test_descent_stops_where_all_rows_are_joined_and_goes_on_where_they_are_not():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 16, 128).astype("<u2")
+    alike = np.tile(base, (60, 1))
+    alike[np.arange(60), rng.integers(8, 128, 60)] += 1
+    lab, compared = jaccard.descend(alike, alike[:, :8], 0.55, 4)
+    assert (lab == 0).all() and compared == [59, 0, 0, 0, 0]  # full depth joins all; shorter prefixes compare nothing
+    apart = alike.copy()
+    apart[30:, 5:8] += np.arange(30, 60, dtype="<u2")[:, None]  # these share five values only, and no two share more
+    lab, compared = jaccard.descend(apart, apart[:, :8], 0.55, 4)
+    assert (lab == 0).all() and compared[0] == 29 and compared[1] == compared[2] == 0 and compared[3] >= 30 and compared[4] == 0
+
+
+def test_descent_finds_the_components_of_all_pairs():
+    rng = np.random.default_rng(6)
+    centres = rng.integers(0, 1 << 16, (6, 128)).astype("<u2")
+    sig = centres[rng.integers(0, 6, 200)]
+    sig[:, :4] = 7  # one subtree
+    for r in sig:
+        r[rng.random(128) < rng.choice([0.05, 0.3])] = rng.integers(0, 1 << 16)
+    sig[:, :4] = 7
+    sig = sig[np.lexsort(sig[:, :8].T[::-1])]
+    lab, _ = jaccard.descend(sig, sig[:, :8], 0.55, 4)
+    ok = (sig[:, None, :] == sig[None, :, :]).mean(2) >= 0.55
+    i, j = np.nonzero(np.triu(ok, 1))
+    assert np.array_equal(lab, jaccard.roots(len(sig), i, j))
+
+
 # pivots
 
 
@@ -206,6 +306,41 @@ def test_cosine_links_against_brute_force(spark, monkeypatch, block):
     assert len(got) == len(rows) + len(bad)
 
 
+def test_recall_by_cosine_band_in_64_dimensions(spark):
+    """Pairs spread over the bands from 0.9 on; the least recall over bands is recorded in the README."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    noise = rng.normal(size=(2000, 64))
+    noise -= (noise * base[:2000]).sum(1, keepdims=True) * base[:2000]
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    cos = np.repeat([0.9005, 0.91, 0.93, 0.96, 0.99], 400)[:, None]
+    m = np.concatenate([base, cos * base[:2000] + np.sqrt(1 - cos**2) * noise])
+    got = {r.vec_id: r for r in pivots.cosine_links(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")).collect()}
+    ok = m @ m.T >= 0.9
+    np.fill_diagonal(ok, False)
+    assert all(got[i].n_links <= n for i, n in enumerate(ok.sum(1)))
+    for k in range(5):
+        pairs = range(400 * k, 400 * (k + 1))
+        assert np.mean([got[i].component_id == got[3000 + i].component_id for i in pairs]) >= 0.95
+
+
+def test_order_of_pivots_decides_what_is_retrieved():
+    x, y = np.array([[1, 2, 3, 4, 5, 6, 7, 8]]), np.array([[5, 6, 7, 8, 1, 2, 3, 4]])
+    assert not pivots.retrieved(x, y, 4, 2)[0] and pivots.retrieved(x, y, 5, 2)[0]
+    assert not pivots.retrieved(x, np.array([[1, 12, 13, 14, 15, 16, 17, 18]]), 4, 2)[0]
+    rng = np.random.default_rng(2)
+    units, some = pivots.unit(rng.normal(size=(300, 16))), pivots.unit(rng.normal(size=(100, 16)))
+    assert np.array_equal(pivots.permutations(units, some), np.argsort(-(units @ some.T), axis=1, kind="stable")[:, :8])
+
+
+def test_cosines_of_very_large_small_and_unequal_vectors(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 1e190]), (3, [1e-200, 1e-200]), (4, [3e-200, 3.1e-200]), (5, [1e-200, -1e-200]), (6, [1.0, 1.0, 1.0]), (7, [1.0, 1.0, 1.01]), (8, [5e-324, 0.0]), (9, [-1.0])]
+    df = spark.createDataFrame([(i, v, "clash") for i, v in rows], "vec_id long, embedding array<double>, kept string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.cosine_links(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 8: (2, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 9: (0, 9)}
+
+
 def test_cosine_of_an_empty_table(spark):
     assert pivots.cosine_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
