@@ -204,10 +204,20 @@ def cross_species_group_means(expr: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def delta_test(gaps: DataFrame) -> DataFrame:
-    """Paired t statistics of the gaps, first against last round, over species; more than two are needed."""
+    """Paired t statistics of the gaps, first against last round, over species, with two-sided p; more than two are needed."""
+    from curatrix.operators.batch import f_tail
+
     out = gaps.select((F.col("between_first") - F.col("between_last")).alias("b"), (F.col("within_first") - F.col("within_last")).alias("w"))
     t = lambda c: F.when(F.count(c) > 2, F.try_divide(F.avg(c) * F.sqrt(F.count(c)), F.stddev_samp(c)))
-    return out.agg(F.count("b").alias("n"), t("b").alias("t_between"), t("w").alias("t_within"))
+    stats = out.agg(F.count("b").alias("n"), t("b").alias("t_between"), t("w").alias("t_within"))
+
+    def tails(batches):
+        for pdf in batches:  # one row
+            for c in ("between", "within"):
+                pdf[f"p_{c}"] = [float(f_tail(np.array([v * v]), 1, n - 1)[0]) if n > 2 and v == v else None for v, n in zip(pdf[f"t_{c}"], pdf["n"])]
+            yield pdf
+
+    return stats.mapInPandas(tails, "n long, t_between double, t_within double, p_between double, p_within double")
 
 
 def delta_pcc(rounds: DataFrame) -> DataFrame:

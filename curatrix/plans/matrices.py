@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from curatrix.operators import corr as C
@@ -136,16 +138,14 @@ def impute_row_mean(spark, d):
     return E.impute_row_mean(B.expr(spark, d)).select("target_id", "run", "value")
 
 
-@query(cte("expr") + ", e as (select * from expr where substr(run, 2)::int % 13 < 3) select target_id, run, value from e where target_id in (select target_id from e group by 1 having count(value) = (select count(distinct run) from e))")
-def strict_rows(spark, d):
-    """Some runs, as its SQL has it; all are in ``strict_rows_whole``."""
-    return E.strict_rows(B.expr(spark, d).where("cast(substr(run, 2) as int) % 13 < 3")).select("target_id", "run", "value")
+HOLES = "h as (select target_id, run, case when target_id like '%1%' and cast(run as int) % 7 = 0 then null else value end as value from counts)"
 
 
-@query(None)
-def strict_rows_whole(spark, d):
-    """All runs; from 13 consecutive ones on the missing cells of the table leave no complete target."""
-    return E.strict_rows(B.expr(spark, d)).select("target_id", "run", F.round("value", 6).alias("value"))
+@query(cte("counts") + f", {HOLES} select target_id, run, value from h where target_id in (select target_id from h group by 1 having count(value) = (select count(distinct run) from h))")
+def strict_rows(spark, d):
+    """All runs, some of which lack brands with a 1."""
+    lacks = F.col("target_id").contains("1") & (F.col("run").cast("int") % 7 == 0)
+    return E.strict_rows(B.counts(spark, d).withColumn("value", F.when(~lacks, F.col("value")))).select("target_id", "run", "value")
 
 
 # TMM
@@ -217,9 +217,13 @@ def average_ranks(spark, d):
     return B.counts(spark, d).select("run", N.average_rank(["run"], F.col("value")).alias("r"), "target_id")
 
 
-@query(None)
+SINGLE = "one as (select busco_id, count(*) filter (position(',' in sequence) = 0) * 100.0 / 5 as percent from ortho group by 1)"
+CELLS = "cells as (select o.busco_id as target_id, r.run, g.value from ortho o join (select distinct species, run from gene_expr) r on r.species = o.species left join gene_expr g on g.species = o.species and g.run = r.run and g.target_id = o.sequence where o.busco_id in (select busco_id from one where percent >= 50))"
+
+
+@query(cte("ortho", "gene_expr") + f", {SINGLE}, {CELLS}, lib as (select run, sum(value) as library_size from gene_expr group by 1), counts as (select target_id, run, coalesce(value, avg(value) over (partition by target_id), 0.0) as value from cells), {TMM.removeprefix(LIB + ', ')} select run, factor from bg")
 def cstmm(spark, d):
-    """Ortholog cells of all species against libraries of all genes; checked in the tests."""
+    """Ortholog cells of all species against libraries of all genes."""
     g = B.gene_expr(spark, d)
     counts = O.single_copy(O.genecount(B.ortho(spark, d)), 5, 50.0)
     cells = O.ortholog_expression(B.ortho(spark, d).join(counts.select("busco_id"), "busco_id", "left_semi"), g)
@@ -241,17 +245,10 @@ def correlation_matrix_spearman(spark, d):
     return C.correlation_matrix(B.counts(spark, d), "spearman")
 
 
-@query(cte("counts") + """, p as (select a.run as run_a, b.run as run_b, x.value as x1, y.value as x2, a.value as y0, b.value as y1 from counts a join counts b on a.target_id = b.target_id and a.run < b.run join counts x on x.run = a.run join counts y on y.run = b.run and y.target_id = x.target_id where cast(a.run as int) % 5 = 0 and cast(b.run as int) % 5 = 0)
+@query(cte("counts") + """, p as (select a.run as run_a, b.run as run_b, x.value as x1, y.value as x2, a.value as y0, b.value as y1 from counts a join counts b on a.target_id = b.target_id and a.run < b.run join counts x on x.run = a.run join counts y on y.run = b.run and y.target_id = x.target_id)
  select run_a, run_b, cast(sqrt(count(*)) as bigint) as n_pairs, sum(sign(x1 - y0) * sign(x2 - y1)) / sqrt(cast(count(*) filter (x1 <> y0) as double) * count(*) filter (x2 <> y1)) as r from p group by all""")
 def correlation_matrix_kendall(spark, d):
-    """Every fifth run, as its SQL has it; all runs are in ``correlation_matrix_kendall_whole``."""
-    return C.kendall_matrix(B.counts(spark, d).where("cast(run as int) % 5 = 0"))
-
-
-@query(None)
-def correlation_matrix_kendall_whole(spark, d):
-    """All runs; checked by brute force in the tests."""
-    return C.kendall_matrix(B.counts(spark, d)).withColumn("r", F.round("r", 6))
+    return C.kendall_matrix(B.counts(spark, d))
 
 
 @query(cte("expr", "expr_meta") + """, m as (select target_id, avg(value) as ref from expr group by 1) select run, count(value) as n_pairs, case when count(value) > 1 and stddev_samp(value) > 1e-9 then corr(value, ref) end as r from expr join m using (target_id) group by 1""")
@@ -290,11 +287,16 @@ def ws_correlation_metrics(spark, d):
     return C.ws_correlation_metrics(B.expr(spark, d), B.expr_meta(spark, d))
 
 
-@query(cte("expr", "expr_meta") + """, k as (select run, species, sample_group from expr_meta where exclusion = 'no'), e as (select target_id, run, value, species, sample_group from expr join k using (run)),
-g as (select target_id, species as of_species, sample_group as of_group, sum(value) as s, count(value) as n from e group by all),
-p as (select e.run, e.species, e.sample_group, of_group, e.target_id, value, median(case when of_species = species and of_group = sample_group then case when n - (value is not null)::int > 0 then (s - coalesce(value, 0)) / (n - (value is not null)::int) end when n > 0 then s / n end) as ref from e join g using (target_id) group by all),
-r as (select species, run, sample_group, of_group, case when stddev_samp(value) filter (ref is not null) > 1e-9 then corr(value, ref) end as r from p group by all)
-select species, run, sample_group, max(r) filter (of_group = sample_group) as within, max(r) filter (of_group <> sample_group) as max_other, max(r) filter (of_group = sample_group) - max(r) filter (of_group <> sample_group) as margin from r group by all""")
+def _cs_sql(out: str, table: str = "expr") -> str:
+    """CTEs of cross-species metrics of ``table``, the last one named ``out``."""
+    return f"""{out}e as (select target_id, run, value, species, sample_group from {table} join (select * from expr_meta where exclusion = 'no') using (run)),
+{out}g as (select target_id, species as of_species, sample_group as of_group, sum(value) as s, count(value) as n from {out}e group by all),
+{out}p as (select e.run, e.species, e.sample_group, of_group, e.target_id, value, median(case when of_species = species and of_group = sample_group then case when n - (value is not null)::int > 0 then (s - coalesce(value, 0)) / (n - (value is not null)::int) end when n > 0 then s / n end) as ref from {out}e e join {out}g g using (target_id) group by all),
+{out}r as (select species, run, sample_group, of_group, case when stddev_samp(value) filter (ref is not null) > 1e-9 then corr(value, ref) end as r from {out}p group by all),
+{out} as (select species, run, sample_group, max(r) filter (of_group = sample_group) as within, max(r) filter (of_group <> sample_group) as max_other, max(r) filter (of_group = sample_group) - max(r) filter (of_group <> sample_group) as margin from {out}r group by all)"""
+
+
+@query(cte("expr", "expr_meta") + f", {_cs_sql('cs')} select * from cs")
 def cs_correlation_metrics(spark, d):
     return C.cs_correlation_metrics(B.expr(spark, d), B.expr_meta(spark, d))
 
@@ -313,7 +315,11 @@ def delta_pcc(spark, d):
     return _gaps(spark, d)
 
 
-@query(f"with g as ({DELTA}) select count(*) as n, avg(between_first - between_last) * sqrt(count(*)) / stddev_samp(between_first - between_last) as t_between, avg(within_first - within_last) * sqrt(count(*)) / stddev_samp(within_first - within_last) as t_within from g")
+#: Two-sided tail of t with six degrees of freedom (seven species), which has a closed form.
+T6 = "1 - sin(atan(abs({0}) / sqrt(6))) * (1 + pow(cos(atan(abs({0}) / sqrt(6))), 2) / 2 + 3 * pow(cos(atan(abs({0}) / sqrt(6))), 4) / 8)"
+
+
+@query(f"select *, {T6.format('t_between')} as p_between, {T6.format('t_within')} as p_within from (with g as ({DELTA}) select count(*) as n, avg(between_first - between_last) * sqrt(count(*)) / stddev_samp(between_first - between_last) as t_between, avg(within_first - within_last) * sqrt(count(*)) / stddev_samp(within_first - within_last) as t_within from g)")
 def delta_pcc_test(spark, d):
     return C.delta_test(_gaps(spark, d))
 
@@ -344,17 +350,42 @@ def one_outlier_per_iteration(spark, d):
     return L.one_per_iteration(B.runs(spark, d).where("mapping_rate < 50"), [F.col("mapping_rate"), F.col("run")]).select("run")
 
 
-@query(None)
+def _flag_sql(out: str, table: str, keys: str, margin: str, z: float) -> str:
+    """CTEs of margins under 0 whose robust z in a group is at most ``z``, or whose group is too small for one."""
+    return f"""{out}m as (select {keys}, median({margin}) as mid, count({margin}) as n, stddev_samp({margin}) as sd from {table} group by all),
+{out}h as (select t.*, mid, n, sd from {table} t join {out}m using ({keys})),
+{out}d as (select {keys}, median(abs({margin} - mid)) as mad from {out}h group by all),
+{out} as (select * from (select h.*, case when n >= 3 and {margin} is not null then case when mad > 0 then ({margin} - mid) / (1.4826 * mad) when sd > 0 then ({margin} - mid) / sd else 0 end end as z from {out}h h join {out}d using ({keys})) where {margin} < 0 and (z <= {z} or z is null))"""
+
+
+def _ws_sql(rounds: int) -> str:
+    """The filter's rounds one after the other; rounds after the last that flags a run change nothing."""
+    out = ["k0 as materialized (select run, species, sample_group, bioproject from expr_meta where exclusion = 'no')"]
+    for i in range(rounds):
+        ws = re.sub(r"\b([egprw]) as \(", rf"\g<1>{i} as (", WS.split("\n", 1)[1])
+        ws = re.sub(r"from e\b", f"from e{i}", re.sub(r"from p\b", f"from p{i}", re.sub(r"from r\b", f"from r{i}", ws)))
+        ws = re.sub(r"join g\b", f"join g{i} g", ws).replace(f"from e{i} join", f"from e{i} e join")
+        out += [
+            f"e{i} as materialized (select target_id, run, value, species, sample_group from expr join k{i} using (run))", ws, f"v{i} as materialized (select run, species, sample_group, within - max_other as margin from w{i})",
+            _flag_sql(f"f{i}", f"v{i}", "species, sample_group", "margin", -1.5),
+            f"o{i} as (select run from (select run, row_number() over (partition by species, bioproject order by margin, run) as a, row_number() over (partition by species, f.sample_group order by margin, run) as b from (select f.*, bioproject from f{i} f join k{i} using (run)) f) where a = 1 or b = 1)",
+            f"k{i + 1} as materialized (select * from k{i} where run not in (select run from o{i}))",
+        ]
+    return ", ".join(out) + f" select run, case when exclusion = 'no' and run not in (select run from k{rounds}) then 'low_within_sample_group_correlation' else exclusion end as exclusion from expr_meta"
+
+
+@query(cte("expr", "expr_meta") + ", " + _ws_sql(12))
 def wsfilter(spark, d):
-    """The loop has as many rounds as the data ask for; checked in the tests."""
-    m = B.expr_meta(spark, d)
-    return L.wsfilter(B.expr(spark, d), m, 0.0, -1.5).select("run", "exclusion")
+    """The loop has as many rounds as the data ask for; at the scale of its SQL they are fewer than the SQL's."""
+    return L.wsfilter(B.expr(spark, d), B.expr_meta(spark, d), 0.0, -1.5).select("run", "exclusion")
 
 
-@query(None)
+@query(cte("expr", "expr_meta") + f""", x as (select target_id, run, value * (1 + cast(substr(target_id, 2) as int) % 5) as value from expr), {_cs_sql('u')}, {_cs_sql('c', 'x')}, {_flag_sql('o', 'c', 'sample_group', 'margin', -1.5)}
+select run, u.margin as margin_uncorrected, c.margin as margin_corrected, case when run in (select run from o) then 'low_cross_species_group_correlation' else exclusion end as exclusion from expr_meta left join u using (run) left join c using (run)""")
 def csfilter(spark, d):
     e = B.expr(spark, d)
-    return L.csfilter(e, e.withColumn("value", F.col("value") * 2), B.expr_meta(spark, d), 0.0, -1.5).select("run", "margin_uncorrected", "margin_corrected", "exclusion")
+    corrected = e.withColumn("value", F.col("value") * (1 + F.substring("target_id", 2, 9).cast("int") % 5))
+    return L.csfilter(e, corrected, B.expr_meta(spark, d), 0.0, -1.5).select("run", "margin_uncorrected", "margin_corrected", "exclusion")
 
 
 # taxonomy
@@ -398,18 +429,18 @@ def name_to_taxid(spark, d):
 
 # orthologs
 
-SINGLE = "one as (select busco_id, count(*) filter (position(',' in sequence) = 0) * 100.0 / 5 as percent from ortho group by 1)"
-
-
 @query(cte("ortho") + " select busco_id, cast(species as int) as species, len(string_split(sequence, ',')) as n_genes from ortho")
 def genecount(spark, d):
     return O.genecount(B.ortho(spark, d))
 
 
-@query(cte("ortho") + " select busco_id, cast(species as int) as species, sequence as genes from ortho")
+@query(cte("ortho") + """, d as (select cast(p_partkey // 2 as varchar) as busco_id, arg_min(p_name, species * 100000000 + p_partkey) filter (p_partkey % 4 <> 0) as description from part cross join (select unnest(range(0, 5)) as species) s where (p_partkey + species) % 3 <> 0 group by 1)
+ select busco_id, cast(species as int) as species, coalesce(sequence, '-') as genes, '-' as orthodb_url, coalesce(description, '-') as description from d cross join (select unnest(range(0, 5)) as species) s left join ortho using (busco_id, species)""")
 def orthogroup_table(spark, d):
-    m = B.table(spark, d, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("species")).where("(p_partkey + species) % 3 <> 0")
-    return O.orthogroup_table(m.select(F.floor(F.col("p_partkey") / 2).cast("string").alias("busco_id"), "species", F.col("p_partkey").cast("string").alias("sequence"), F.col("p_partkey").alias("pos")))
+    k = F.col("p_partkey")
+    m = B.table(spark, d, "part").select("p_partkey", "p_name", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("species")).where("(p_partkey + species) % 3 <> 0")
+    m = m.select(F.floor(k / 2).cast("string").alias("busco_id"), "species", k.cast("string").alias("sequence"), k.alias("pos"), F.lit("-").alias("orthodb_url"), F.when(k % 4 != 0, F.col("p_name")).otherwise("-").alias("description"))
+    return O.described(O.orthogroup_table(m), m)
 
 
 @query(cte("ortho") + f", {SINGLE} select * from one where percent >= 50")

@@ -64,21 +64,13 @@ def target_bp_per_run(spark, d):
     return R.target_bp_per_run(B.meta(spark, d), 1e12)
 
 
-@query("""with r as (select l_orderkey * 10 + l_linenumber as pos, l_partkey, 50.0 + l_linenumber * 10 as len, cast(floor(l_extendedprice) as bigint) as total, cast(floor(l_extendedprice / 2) as bigint) as used, l_quantity * 40000 as target, 1 - l_discount as rate from lineitem where l_suppkey = 3),
-q as (select min(pos) as pos, len, total, used, target, rate, l_partkey from r group by all), x as (select cast(row_number() over (order by pos, l_partkey, total) as int) as pos, len, total, used, target, rate from q),
+@query("""with r as (select l_suppkey, l_orderkey * 10 + l_linenumber as pos, l_partkey, 50.0 + l_linenumber * 10 as len, cast(floor(l_extendedprice) as bigint) as total, cast(floor(l_extendedprice / 2) as bigint) as used, l_quantity * 40000 as target, 1 - l_discount as rate from lineitem),
+q as (select min(pos) as pos, len, total, used, target, rate, l_partkey, l_suppkey from r group by all), x as (select cast(row_number() over (partition by l_suppkey order by pos, l_partkey, total) as int) as pos, len, total, used, target, rate, l_suppkey from q),
 a as (select *, cast(ceil(target / len / rate) as bigint) as need, greatest(total - used, 0) as free from x), b as (select *, least(need, free) as own from a), c as (select *, (need - own) * len as short, (free - own) * len as cap from b),
-e as (select *, sum(short) over () - coalesce(sum(cap) over (order by pos rows between unbounded preceding and 1 preceding), 0) as rest from c)
-select pos, own + cast(case when rest <= 0 then 0 when rest >= cap then free - own else ceil(rest / len) end as bigint) as reads from e""")
+e as (select *, sum(short) over (partition by l_suppkey) - coalesce(sum(cap) over (partition by l_suppkey order by pos rows between unbounded preceding and 1 preceding), 0) as rest from c)
+select l_suppkey, pos, own + cast(case when rest <= 0 then 0 when rest >= cap then free - own else ceil(rest / len) end as bigint) as reads from e""")
 def second_round_ranges(spark, d):
-    """One supplier, as its SQL has it; all are in ``second_round_ranges_whole``."""
-    # the runs of one job are numbered in one order
-    x = numbered(_lines(spark, d).where("l_suppkey = 3"), ["p0", "l_partkey", "total_spots"], "pos")
-    return R.second_round_ranges(x).select("pos", "reads")
-
-
-@query(None)
-def second_round_ranges_whole(spark, d):
-    """All lines, each supplier a job; checked in the tests against the same SQL by supplier."""
+    """Each supplier is a job."""
     x = numbered(_lines(spark, d), ["l_suppkey", "p0", "l_partkey", "total_spots"], "n")
     first = x.groupBy("l_suppkey").agg(F.min("n").alias("first"))
     x = x.join(first, "l_suppkey").withColumn("pos", F.col("n") - F.col("first") + 1)
@@ -167,17 +159,11 @@ def zero_output_stage(spark, d):
     return p.select("p_partkey", R.zero_output_stage().alias("stage"))
 
 
-@query(cte("reads") + """, p as (select run, ordinal, max(left(seq, 1)) filter (mate = 1) as s1, max(left(seq, 1)) filter (mate = 2) as s2 from reads group by all having s1 is not null and s2 is not null), k as (select *, row_number() over (partition by run order by md5(run||'|'||ordinal), ordinal) as r from p)
+@query(cte("reads") + """, p as (select run, ordinal, max(seq) filter (mate = 1) as s1, max(seq) filter (mate = 2) as s2 from reads group by all having s1 is not null and s2 is not null), k as (select *, row_number() over (partition by run order by md5(run||'|'||ordinal), ordinal) as r from p)
  select run, count(*) as n_pairs, avg((s1 = s2)::int) as ratio, avg((s1 = s2)::int) >= 0.99 as treat_as_single from k where r <= 2000 group by 1""")
 def identical_mate_ratio(spark, d):
-    """First characters, as its SQL has it; whole sequences are in ``identical_mate_ratio_whole``."""
-    return R.identical_mate_ratio(B.reads(spark, d).withColumn("seq", F.substring("seq", 1, 1)))
-
-
-@query(None)
-def identical_mate_ratio_whole(spark, d):
-    """Whole sequences; checked on a fixture in the tests."""
-    return R.identical_mate_ratio(B.reads(spark, d)).withColumn("ratio", F.round("ratio", 6))
+    """Whole sequences of the first 2,000 pairs of a run by hash."""
+    return R.identical_mate_ratio(B.reads(spark, d))
 
 
 @query("with q as (select cast(l_suppkey as varchar) as run, 't'||l_partkey as target_id, 1.0 * l_linenumber as length, 1.0 as eff_length, l_quantity as est_counts from lineitem) select run, target_id, length, eff_length, est_counts, c * 100.0 / 1000000 as p_mapped from q join (select run, sum(est_counts) as c from q group by 1) using (run)")

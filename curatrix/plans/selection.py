@@ -213,7 +213,7 @@ def batch_slice(spark, d):
     return M.batch_slice(B.meta(spark, d), "species", 2, "pos").select("run", "pos")
 
 
-@query(cte("meta") + " select cast(1 as bigint) as missing_columns, (select count(*) from meta where run = '') as blank_run, cast(0 as bigint) as blank_species, cast(0 as bigint) as duplicate_run")
+@query(cte("meta") + " select (select count(*) from (values ('run'), ('scientific_name'), ('tissue')) w(c) where c not in (select column_name from (describe select * from meta))) as missing_columns, (select count(*) from meta where run = '') as blank_run, (select count(*) from meta where trim(scientific_name) = '') as blank_species, (select count(*) from (select run from meta where run <> '' group by 1 having count(*) > 1)) as duplicate_run")
 def metadata_validate(spark, d):
     return M.metadata_problems(B.meta(spark, d), ["run", "scientific_name", "tissue"])
 
@@ -336,9 +336,9 @@ def species_token(spark, d):
     return B.titles(spark, d).select("run", T.species_token(F.concat_ws(" ", "brand", "title"), explicit).alias("token"))
 
 
-@query(cte("titles") + " select run, case when listed = '' then 0 when title = kind then 1 else 2 end as n from titles")
+@query(cte("titles") + " select run, case when listed = '' then '' when title = kind then title else title||'|'||kind end as parts from titles")
 def unique_text(spark, d):
-    return B.titles(spark, d).select("run", F.size(T.split_unique(F.col("listed"), ";")).alias("n"))
+    return B.titles(spark, d).select("run", F.array_join(T.split_unique(F.col("listed"), ";"), "|").alias("parts"))
 
 
 @query(cte("meta") + " select pos, is_sampled = 'yes' as flag from meta")
