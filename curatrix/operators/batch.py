@@ -118,16 +118,17 @@ def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> i
     h, n = np.eye(m.n) - hat(design), m.n
     free = n - np.linalg.matrix_rank(design)
 
-    def grams(x: np.ndarray) -> np.ndarray:
+    def grams(x: np.ndarray, ids: list[str]) -> np.ndarray:
         r = np.nan_to_num(x) @ h
+        # a target's permutations follow from its id, whatever block it is in
+        orders = np.stack([np.random.default_rng([seed, *t.encode()]).permuted(np.tile(np.arange(n), (b, 1)), axis=1) for t in ids])
         out = [r.T @ r]
-        rng = np.random.default_rng([seed, int(np.abs(r).sum() * 1e6) % (1 << 32)])
-        for _ in range(b):
-            p = rng.permuted(r, axis=1) @ h
+        for k in range(b):
+            p = np.take_along_axis(r, orders[:, k], axis=1) @ h
             out.append(p.T @ p)
         return np.concatenate(out)
 
-    stack = m.sums(grams).reshape(b + 1, n, n)
+    stack = m.sums(grams, with_ids=True).reshape(b + 1, n, n)
 
     def share(g: np.ndarray) -> np.ndarray:
         w = top_eigen(g, free)[0]
@@ -431,7 +432,7 @@ def finalize(expr: DataFrame, meta: DataFrame, algorithm: str = "sva", method: s
     if algorithm == "sva":
         m = RunMatrix(ready)
         design = design_matrix(group_of(meta, m.runs))
-        n_sv = num_sv_be(m, design, b=10)
+        n_sv = num_sv_be(m, design)
         ready = sva_correct(m, design, sva_factors(m, design, n_sv), counts=False) if n_sv else ready
     elif algorithm == "ruvseq":
         ready = ruvseq(expr, meta)[0]

@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curatrix.session import checkpointed
+
 # The standard ranks.
 RANKS = ("domain", "kingdom", "phylum", "class", "order", "family", "genus", "species")
-MERGE_HOPS = 20
+#: Steps that a chain of merges may have; a longer one is taken for a cycle.
+MERGE_HOPS = 1000
 MAX_DEPTH = 1000
 
 
 def resolve_merged(ids: DataFrame, merged: DataFrame, hops: int = MERGE_HOPS) -> DataFrame:
-    """``(taxid, current)``: each id, or what it was merged into, followed over ``hops`` steps at most."""
+    """``(taxid, current)``: each id, or what it was merged into in the end; chains that go on after ``hops`` steps raise."""
     out = ids.select("taxid").distinct().withColumn("current", F.col("taxid"))
     step = merged.select(F.col("old_taxid").alias("current"), F.col("new_taxid").alias("next"))
     for _ in range(hops):
         moved = out.join(step, "current", "left")
         if not moved.where("next is not null").limit(1).count():
-            break
-        out = moved.select("taxid", F.coalesce("next", "current").alias("current"))
-    return out
+            return out
+        out = checkpointed(moved.select("taxid", F.coalesce("next", "current").alias("current")))
+    raise RuntimeError(f"merged ids go on after {hops} steps")
 
 
 def lineage(ids: DataFrame, nodes: DataFrame, merged: DataFrame) -> DataFrame:
