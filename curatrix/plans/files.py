@@ -53,14 +53,15 @@ def read_abundance(spark, d):
     return got.withColumn("run", F.regexp_replace("run", "^run=", "")).select("run", "target_id", "length", "eff_length", "est_counts", "tpm")
 
 
-@query("select cast(event_id as varchar) as run, cast(json_extract_string(props, '$.k') as double) as mapping_rate, case when event_id % 3 = 0 then 'long' else 'kallisto' end as backend, 'effective' as length_model from events")
+@query("select cast(l_suppkey as varchar) as run, round(cast(avg(l_quantity) as double), 4) as mapping_rate, case when l_suppkey % 3 = 0 then 'long' else 'kallisto' end as backend, case when l_suppkey % 5 = 0 then 'none' else 'effective' end as length_model from lineitem group by l_suppkey")
 def read_run_info(spark, d):
-    path = scratch(spark, "info")
-    e = B.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("double").alias("p_pseudoaligned"), F.when(F.col("event_id") % 3 == 0, "long").alias("quant_backend"))
-    # a file per group of runs here; one JSON object a line
-    e.select(F.to_json(F.struct("p_pseudoaligned", "quant_backend", F.col("event_id").cast("string").alias("run"))).alias("value")).write.text(path)
-    lines = spark.read.text(path).select(F.from_json("value", "run string, p_pseudoaligned double, quant_backend string, length_model string").alias("j"))
-    return lines.select("j.run", T.finite(F.col("j.p_pseudoaligned")).alias("mapping_rate"), F.coalesce("j.quant_backend", F.lit("kallisto")).alias("backend"), F.coalesce("j.length_model", F.lit("effective")).alias("length_model"))
+    """A folder with an information file per run; optional fields are left out."""
+    path, k = scratch(spark, "info"), F.col("l_suppkey")
+    runs = B.table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.round(F.avg("l_quantity"), 4).alias("p_pseudoaligned"))
+    info = F.to_json(F.struct("p_pseudoaligned", F.when(k % 3 == 0, "long").alias("quant_backend"), F.when(k % 5 == 0, "none").alias("length_model")))
+    runs.select(info.alias("value"), k.alias("run")).repartition("run").write.partitionBy("run").text(path)
+    got = X.read_run_info(spark, [f"{path}/*/*.txt"])
+    return got.withColumn("run", F.regexp_replace("run", "^run=", ""))
 
 
 @query(cte("runs") + " select run, case when pos % 4 = 0 then 'long' else 'kallisto' end as backend, case when pos % 4 = 0 then 'none' else 'effective' end as length_model from runs")
@@ -89,9 +90,9 @@ def read_busco_table(spark, d):
         F.lit("1").alias("score"), F.lit("9").alias("length"), F.lit("").alias("orthodb_url"), F.col("p_name").alias("description"), F.concat(F.lit("Genus_sp"), k % 3).alias("species"),
     )
     head = rows.groupBy("species").agg(F.max(F.lit("Busco id")).alias("busco_id")).select("busco_id", *[F.lit("x").alias(c) for c in X.MARKER_COLUMNS[1:]], "species")
-    rows.unionByName(head).write.csv(path, sep="\t", emptyValue="", quote="")
-    read = spark.read.csv(path, sep="\t", comment="#", schema=", ".join(f"{c} string" for c in (*X.MARKER_COLUMNS, "species")))
-    return X.clean_markers(read).select("busco_id", "status", "sequence", "species")
+    rows.unionByName(head).withColumn("file", F.concat("species", F.lit("_busco.tsv"))).drop("species").repartition("file").write.partitionBy("file").csv(path, sep="\t", emptyValue="", quote="")
+    got = X.read_markers(spark, [f"{path}/*/*.csv"])
+    return got.select("busco_id", "status", "sequence", "species")
 
 
 @query("with " + B.SQL["taxa"] + " select 'nodes' as part, count(*) as n, sum(taxid)::bigint as ids from nodes union all select 'names', count(*), sum(taxid)::bigint from names union all select 'merged', count(*), sum(old_taxid)::bigint from merged")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,9 +13,13 @@ from curatrix.operators.metadata import raise_if
 
 # Core metadata columns, and the columns of marker tables.
 CORE_COLUMNS = (
-    "scientific_name", "sample_group", "run", "bioproject", "biosample", "experiment", "lib_layout", "instrument", "total_spots", "total_bases", "size", "nominal_length",
-    "nominal_sdev", "spot_length", "taxid", "exclusion", "is_sampled", "is_qualified", "published_date", "design", "tissue", "treatment", "source_name", "sample_title",
+    "scientific_name", "sample_group", "tissue", "genotype", "sex", "age", "treatment", "source_name", "is_sampled", "is_qualified", "exclusion", "protocol", "bioproject", "biosample", "experiment", "run",
+    "sra_primary", "sra_sample", "sra_study", "study_title", "exp_title", "design", "sample_title", "sample_description", "lib_name", "lib_layout", "lib_strategy", "lib_source", "lib_selection", "platform",
+    "instrument", "total_spots", "total_bases", "size", "nominal_length", "nominal_sdev", "spot_length", "read_index", "read_class", "read_type", "base_coord", "center", "submitter_id", "pubmed_id", "taxid",
+    "published_date", "NCBI_Link", "AWS_Link", "GCP_Link", "ENA_SRA_Link", "DDBJ_SRA_Link",
 )
+# Columns of older tables that are left out.
+OLD_COLUMNS = ("lab", "biomaterial_provider", "cell", "location", "antibody", "batch", "misc")
 MARKER_COLUMNS = ("busco_id", "status", "sequence", "score", "length", "orthodb_url", "description")
 NAME_CLASSES = ("scientific name", "synonym", "equivalent name", "genbank synonym", "common name", "genbank common name", "misspelling", "authority")
 
@@ -27,10 +30,10 @@ def read_delimited(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Core columns first (absent ones empty), extras after; runs trimmed and unique; a blank exclusion is ``no``."""
+    """Core columns first (absent ones empty), extras after, without those of older tables; runs trimmed and unique; a blank exclusion is ``no``."""
     raw = read_delimited(spark, path)
     core = [T.text(F.col(f"`{c}`")).alias(c) if c in raw.columns else F.lit("").alias(c) for c in CORE_COLUMNS]
-    meta = raw.select(*core, *[T.text(F.col(f"`{c}`")).alias(c) for c in raw.columns if c not in CORE_COLUMNS])
+    meta = raw.select(*core, *[T.text(F.col(f"`{c}`")).alias(c) for c in raw.columns if c not in (*CORE_COLUMNS, *OLD_COLUMNS)])
     meta = meta.withColumns({"run": T.trimmed(F.col("run")), "exclusion": F.when(T.is_blank(F.col("exclusion")), "no").otherwise(F.col("exclusion"))})
     twice = meta.where("run <> ''").groupBy("run").count().where("count > 1").agg(F.count(F.lit(1)).alias("_n"))
     return raise_if(meta.crossJoin(F.broadcast(twice)), F.col("_n") > 0, "run given twice").drop("_n")
@@ -119,9 +122,10 @@ def clean_markers(rows: DataFrame) -> DataFrame:
 
 
 def read_markers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Seven-column marker tables with ``#`` comments; the species comes from the file name."""
+    """Seven-column marker tables with ``#`` comments; the species comes from the file name, else from its folder's."""
     rows = spark.read.csv(paths, sep="\t", header=False, comment="#", schema=", ".join(f"{c} string" for c in MARKER_COLUMNS))
-    named = rows.select("*", T.marker_species(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).alias("species"))
+    part = lambda k: F.nullif(T.marker_species(F.element_at(F.split(F.col("_metadata.file_path"), "/"), k)), F.lit(""))
+    named = rows.select("*", F.coalesce(part(-1), part(-2), F.lit("")).alias("species"))
     return clean_markers(named)
 
 
@@ -151,16 +155,54 @@ def read_taxonomy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, ordinal, header, seq, plus, qual)`` of plain or gzip read files, a task per file; a cut-off record raises."""
+    """``(path, ordinal, header, seq, plus, qual)`` of plain or gzip read files; a cut-off record raises.
+
+    Lines are streamed block by block, so files of any size are read, plain ones by many tasks. Lines are counted first; a
+    block then knows where its records begin, and records that lie across two blocks are put together from both.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    first: dict[tuple[str, int], int] = {}
+    sums: dict[str, int] = {}
+    for name, block, n in lines.groupBy("path", "block").count().orderBy("path", "block").collect():  # a row per block of a file
+        first[(name, block)] = sums.get(name, 0)
+        sums[name] = sums.get(name, 0) + n
+    for name, n in sums.items():
+        if n % 4:
+            raise ValueError(f"{name}: incomplete record")
+    fields = ["header", "seq", "plus", "qual"]
+
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                lines = (gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content).decode().splitlines()
-                if len(lines) % 4:
-                    raise ValueError(f"{name}: incomplete record")
-                yield pd.DataFrame({"path": name, "ordinal": range(1, len(lines) // 4 + 1), "header": lines[0::4], "seq": lines[1::4], "plus": lines[2::4], "qual": lines[3::4]})
+        at: dict[tuple[str, int], int] = {}
+        held: dict[tuple[str, int], list[str]] = {}
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(records, "path string, ordinal long, header string, seq string, plus string, qual string")
+        def rows(name: str, number: int, some: list[str], whole: bool) -> pd.DataFrame:
+            """Lines from ``number`` on: all lines of some records, or some of one."""
+            if whole:
+                return pd.DataFrame({"path": name, "ordinal": range(number // 4 + 1, (number + len(some)) // 4 + 1), **{f: some[k::4] for k, f in enumerate(fields)}, "whole": True})
+            known = {fields[(number + k) % 4]: v for k, v in enumerate(some)}
+            return pd.DataFrame([{"path": name, "ordinal": number // 4 + 1, **{f: known.get(f) for f in fields}, "whole": False}])
+
+        for batch in batches:
+            for key, some in batch.groupby(["path", "block"], sort=False):
+                number = at.setdefault(key, first[key])
+                new = held.pop(key, []) + [v.removesuffix("\r") for v in some["value"]]
+                head = min(-number % 4, len(new))
+                if head:
+                    yield rows(key[0], number, new[:head], False)
+                    number, new = number + head, new[head:]
+                full = len(new) // 4 * 4
+                if full:
+                    yield rows(key[0], number, new[:full], True)
+                at[key], held[key] = number + full, new[full:]
+        for key, rest in held.items():
+            if rest:
+                yield rows(key[0], at[key], rest, False)
+
+    out = lines.mapInPandas(records, "path string, ordinal long, header string, seq string, plus string, qual string, whole boolean")
+    if not any(n % 4 for n in first.values()):
+        return out.drop("whole")
+    parts = out.where("not whole").groupBy("path", "ordinal").agg(*[F.max(f).alias(f) for f in fields])
+    return out.where("whole").drop("whole").unionByName(parts)
 
 
 def read_species_list(rows: DataFrame, limit: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 import re
 
 import duckdb
@@ -53,16 +54,25 @@ def test_query_matches_its_sql(spark, sf_dir, sql, name):
 
 
 def test_trim_ranks_of_the_factor(spark):
-    """Eleven doubling counts against ones: the trimmed mean leaves the middle, so the factor is 352/2047."""
-    obs = [("g%d" % i, "obs", float(2**i)) for i in range(11)] + [("g%d" % i, "ref", 1.0) for i in range(11)]
-    counts = spark.createDataFrame(obs, "target_id string, run string, value double")
-    f = {r.run: r.factor for r in tmm.tmm_factor(counts, tmm.library_sizes(counts), "ref").collect()}
-    assert f["ref"] == 1.0
-    # M = i + log2(11 / 2047); weights 1 / (1/2^i - 1/2047 + 10/11) over the ranks kept by both trims
-    kept = [i for i in range(11) if 4 <= i + 1 <= 8]
-    m = [i + math.log2(11 / 2047) for i in kept]
-    w = [1 / ((2047 - 2**i) / 2047 / 2**i + 10 / 11) for i in kept]
-    assert f["obs"] == pytest.approx(2 ** (sum(a * b for a, b in zip(m, w)) / sum(w)))
+    """Random counts of three runs, ties among them, against the trimmed mean by hand."""
+    rng = random.Random(11)
+    table = {r: [rng.choice([0, 3, 7, 12, 30, 55, 80]) + (r == "b") * k for k in range(23)] for r in "abc"}
+    counts = spark.createDataFrame([(f"g{k}", r, float(v)) for r, vs in table.items() for k, v in enumerate(vs)], "target_id string, run string, value double")
+    got = {r.run: r.factor for r in tmm.tmm_factor(counts, tmm.library_sizes(counts), "a").collect()}
+
+    def ranks(x):
+        return [sum(v < u for v in x) + (sum(v == u for v in x) + 1) / 2 for u in x]
+
+    assert got["a"] == 1.0
+    for r in "bc":
+        na, nr = sum(table["a"]), sum(table[r])
+        both = [(x / nr, y / na, x, y) for x, y in zip(table[r], table["a"]) if x and y]
+        m, a = [math.log2(p / q) for p, q, _, _ in both], [math.log2(p * q) / 2 for p, q, _, _ in both]
+        n = len(both)
+        cut_m, cut_a = int(0.3 * n) + 1, int(0.05 * n) + 1
+        keep = [i for i, (x, y) in enumerate(zip(ranks(m), ranks(a))) if cut_m <= x <= n + 1 - cut_m and cut_a <= y <= n + 1 - cut_a]
+        w = [1 / ((nr - both[i][2]) / nr / both[i][2] + (na - both[i][3]) / na / both[i][3]) for i in keep]
+        assert keep and got[r] == pytest.approx(2 ** (sum(m[i] * v for i, v in zip(keep, w)) / sum(w)))
 
 
 def test_toy_factors(spark):
@@ -165,6 +175,8 @@ def test_merged_ids_are_followed(spark):
     m = spark.createDataFrame([(1, 2), (2, 3)], "old_taxid long, new_taxid long")
     got = {r.taxid: r.current for r in taxonomy.resolve_merged(spark.createDataFrame([(1,), (3,), (9,)], "taxid long"), m).collect()}
     assert got == {1: 3, 3: 3, 9: 9}
+    with pytest.raises(RuntimeError):
+        taxonomy.resolve_merged(spark.createDataFrame([(1,)], "taxid long"), spark.createDataFrame([(1, 2), (2, 1)], "old_taxid long, new_taxid long"), hops=3)
 
 
 def test_read_headers(spark):
@@ -222,6 +234,23 @@ def test_packages(spark, tmp_path):
     assert {(r.name, r.value) for r in X.attributes_to_columns(attrs).collect()} == {("tissue_type", "leaf"), ("sample_attribute_tissue", "b")}
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_reads_of_a_file_in_many_blocks(spark, tmp_path, end):
+    want = [(i + 1, f"@r{i}", "ACGT" * (i % 5), "+", "I" * (4 * (i % 5))) for i in range(40)]
+    (tmp_path / "a.fq").write_bytes("".join(end.join(r[1:]) + end for r in want).encode())
+    (tmp_path / "cut.fastq").write_text("@r1\nAC\n+\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    try:
+        got = X.read_fastq(spark, str(tmp_path / "a.fq"))
+        assert got.rdd.getNumPartitions() > 3
+        assert sorted((r.ordinal, r.header, r.seq, r.plus, r.qual) for r in got.collect()) == want
+        with pytest.raises(ValueError):
+            X.read_fastq(spark, str(tmp_path / "*.f*q"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_reads_markers_taxonomy_and_reports(spark, tmp_path):
     import gzip
 
