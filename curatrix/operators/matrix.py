@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
+from curatrix.session import checkpointed
 
-MAX_RUNS = 20_000
+#: Runs of a matrix at most; more raise. A block of a gram matrix of so many takes 72 MB in a task and on the driver.
+MAX_RUNS = 3_000
 
 
 class RunMatrix:
@@ -29,7 +31,8 @@ class RunMatrix:
         spark = expr.sparkSession
         order = spark.createDataFrame(list(zip(self.runs, range(self.n))), "run string, i int")
         cells = expr.select("target_id", "run", T.finite(F.col("value")).alias("value")).join(F.broadcast(order), "run")  # MAX_RUNS rows at most
-        self.rows = cells.groupBy("target_id").agg(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value"))).alias("c")).select("target_id", F.transform("c", lambda x: x["i"]).alias("i"), F.transform("c", lambda x: x["value"]).alias("v"))
+        rows = cells.groupBy("target_id").agg(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value"))).alias("c")).select("target_id", F.transform("c", lambda x: x["i"]).alias("i"), F.transform("c", lambda x: x["value"]).alias("v"))
+        self.rows = checkpointed(rows)  # passes read it again and again
 
     def sums(self, f: Callable[..., np.ndarray], with_ids: bool = False) -> np.ndarray:
         """The sum over all blocks of a small matrix that ``f`` makes of each (and of its target ids, if asked)."""
@@ -186,7 +189,9 @@ def finite_block(matrix: DataFrame) -> DataFrame:
 
 def _coordinates(matrix: DataFrame, k: int, axes: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
     kept = finite_block(matrix)
-    runs = sorted(r[0] for r in kept.select("run_a").union(kept.select("run_b")).distinct().collect())
+    runs = sorted(r[0] for r in kept.select("run_a").union(kept.select("run_b")).distinct().limit(MAX_RUNS + 1).collect())
+    if len(runs) > MAX_RUNS:
+        raise ValueError("too many runs for a matrix of runs by runs")
     xy = axes(correlation_array(kept, runs))
     rows = [(r, *map(float, xy[i])) for i, r in enumerate(runs)]
     return matrix.sparkSession.createDataFrame(rows, "run string, " + ", ".join(f"{name}{i + 1} double" for i in range(k)))

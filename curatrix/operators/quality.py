@@ -63,14 +63,21 @@ def quality_issues(expected: DataFrame, observed: DataFrame, newer_than: str) ->
     return rows.select("check", "target", issue.alias("issue"), severity.alias("severity")).where("issue is not null")
 
 
+#: Examples of a summary, and slices in which a check's targets are ranked first.
+EXAMPLES, EXAMPLE_SLICES = 5, 256
+
+
 def quality_summary(expected: DataFrame, issues: DataFrame) -> DataFrame:
     """Per check: targets, available, unavailable, warnings, status and the first examples; a global error takes all."""
     n = expected.groupBy("check").agg(F.count_distinct("target").alias("n_checked"))
     err = F.col("severity") == "error"
-    i = issues.groupBy("check").agg(
-        F.count_distinct(F.when(err & (F.col("target") != ""), F.col("target"))).alias("bad"), F.max(err & (F.col("target") == "")).alias("_all"), F.count_if(~err).alias("n_warnings"),
-        F.array_join(F.slice(F.sort_array(F.collect_set(F.when(err & (F.col("target") != ""), F.col("target")))), 1, 5), ",").alias("examples"),
-    )
+    targets = issues.where(err & (F.col("target") != "")).select("check", "target").distinct()
+    # five of each slice of a check, then five of these, so that no check is gathered
+    for by in (("check", F.pmod(F.xxhash64("target"), F.lit(EXAMPLE_SLICES))), ("check",)):
+        targets_of = targets if by != ("check",) else first
+        first = targets_of.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("target"))).where(F.col("_r") <= EXAMPLES).drop("_r")
+    examples = first.groupBy("check").agg(F.array_join(F.sort_array(F.collect_list("target")), ",").alias("examples"))
+    i = issues.groupBy("check").agg(F.max(err & (F.col("target") == "")).alias("_all"), F.count_if(~err).alias("n_warnings")).join(targets.groupBy("check").agg(F.count(F.lit(1)).alias("bad")), "check", "left").join(examples, "check", "left")
     rows = n.join(i, "check", "left")
     bad = F.when(F.coalesce("_all", F.lit(False)), F.col("n_checked")).otherwise(F.coalesce("bad", F.lit(0)))
     out = rows.select("check", "n_checked", (F.col("n_checked") - bad).alias("n_available"), bad.alias("n_unavailable"), F.coalesce("n_warnings", F.lit(0)).alias("n_warnings"), F.coalesce("examples", F.lit("")).alias("examples"))
