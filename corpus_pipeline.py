@@ -1,6 +1,8 @@
 """A corpus pipeline of five stages; each takes documents and returns documents, the last one the packing plan.
 
-Every stage reads what its predecessor wrote. All but the last return the columns of ``documents``.
+Every stage reads what its predecessor wrote. All but the last return the columns of ``documents``; other columns of an
+input, whatever their names, end with the first stage that sees them. Null and empty texts go with the quality rules, texts
+are worked on whole, and an empty table gives an empty one at every stage.
 """
 
 from __future__ import annotations
@@ -25,23 +27,29 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the ratio. Repeated rows are judged alike; a null id is no trusted document."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_rules(docs, labels, carry=True).where("kept").select(COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the lines that others hold; a text all of whose lines go is empty and stays."""
     return _recounted(dedup_lines(docs.select(COLUMNS), carry=True))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each class. All rows of a kept id stay, repeated ones too, and so do rows with a
+    null id and empty texts, which link with nothing."""
     return drop_near_copies(docs.select(COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its secrets masked; a null text stays null."""
     return _recounted(scan_secrets(docs.select(COLUMNS), carry=True).withColumn("text", F.col("redacted")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of the packing plan; an empty text is a piece of one id."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
