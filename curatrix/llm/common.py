@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 
 #: Rows and bytes of text that a task works on at once (at least one row).
-ROWS_AT_ONCE, BYTES_AT_ONCE = 4096, 4 << 20
+ROWS_AT_ONCE, BYTES_AT_ONCE = 4096, 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,6 +78,11 @@ def rows_at_once(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]
         at = stop
 
 
+def release() -> None:
+    """Give memory of freed Arrow arrays back at the end of a task; workers stay for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def ragged(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All ids in one array, and how many each entry has."""
     return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4

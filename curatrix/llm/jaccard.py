@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import block_count, connected_components, deal_pairs, fresh, materialize, sorted_groups, with_block_pairs
+from curatrix.llm.common import block_count, connected_components, deal_pairs, fresh, materialize, release, sorted_groups, with_block_pairs
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -35,7 +35,7 @@ BUCKET_BLOCK = 2048
 COMPONENT_BLOCK, COMPONENT_SHINGLES = 512, 1_000_000
 #: Bits of the map of wanted ids for each of them, and bits at most; a fuller map only lets more texts pass to the join.
 BITS_AN_ID, MOST_BITS = 16, 1 << 28
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 100_000
 
 _MUL = np.uint64(0x9DDFEA08EB382D69)
 #: Permutations of a signature, each with a share of its values: a permutation's value of a bin is the least in that bin.
@@ -109,6 +109,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(s))
             sig.append(signature(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "h1", "h2", "shingles", "sig"])
+    _words.clear()
+    release()
 
 
 def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -293,6 +295,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             found = [shingle_set(t) for t in texts]
             h = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), ">i8") for s in found], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([ids, pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "h1", "h2", "shingles"])
+        _words.clear()
+        release()
 
     slot = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(bits)), F.lit(0)).alias("slot")
     of_text = rows.select("doc_id", "text", slot).mapInArrow(sets, "node long, h1 long, h2 long, shingles binary").where("node is not null")

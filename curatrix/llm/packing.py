@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import fresh, gather, list_bounds, materialize, ragged, rows_at_once
+from curatrix.llm.common import fresh, gather, list_bounds, materialize, ragged, release, rows_at_once
 
 WINDOW = 2048
 END_ID = 1
@@ -30,7 +30,7 @@ TIGHT = 0.995
 #: So many neighbouring splits pack their loose windows together.
 SPLITS_TOGETHER = 16
 #: Runs that a worker remembers with their ids, in each of two generations.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 100_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _encoders: dict[str, "WordEncoder"] = {}
@@ -185,6 +185,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: i
                     piece = buf[4 * s : 4 * (s + window)]
                     for k, v in zip(out, (doc, s, len(piece) // 4, zlib.crc32(piece), n)):
                         out[k].append(v)
+    encoder(path).older.clear()
+    release()
     # the order within a split does not depend on how rows arrived
     order = sorted(range(len(out["start"])), key=lambda i: (out["doc_id"][i] is not None, out["doc_id"][i] or 0, out["start"][i], out["ids_crc32"][i]))
     out = {k: [v[i] for i in order] for k, v in out.items()}

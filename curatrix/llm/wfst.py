@@ -30,7 +30,7 @@ from curatrix.llm.common import gather, list_bounds, ragged, rows_at_once
 
 SPACE = "▁"
 #: Chunks, in each of two generations, and joints that a worker remembers.
-REMEMBERED_CHUNKS, REMEMBERED_JOINTS = 200_000, 500_000
+REMEMBERED_CHUNKS, REMEMBERED_JOINTS = 100_000, 300_000
 #: Longest chunk that is relaxed together with others, and how many are; slots of the arrays that find arcs and joints (bits).
 SHORT, TOGETHER, SLOT_BITS = 48, 20_000, 20
 INFINITE = float("inf")
