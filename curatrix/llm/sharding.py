@@ -47,6 +47,7 @@ def accepted(room: list[int], flow: dict[tuple[int, int], int]) -> dict[tuple[in
     What leaves a shard makes room in it. At first all go; then the load of an overfull shard is passed on, along the
     cheapest path of moves taken back (or granted again), to shards with room. There are as many nodes as shards.
     """
+    flow = dict(sorted(flow.items()))  # of several best flows always the same one
     going, load = dict(flow), [-r for r in room]
     for (a, b), n in flow.items():
         load[a] -= n
