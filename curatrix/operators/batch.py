@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators.matrix import RunMatrix, signed, top_eigen
+from curatrix.operators.tmm import library_sizes, upper_quartile_factor
 
 # Fixed values of the methods.
 SV_LEVEL, ENERGY, LEADING = 0.10, 0.60, 0.10
+DISPERSED, NOISE, LEAST_ROWS = 1e-6, 1e-6, 10
 
 
 # tails
@@ -50,6 +52,18 @@ def f_tail(f: np.ndarray, d1: float, d2: float) -> np.ndarray:
     return incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f))
 
 
+def chi2_tail(x: np.ndarray, df: int) -> np.ndarray:
+    """P(X > x) of a chi-square variable with whole degrees of freedom, by the recurrence of the incomplete gamma function."""
+    z = np.maximum(np.asarray(x, float), 0) / 2
+    a = 0.5 if df % 2 else 1.0
+    out = np.vectorize(math.erfc, otypes=[float])(np.sqrt(z)) if df % 2 else np.exp(-z)
+    while a < df / 2:
+        with np.errstate(divide="ignore"):
+            out = out + np.where(z > 0, np.exp(a * np.log(z) - z - math.lgamma(a + 1)), 0.0)
+        a += 1
+    return np.clip(out, 0, 1)
+
+
 # designs
 
 
@@ -113,10 +127,20 @@ def anova_pvalue(expr: DataFrame, meta: DataFrame) -> DataFrame:
 # surrogate variables
 
 
-def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> int:
-    """How many singular values of the residuals stand out of ``b`` permutations of every row (seeded by target)."""
+def most_sv(m: RunMatrix, design: np.ndarray) -> int:
+    """As many surrogates as the smaller side of the matrix leaves beside the design and the mean."""
+    return max(0, min(m.n, m.n_targets) - design.shape[1] - 1)
+
+
+def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> int | None:
+    """How many singular values of the residuals stand out of ``b`` permutations of every row (seeded by target).
+
+    None if there are no residuals to share out.
+    """
     h, n = np.eye(m.n) - hat(design), m.n
-    free = n - np.linalg.matrix_rank(design)
+    free = min(n, m.n_targets) - np.linalg.matrix_rank(design)
+    if free <= 0:
+        return 0
 
     def grams(x: np.ndarray, ids: list[str]) -> np.ndarray:
         r = np.nan_to_num(x) @ h
@@ -130,13 +154,16 @@ def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> i
 
     stack = m.sums(grams, with_ids=True).reshape(b + 1, n, n)
 
+    if any(np.trace(g) <= 1e-12 * m.n_targets for g in stack):
+        return None
+
     def share(g: np.ndarray) -> np.ndarray:
         w = top_eigen(g, free)[0]
-        return w / max(w.sum(), 1e-300)
+        return w / w.sum()
 
     real, null = share(stack[0]), np.stack([share(g) for g in stack[1:]])
     p = np.maximum.accumulate((null >= real).mean(0))
-    return int((p <= SV_LEVEL).sum())
+    return min(int((p <= SV_LEVEL).sum()), most_sv(m, design))
 
 
 def _first(hit: np.ndarray, after: int, default: int) -> int:
@@ -149,7 +176,10 @@ def num_sv_leek(m: RunMatrix, design: np.ndarray, parts: int = 10, steps: int =
 
     Targets are dealt into tenths by a hash of their id; growing unions of tenths each give the eigenvalues of the residual
     gram less the noise level. Among the thresholds, the stretch where the count has settled over the unions decides.
+    Fewer than ten targets raise.
     """
+    if m.n_targets < LEAST_ROWS:
+        raise ValueError("fewer than ten targets")
     n, keep = m.n, np.eye(m.n) - hat(design)
 
     def tenths(x: np.ndarray, ids: list[str]) -> np.ndarray:
@@ -172,7 +202,15 @@ def num_sv_leek(m: RunMatrix, design: np.ndarray, parts: int = 10, steps: int =
     settled = _first(spread < spread[0] / 2, rise + 1, 0)
     leaves = _first(spread > spread[0], settled + 1, steps - 1)
     values, times = np.unique(count[settled : leaves + 1, -1], return_counts=True)
-    return int(min(max(values[times.argmax()], 0), max(0, n - design.shape[1] - 1)))
+    return int(min(max(values[times.argmax()], 0), most_sv(m, design)))
+
+
+def num_sv(m: RunMatrix, design: np.ndarray, b: int = 20) -> tuple[int | None, str]:
+    """The permutation estimate, or else the eigenvalue one, and which it is; None and ``failed`` if neither can be had."""
+    n = num_sv_be(m, design, b)
+    if n is not None:
+        return n, "be"
+    return (num_sv_leek(m, design), "leek") if m.n_targets >= LEAST_ROWS else (None, "failed")
 
 
 Z_EDGES = np.linspace(-8, 8, 321)
@@ -264,27 +302,125 @@ def upper_quartile_normalize(expr: DataFrame) -> DataFrame:
     return expr.join(scale, "run").withColumn("value", F.round(F.col("value") / F.col("s"))).withColumnRenamed("s", "scale")
 
 
-def poisson_residuals(expr: DataFrame, meta: DataFrame) -> DataFrame:
-    """Deviance residuals of a one-way Poisson model with library offsets: the fit is a ratio of sums per group."""
-    rows = expr.join(meta.select("run", "sample_group"), "run").withColumn("lib", F.sum("value").over(Window.partitionBy("run")))
-    w = Window.partitionBy("target_id", "sample_group")
-    mu = F.coalesce(F.try_divide(F.sum("value").over(w), F.sum("lib").over(w)) * F.col("lib"), F.lit(0.0))
-    rows = rows.withColumn("mu", mu)
-    y, m = F.col("value"), F.col("mu")
-    dev = 2 * (F.when(y > 0, y * F.log(y / F.greatest(m, F.lit(1e-300)))).otherwise(0.0) - (y - m))
-    return rows.select("target_id", "run", "mu", (F.signum(y - m) * F.sqrt(F.greatest(dev, F.lit(0.0)))).alias("value"))
+def effective_libraries(counts: DataFrame) -> DataFrame:
+    """``(run, library)``: library sizes times upper-quartile factors with a geometric mean of 1; a useless factor is 1."""
+    sizes = library_sizes(counts)
+    f = sizes.select("run").join(upper_quartile_factor(counts, sizes), "run", "left")
+    f = f.withColumn("factor", F.when(F.col("factor") > 0, F.col("factor")).otherwise(1.0))
+    mean = f.agg(F.exp(F.avg(F.log("factor"))).alias("mean"))
+    return sizes.join(f, "run").crossJoin(F.broadcast(mean)).select("run", (F.col("library_size") * F.col("factor") / F.col("mean")).alias("library"))
 
 
-def control_targets(p: DataFrame, residuals: DataFrame, top_n: int, least: int = 10) -> DataFrame:
-    """Of the targets with the highest p, the half with the smallest median absolute residual; at least ``least``."""
-    mad = residuals.groupBy("target_id").agg(F.median(F.abs("value")).alias("mad"))
-    top = p.orderBy(F.desc("p"), "target_id").limit(top_n).join(mad, "target_id")
-    return top.orderBy("mad", "target_id").limit(max(least, top_n // 2)).select("target_id")
+def _rates(y: np.ndarray, seen: np.ndarray, lib: np.ndarray, of: np.ndarray, alpha: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Means with one rate per row and label, of counts with a given dispersion per row, by scoring; and which rows settled.
+
+    With no dispersion the start, a ratio of sums, is the answer. A step changes a rate by a factor of e at most.
+    """
+    y, exposure, a = y * seen, seen * lib, alpha[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rate = np.nan_to_num((y @ of) / (exposure @ of))
+        for _ in range(rounds):
+            mu = (rate @ of.T) * lib
+            w = seen / (1 + a * mu)
+            step = np.clip(np.nan_to_num((((y - mu) * w) @ of) / ((mu * w) @ of)), -1, 1)
+            rate = rate * np.exp(step)
+            if np.abs(step).max(initial=0) < 1e-12:
+                break
+    return (rate @ of.T) * lib, np.abs(step).max(axis=1, initial=0) < 1e-6
+
+
+def _likelihood(y: np.ndarray, mu: np.ndarray, alpha: np.ndarray) -> np.ndarray:
+    """Log likelihood of cells, less what does not depend on the mean."""
+    a = np.maximum(alpha, 1e-300)
+    gain = y * np.log(np.where(y > 0, np.maximum(mu, 1e-300), 1))
+    return gain - np.where(alpha > 0, (y + 1 / a) * np.log1p(alpha * mu), mu)
+
+
+def _count_block(x: np.ndarray, lib: np.ndarray, of: np.ndarray) -> dict[str, np.ndarray]:
+    """Group model of a block: means, deviance residuals, p against one rate for all, dispersion, and if a refit failed."""
+    seen = np.isfinite(x).astype(float)
+    y, none = np.maximum(np.nan_to_num(x), 0), np.zeros(len(x))
+    flat = np.ones((of.shape[0], 1))
+    mu, _ = _rates(y, seen, lib, of, none)
+    used = seen * (mu > 0)
+    terms = used * ((y - mu) ** 2 - mu) / np.maximum(mu**2, 1e-12)
+    alpha = np.where(used.sum(1) > 1, terms.sum(1) / np.maximum(used.sum(1), 1), 0.0)
+    alpha = np.where(alpha > DISPERSED, alpha, 0.0)
+    (full, ok), (null, ok0) = _rates(y, seen, lib, of, alpha), _rates(y, seen, lib, flat, alpha)
+    failed = ~(ok & ok0)
+    alpha = np.where(failed, 0.0, alpha)
+    mu = np.where(failed[:, None], mu, full)
+    null = np.where(failed[:, None], _rates(y, seen, lib, flat, none)[0], null)
+    a = np.broadcast_to(alpha[:, None], y.shape)
+    best = _likelihood(y, mu, a)
+    stat = np.maximum(2 * ((best - _likelihood(y, null, a)) * seen).sum(1), 0)
+    groups = ((seen @ of) > 0).sum(1)
+    p = np.ones(len(x))
+    for g in set(groups[groups > 1].tolist()):
+        p[groups == g] = chi2_tail(stat[groups == g], g - 1)
+    deviance = 2 * (_likelihood(y, y, a) - best)
+    return {"mu": mu, "value": np.sign(y - mu) * np.sqrt(np.maximum(deviance, 0)), "p": p, "dispersion": alpha, "failed": failed}
+
+
+class CountModel:
+    """Per target a one-way Poisson model with library offsets, refitted as negative binomial where the moments show more
+    spread (more than 1e-6); a refit that does not settle falls back to Poisson and is flagged.
+
+    ``libraries(run, library)`` are the offsets, library sizes by default. Missing cells count for nothing.
+    """
+
+    def __init__(self, expr: DataFrame, meta: DataFrame, libraries: DataFrame | None = None):
+        libraries = libraries or library_sizes(expr).withColumnRenamed("library_size", "library")
+        self.m = m = RunMatrix(expr.join(meta.select("run"), "run", "left_semi"))
+        groups, size = group_of(meta, m.runs), group_of(libraries, m.runs, "library")
+        levels = sorted(set(groups))
+        self.of = np.array([[float(g == v) for v in levels] for g in groups])
+        self.lib = np.array(size, float)
+
+    def residuals(self) -> DataFrame:
+        """``(target_id, run, mu, value)``: means and deviance residuals of the cells there are."""
+        lib, of = self.lib, self.of
+        return self.m.cells(lambda x: {k: v for k, v in _count_block(x, lib, of).items() if k in ("mu", "value")}, "mu double, value double")
+
+    def tests(self) -> DataFrame:
+        """``(target_id, p, dispersion, failed)``: the likelihood-ratio test of the groups."""
+        lib, of = self.lib, self.of
+        return self.m.per_row(lambda x: {k: v for k, v in _count_block(x, lib, of).items() if k in ("p", "dispersion", "failed")}, "p double, dispersion double, failed boolean")
+
+
+def expressed_targets(counts: DataFrame, libraries: DataFrame, n_runs: int) -> DataFrame:
+    """Targets with more than one count per million in a quarter of the runs, in two at least."""
+    cpm = counts.join(libraries, "run").withColumn("cpm", F.try_divide(F.col("value") * 1e6, F.col("library")))
+    return cpm.groupBy("target_id").agg(F.count_if(F.col("cpm") > 1).alias("n")).where(F.col("n") >= max(2, n_runs // 4)).select("target_id")
+
+
+def control_targets(p: DataFrame, normalized: DataFrame, top_n: int = 1000, least: int = 100) -> DataFrame:
+    """Of the ``top_n`` targets with the highest p, the half with the smallest median absolute deviation of normalised
+    values, at least ``least``; all targets of ``normalized`` if fewer than ``least`` have a p. ``p`` holds the targets to choose from."""
+    usable = p.where(T.finite(F.col("p")).isNotNull())
+    n = usable.count()
+    if n < least:
+        return normalized.select("target_id").distinct()
+    top = usable.orderBy(F.desc("p"), "target_id").limit(top_n).select("target_id")
+    chosen = normalized.join(F.broadcast(top), "target_id")  # top_n rows at most
+    mid = chosen.groupBy("target_id").agg(F.median("value").alias("mid"))
+    mad = chosen.join(mid, "target_id").groupBy("target_id").agg(F.median(F.abs(F.col("value") - F.col("mid"))).alias("mad"))
+    return mad.orderBy("mad", "target_id").limit(max(least, min(n, top_n) // 2)).select("target_id")
 
 
 def ruv_basis(residuals: DataFrame, controls: DataFrame, runs: list[str], k: int) -> np.ndarray:
+    """The first ``k`` directions of the controls' centred residuals, fewer if there are fewer; none of mere rounding noise."""
     m = RunMatrix(residuals.join(controls, "target_id", "left_semi"), runs)
-    return top_eigen(m.sums(lambda x: np.nan_to_num(x).T @ np.nan_to_num(x)), k)[1]
+
+    def centred(x: np.ndarray) -> np.ndarray:
+        x = np.nan_to_num(x)
+        return x - x.mean(1, keepdims=True)
+
+    largest = m.per_row(lambda x: {"m": np.abs(centred(x)).max(1)}, "m double").agg(F.max("m")).first()[0]
+    if largest is None or largest <= NOISE:
+        return np.zeros((m.n, 0))
+    w, v = top_eigen(m.sums(lambda x: (y := centred(x)).T @ y), k)
+    return v[:, w > max(1e-16, 1e-14 * w[0])]
 
 
 def ruv_correct(m: RunMatrix, basis: np.ndarray, k: int) -> DataFrame:
@@ -317,6 +453,7 @@ def ruv_select_k(m: RunMatrix, basis: np.ndarray, groups: list[str], batches: li
 
     One pass: the gram of the corrected logs follows from the gram of the logs.
     """
+    k_max = min(k_max, basis.shape[1])
     gram = m.sums(lambda x: (y := np.log1p(np.maximum(np.nan_to_num(x), 0))).T @ y)
     scores, g0 = [], component_score(gram, groups, batches)[1]
     for k in range(k_max + 1):
@@ -327,17 +464,28 @@ def ruv_select_k(m: RunMatrix, basis: np.ndarray, groups: list[str], batches: li
     return best
 
 
-def ruvseq(expr: DataFrame, meta: DataFrame, k_max: int = 3, top_n: int = 1000) -> tuple[DataFrame, int]:
-    """Upper-quartile scaled counts, residuals of the group model, controls, factors, chosen k, corrected counts."""
+def ruvseq(expr: DataFrame, meta: DataFrame, k_max: int = 5, top_n: int = 1000, least: int = 100) -> tuple[DataFrame, int]:
+    """Upper-quartile scaled counts, residuals of the group model of counts + 1, controls, factors, chosen k, corrected counts.
+
+    With one group, or if no factor helps, the counts come back as they are.
+    """
+    expr = expr.join(meta.select("run"), "run", "left_semi").select("target_id", "run", "value")
+    plus = expr.withColumn("value", F.col("value") + 1)
+    libraries = effective_libraries(plus)
+    model = CountModel(plus, meta, libraries)
+    runs, groups = model.m.runs, group_of(meta, model.m.runs)
+    if len(set(groups)) < 2:
+        return expr, 0
     scaled = upper_quartile_normalize(expr)
-    res = poisson_residuals(scaled.select("target_id", "run", "value"), meta)
-    controls = control_targets(anova_pvalue(scaled, meta), res, top_n)
-    m = RunMatrix(scaled)
-    basis = ruv_basis(res, controls, m.runs, min(k_max, m.n - 1))
-    k = ruv_select_k(m, basis, group_of(meta, m.runs), group_of(meta, m.runs, "bioproject"), min(k_max, m.n - 1))
-    out = ruv_correct(m, basis, k)
+    p = model.tests().join(expressed_targets(plus, libraries, len(runs)), "target_id", "left_semi")
+    m, k_max = RunMatrix(scaled, runs), min(k_max, len(runs) - 1)
+    basis = ruv_basis(model.residuals(), control_targets(p, scaled, top_n, least), runs, k_max)
+    k = ruv_select_k(m, basis, groups, group_of(meta, runs, "bioproject"), k_max)
+    if not k:
+        return expr, 0
     lanes = scaled.select("run", "scale").distinct()
-    return out.join(lanes, "run").select("target_id", "run", (F.col("value") * F.col("scale")).alias("value")), k
+    back = F.greatest(F.round(F.col("value") * F.col("scale")), F.lit(0.0))
+    return ruv_correct(m, basis, k).join(lanes, "run").select("target_id", "run", back.alias("value")), k
 
 
 # latent factors
@@ -432,7 +580,7 @@ def finalize(expr: DataFrame, meta: DataFrame, algorithm: str = "sva", method: s
     if algorithm == "sva":
         m = RunMatrix(ready)
         design = design_matrix(group_of(meta, m.runs))
-        n_sv = num_sv_be(m, design)
+        n_sv, _ = num_sv(m, design)
         ready = sva_correct(m, design, sva_factors(m, design, n_sv), counts=False) if n_sv else ready
     elif algorithm == "ruvseq":
         ready = ruvseq(expr, meta)[0]

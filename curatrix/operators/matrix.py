@@ -7,6 +7,7 @@ small eigen step is done, and its result is broadcast for the next pass. Missing
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,10 @@ class RunMatrix:
         rows = cells.groupBy("target_id").agg(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("i", "value"))).alias("c")).select("target_id", F.transform("c", lambda x: x["i"]).alias("i"), F.transform("c", lambda x: x["value"]).alias("v"))
         self.rows = checkpointed(rows)  # passes read it again and again
 
+    @cached_property
+    def n_targets(self) -> int:
+        return self.rows.count()
+
     def sums(self, f: Callable[..., np.ndarray], with_ids: bool = False) -> np.ndarray:
         """The sum over all blocks of a small matrix that ``f`` makes of each (and of its target ids, if asked)."""
         n = self.n
@@ -65,6 +70,18 @@ class RunMatrix:
 
         return self.rows.mapInPandas(run, "target_id string, run string, value double")
 
+    def cells(self, f: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
+        """Columns per cell that ``f`` makes of a block, for the cells that are not missing."""
+        n, runs = self.n, np.array(self.runs, object)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                x = _block(pdf, n)
+                r, c = np.nonzero(np.isfinite(x))
+                yield pd.DataFrame({"target_id": pdf["target_id"].to_numpy()[r], "run": runs[c], **{k: v[r, c] for k, v in f(x).items()}})
+
+        return self.rows.mapInPandas(run, f"target_id string, run string, {schema}")
+
     def per_row(self, f: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
         """Columns per target that ``f`` makes of a block."""
         n = self.n

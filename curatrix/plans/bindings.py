@@ -19,7 +19,7 @@ ROUNDED = {
     "robust_z": "z", "flag_margin_outliers": "z", "single_copy_mask": "percent", "busco_status_counts": "percent", "align_effective_length": "eff_length", "sample_number_matrix": "log2_runs", "log_transform": "a b c e",
     "safe_ratio_clip": "x", "run_statistics": "spot_length", "recover_run_statistics": "spot_length total_bases total_spots", "second_round_needed": "rate", "target_bp_per_run": "total_bases", "filtered_percent": "pct",
     "weighted_metric_update": "metric", "identical_mate_ratio": "ratio", "long_read_adapt": "p_mapped", "stage_totals": "total", "extraction_counts": "dumped rejected", "csfilter": "margin_uncorrected margin_corrected",
-    "update_by_run": "mapping_rate", "coalesce_filter_columns": "margin", "delta_pcc_test": "t_between t_within p_between p_within", "finite_block": "r", "residualize": "value", "upper_quartile_normalize": "scale", "glm_residuals": "mu value", "covariate_r2": "r2", "f_test": "p", "anova_pvalue": "p",
+    "update_by_run": "mapping_rate", "coalesce_filter_columns": "margin", "delta_pcc_test": "t_between t_within p_between p_within", "finite_block": "r", "residualize": "value", "upper_quartile_normalize": "scale", "glm_residuals": "mu value", "glm_tests": "p dispersion", "covariate_r2": "r2", "f_test": "p", "anova_pvalue": "p",
 }
 
 

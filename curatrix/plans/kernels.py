@@ -77,7 +77,14 @@ def f_test(spark, d):
 def num_sv_be(spark, d):
     m, _, x = _design(spark, d)
     n = G.num_sv_be(m, x)
-    return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumn("n_sv", F.lit(n))
+    return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumn("n_sv", F.lit(n).cast("int"))
+
+
+@query()
+def num_sv(spark, d):
+    m, _, x = _design(spark, d)
+    n, by = G.num_sv(m, x)
+    return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumns({"n_sv": F.lit(n).cast("int"), "method": F.lit(by)})
 
 
 @query()
@@ -117,28 +124,49 @@ def anova_pvalue(spark, d):
     return G.anova_pvalue(B.counts(spark, d), B.runs(spark, d))
 
 
-@query(cte("counts", "runs") + ", l as (select *, sum(value) over (partition by run) as lib from counts join runs using (run)), m as (select *, sum(value) over (partition by target_id, sample_group) / sum(lib) over (partition by target_id, sample_group) * lib as mu from l) select target_id, run, mu, sign(value - mu) * sqrt(greatest(2 * (case when value > 0 then value * ln(value / mu) else 0 end - (value - mu)), 0)) as value from m")
+#: The group model with its refit: rates start as ratios of sums, and forty scoring steps settle them.
+COUNT_MODEL = """, c as materialized (select target_id, run, sample_group as g, cast(value as double) as y, cast(sum(value) over (partition by run) as double) as lib from counts join runs using (run)),
+ p as materialized (select target_id, g, sum(y) / sum(lib) as rate from c group by all),
+ d as materialized (select target_id, case when count(*) > 1 and avg((pow(y - rate * lib, 2) - rate * lib) / greatest(pow(rate * lib, 2), 1e-12)) > 1e-6 then avg((pow(y - rate * lib, 2) - rate * lib) / greatest(pow(rate * lib, 2), 1e-12)) else 0 end as a from c join p using (target_id, g) where rate > 0 group by 1),
+ f as (select target_id, g, 0 as it, rate from p union all select f.target_id, f.g, f.it + 1, any_value(f.rate) * exp(greatest(-1, least(1, sum((y - rate * lib) / (1 + a * rate * lib)) / sum(rate * lib / (1 + a * rate * lib))))) from f join d using (target_id) join c on c.target_id = f.target_id and c.g = f.g where it < 40 and rate > 0 group by f.target_id, f.g, f.it),
+ fit as (select target_id, g, arg_max(rate, it) as rate from f group by all), cells as (select target_id, run, g, y, coalesce(a, 0) as a, rate * lib as mu from c join fit using (target_id, g) left join d using (target_id)),
+ dev as (select *, case when y > 0 then y * ln(y / mu) else 0 end - case when a > 0 then (y + 1 / a) * (ln(1 + a * y) - ln(1 + a * mu)) else y - mu end as h from cells)"""
+
+
+@query(cte("counts", "runs").replace("with ", "with recursive ", 1) + COUNT_MODEL + " select target_id, run, mu, sign(y - mu) * sqrt(greatest(2 * h, 0)) as value from dev")
 def glm_residuals(spark, d):
-    return G.poisson_residuals(B.counts(spark, d), B.runs(spark, d))
+    return G.CountModel(B.counts(spark, d), B.runs(spark, d)).residuals()
 
 
-@query()
+#: The likelihood ratio of three groups has two degrees of freedom, so its tail is an exponential.
+@query(cte("counts", "runs").replace("with ", "with recursive ", 1) + COUNT_MODEL + """, f0 as (select target_id, 0 as it, sum(y) / sum(lib) as rate from c group by 1 union all select f0.target_id, f0.it + 1, any_value(rate) * exp(greatest(-1, least(1, sum((y - rate * lib) / (1 + a * rate * lib)) / sum(rate * lib / (1 + a * rate * lib))))) from f0 join d using (target_id) join c on c.target_id = f0.target_id where it < 40 and rate > 0 group by f0.target_id, f0.it),
+ fit0 as (select target_id, arg_max(rate, it) as rate from f0 group by 1),
+ r as (select cells.target_id, any_value(a) as a, count(distinct cells.g) as k, sum(case when y > 0 then y * ln(mu / (rate * lib)) else 0 end - case when a > 0 then (y + 1 / a) * (ln(1 + a * mu) - ln(1 + a * rate * lib)) else mu - rate * lib end) as s from cells join (select target_id, run, lib from c) using (target_id, run) join fit0 on fit0.target_id = cells.target_id group by 1)
+ select target_id, case k when 3 then exp(-greatest(s, 0)) when 1 then 1.0 end as p, a as dispersion, false as failed from r""")
+def glm_tests(spark, d):
+    return G.CountModel(B.counts(spark, d), B.runs(spark, d)).tests()
+
+
+@query(cte("counts", "runs") + f""", g as (select target_id, sample_group, count(*) as n, sum(ln(1 + greatest(value, 0))) as s, sum(ln(1 + greatest(value, 0)) * ln(1 + greatest(value, 0))) as q from counts join runs using (run) group by all),
+ t as (select target_id, sum(n) as n, sum(s * s / n) - sum(s) * sum(s) / sum(n) as between_, sum(q) - sum(s * s / n) as within_ from g group by 1), top as (select target_id from t order by {TAIL} desc, target_id limit 20),
+ q as (select run, quantile_cont(value, 0.75) as q from counts group by 1), n as (select target_id, run, round(value / (q / (select avg(q) from q))) as v from counts join q using (run) where target_id in (from top)),
+ mid as (select target_id, median(v) as mid from n group by 1), mad as (select target_id, median(abs(v - mid)) as mad from n join mid using (target_id) group by 1) select target_id from mad order by mad, target_id limit 10""")
 def control_genes_top_n(spark, d):
     c, r = B.counts(spark, d), B.runs(spark, d)
-    return G.control_targets(G.anova_pvalue(c, r), G.poisson_residuals(c, r), 20, 5)
+    return G.control_targets(G.anova_pvalue(c, r), G.upper_quartile_normalize(c), 20, 5)
 
 
 @query()
 def ruv_correct(spark, d):
     c, r = B.counts(spark, d), B.runs(spark, d)
-    m = X.RunMatrix(c)
-    res = G.poisson_residuals(c, r)
-    return G.ruv_correct(m, G.ruv_basis(res, G.control_targets(G.anova_pvalue(c, r), res, 20, 5), m.runs, 2), 2)
+    model = G.CountModel(c, r)
+    controls = G.control_targets(model.tests(), G.upper_quartile_normalize(c), 20, 5)
+    return G.ruv_correct(model.m, G.ruv_basis(model.residuals(), controls, model.m.runs, 2), 2)
 
 
 @query()
 def ruvseq(spark, d):
-    return G.ruvseq(B.counts(spark, d), B.runs(spark, d), k_max=2, top_n=20)[0]
+    return G.ruvseq(B.counts(spark, d), B.runs(spark, d))[0]
 
 
 @query()
@@ -183,8 +211,8 @@ def finalize(spark, d):
 @query()
 def ruv_select_k(spark, d):
     c, r = B.counts(spark, d), B.runs(spark, d)
-    m = X.RunMatrix(c)
-    res = G.poisson_residuals(c, r)
-    basis = G.ruv_basis(res, c.select("target_id").distinct(), m.runs, 3)
+    model = G.CountModel(c, r)
+    m = model.m
+    basis = G.ruv_basis(model.residuals(), c.select("target_id").distinct(), m.runs, 3)
     k = G.ruv_select_k(m, basis, G.group_of(r, m.runs), G.group_of(r, m.runs, "bioproject"), 3)
     return m.rows.agg(F.count(F.lit(1)).alias("n_targets")).withColumn("k", F.lit(k))

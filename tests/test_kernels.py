@@ -126,12 +126,12 @@ def counts_with_batch(seed=4, n=150, runs=12):
 def test_unwanted_variation_is_taken_out(spark):
     x, groups, batches = counts_with_batch()
     meta = spark.createDataFrame([(f"r{j:02d}", g, b, "no") for j, (g, b) in enumerate(zip(groups, batches))], "run string, sample_group string, bioproject string, exclusion string")
-    done, k = G.ruvseq(long(spark, x), meta, k_max=2, top_n=80)
-    assert 0 <= k <= 2 and np.isfinite(wide(done, x.shape)).all()
+    done, k = G.ruvseq(long(spark, x), meta, k_max=2, top_n=80, least=20)
+    assert 1 <= k <= 2 and np.isfinite(wide(done, x.shape)).all()
     # all targets as controls: the first factor is the batch
-    m = X.RunMatrix(long(spark, x))
-    res = G.poisson_residuals(long(spark, x), meta)
-    basis = G.ruv_basis(res, long(spark, x).select("target_id").distinct(), m.runs, 2)
+    model = G.CountModel(long(spark, x), meta)
+    m = model.m
+    basis = G.ruv_basis(model.residuals(), long(spark, x).select("target_id").distinct(), m.runs, 2)
     assert G.factor_r2(basis[:, 0], batches) > 0.9
     assert G.ruv_select_k(m, basis, groups, batches, 2) >= 1
     y = np.log1p(wide(G.ruv_correct(m, basis, 1), x.shape))
@@ -143,6 +143,96 @@ def test_unwanted_variation_is_taken_out(spark):
     assert share(y[:30], groups) > 0.8 * share(np.log1p(x)[:30], groups)
 
 
+def test_chi_square_tail():
+    x = np.array([0.0, 0.5, 3.0, 20.0])
+    assert np.allclose(G.chi2_tail(x, 2), np.exp(-x / 2)) and np.allclose(G.chi2_tail(x, 4), np.exp(-x / 2) * (1 + x / 2))
+    assert G.chi2_tail(np.array([3.841459]), 1)[0] == pytest.approx(0.05, abs=1e-7)
+    for df in (3, 5, 7):  # against the density, summed
+        grid = np.linspace(0, 6, 200_001)
+        tail = 1 - np.trapezoid(grid ** (df / 2 - 1) * np.exp(-grid / 2), grid) / (2 ** (df / 2) * math.gamma(df / 2))
+        assert G.chi2_tail(np.array([6.0]), df)[0] == pytest.approx(tail, abs=1e-6)
+
+
+def best_rate(y, lib, alpha):
+    """The rate of the highest likelihood by a search over ever finer grids of its logarithm."""
+    low, high = -20.0, 5.0
+    for _ in range(12):
+        grid = np.linspace(low, high, 201)
+        mu = np.exp(grid)[:, None] * lib
+        ll = (y * np.log(mu) - (mu if alpha == 0 else (y + 1 / alpha) * np.log1p(alpha * mu))).sum(1)
+        at, step = ll.argmax(), (high - low) / 200
+        low, high = grid[at] - 2 * step, grid[at] + 2 * step
+    return np.exp(grid[at]), ll[at]
+
+
+def test_count_model_refits_spread_targets(spark):
+    rng = np.random.default_rng(11)
+    mu = np.exp(rng.normal(3, 0.5, 30))[:, None] * np.linspace(0.5, 2, 12)
+    x = rng.poisson(mu * np.where(np.arange(30)[:, None] < 15, rng.gamma(2, 0.5, mu.shape), 1)).astype(float)
+    x[29], x[28, 3:], x[27, 2] = 0, 0, np.nan
+    groups = ["a", "b", "c"] * 4
+    meta = spark.createDataFrame([(f"r{j:02d}", g) for j, g in enumerate(groups)], "run string, sample_group string")
+    model = G.CountModel(long(spark, x), meta)
+    tests = {r.target_id: r for r in model.tests().collect()}
+    cells = {(r.target_id, r.run): r for r in model.residuals().collect()}
+    assert len(cells) == np.isfinite(x).sum() and len(tests) == 30 and not any(r.failed for r in tests.values())
+    lib, of = np.nansum(x, 0), np.array(groups)
+    for i in range(30):
+        seen, t = np.isfinite(x[i]), tests[f"t{i:03d}"]
+        start = {g: x[i][seen & (of == g)].sum() / lib[seen & (of == g)].sum() for g in "abc"}
+        m0 = np.array([start[g] for g in of]) * lib
+        use = seen & (m0 > 0)
+        alpha = (((x[i] - m0) ** 2 - m0) / m0**2)[use].mean() if use.sum() > 1 else 0
+        alpha = alpha if alpha > 1e-6 else 0
+        assert t.dispersion == pytest.approx(alpha)
+        if not np.nansum(x[i]):
+            assert t.p == 1 and all(cells[(t.target_id, f"r{j:02d}")].value == 0 for j in range(12))
+            continue
+        total = 0
+        for g in "abc":
+            at = seen & (of == g)
+            if x[i][at].sum():
+                rate, ll = best_rate(x[i][at], lib[at], alpha)
+                total += ll
+                for j in np.flatnonzero(at):
+                    got, y, m = cells[(t.target_id, f"r{j:02d}")], x[i][j], rate * lib[j]
+                    assert got.mu == pytest.approx(m, rel=1e-6)
+                    lead = y * math.log(y / m) if y else 0
+                    d = lead - ((y - m) if alpha == 0 else (y + 1 / alpha) * math.log((1 + alpha * y) / (1 + alpha * m)))
+                    assert got.value == pytest.approx(math.copysign(math.sqrt(max(0, 2 * d)), y - m), abs=1e-5)
+        assert t.p == pytest.approx(math.exp(-max(0, total - best_rate(x[i][seen], lib[seen], alpha)[1])), abs=1e-6)
+    assert sum(t.dispersion > 0.1 for t in tests.values()) >= 12
+
+
+def test_count_model_with_one_group_leaves_counts(spark):
+    x = counts_with_batch()[0]
+    meta = spark.createDataFrame([(f"r{j:02d}", "a", "p") for j in range(12)], "run string, sample_group string, bioproject string")
+    done, k = G.ruvseq(long(spark, x), meta)
+    assert k == 0 and np.array_equal(wide(done, x.shape), x)
+    assert {r.p for r in G.CountModel(long(spark, x), meta).tests().collect()} == {1.0}
+
+
+def test_too_few_controls_mean_all_targets(spark):
+    x, groups, _ = counts_with_batch(n=40)
+    meta = spark.createDataFrame([(f"r{j:02d}", g) for j, g in enumerate(groups)], "run string, sample_group string")
+    p, c = G.anova_pvalue(long(spark, x), meta), long(spark, x)
+    assert G.control_targets(p, c).count() == 40
+    assert G.control_targets(p, c, 30, 10).count() == 15 and G.control_targets(p, c, 30, 20).count() == 20
+
+
+def test_estimators_of_surrogate_counts_fall_back(spark):
+    d = G.design_matrix(["a", "b"] * 6)
+    flat = np.tile(np.array([1.0, 3.0] * 6), (20, 1))
+    m = X.RunMatrix(long(spark, flat))
+    assert G.num_sv_be(m, d) is None and G.num_sv(m, d) == (0, "leek")
+    few = X.RunMatrix(long(spark, flat[:4]))
+    assert G.num_sv(few, d) == (None, "failed")
+    with pytest.raises(ValueError):
+        G.num_sv_leek(few, d)
+    x, groups, _ = planted()
+    assert G.num_sv(X.RunMatrix(long(spark, x)), G.design_matrix(groups), b=10) == (1, "be")
+
+
 def test_anova_matches_the_f_statistic(spark):
     x, groups, _ = counts_with_batch()
     meta = spark.createDataFrame([(f"r{j:02d}", g) for j, g in enumerate(groups)], "run string, sample_group string")
