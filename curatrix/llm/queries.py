@@ -90,6 +90,25 @@ def op10_pivot_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_links(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_crc_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.resampling import resample
+
+    return resample(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_token_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.url_rules import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curatrix.llm.hard_negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding"), "vec_id % 100 = 0")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -136,6 +155,39 @@ sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'),
 cast(sum(n + case role when 'user' then 15 when 'assistant' then 4 when 'system' then 13 else 0 end) as bigint) as formatted_chars from e group by conv_id""",
 }
 
+ORACLES |= {
+    # CRC-32 by a table of 256 that is built by its rule; gains and draws as stated
+    "op11_crc_resample": r"""with
+t as (select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as crcs from range(256) r(i)),
+d as (select doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from documents),
+m as (select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from benchmark),
+s as (select doc_id, w, count(*) as n from (select doc_id, unnest(ws) as w from d) group by all),
+v as (select w, hex(encode(w)) as x from (select w from s union select w from m)),
+b as (select w, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint))), lambda c, y: xor(c // 256, crcs[xor(c % 256, y) + 1])), 4294967295) % 10000 as k from v, t),
+cs as (select k, sum(n) as s from s join b using (w) group by 1), ct as (select k, count(*) as t from m join b using (w) group by 1),
+g as (select k, cast(floor(1000 * ln(cast(coalesce(t, 0) + 1 as double) * ((select coalesce(sum(s), 0) from cs) + 10000) / (cast(s + 1 as double) * ((select coalesce(sum(t), 0) from ct) + 10000)))) as bigint) as gain from cs left join ct using (k)),
+w as (select doc_id, sum(n * gain) as weight from s join b using (w) join g using (k) group by 1),
+h as (select d.doc_id, len(ws) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || sha256('2024:' || d.doc_id)[:8] as bigint) + 0.5::double) / 4294967296))) as bigint) as score from d left join w on w.doc_id = d.doc_id),
+r as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as p, count(*) filter (n_features >= 20) over () as enough from h)
+select doc_id, cast(n_features as bigint) as n_features, cast(weight as bigint) as weight, cast(score as bigint) as score, case when n_features >= 20 and p <= 10 * enough // 100 then cast(p as bigint) end as rank from r""",
+    "op12_token_rules": r"""with
+u as (select page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path,
+ translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://((?s:.*))$', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as rest from pages),
+s(v, h, p) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+f as (select page_id, arg_max(struct_pack(v := v, r := h || p), length(h || p)) as best from u join s on (host = h or suffix(host, '.' || h)) and starts_with(path, p) group by 1)
+select u.page_id, host, path, best.r as rule, coalesce(best.v, case when regexp_matches(rest, '^([^/?#]*\.)?casino-history\.') then 'allow'
+ when regexp_matches(rest, '^([^/?#]*\.)?((?s:casino-.*\.)|free-bets\.|cheap-pills\.|ads-track\.|adserver\.|ads\.|(?s:poker-.*\.)|(?s:track\..*/pixel([^a-z0-9_.%-]|$)))') then 'block'
+ when regexp_matches(rest, '/popunder/|/banner-ads/|[^a-z0-9_.%-]affiliate_id=|-viagra-|/wp-login\.php$') then 'block' else 'allow' end) as verdict from u left join f using (page_id)""",
+    "op13_one_bit_negatives": r"""with
+c as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as double)) as v from embeddings
+ where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score from c a join c b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score, row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+ from p join s on p.anchor_id = s.anchor_id and not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 5""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
