@@ -1,11 +1,12 @@
 """Near-duplicate embeddings by a pivot-permutation index.
 
 Reference vectors (pivots) are a bounded, spread-out sample of the table. Every vector is described by its nearest pivots
-in order. It enters the inverted lists of the first few, so a pivot's rank decides whether it retrieves; how many is
-measured: perturbed copies of sampled vectors, at just the threshold, must be retrieved with the target recall. Two vectors
-that meet in a list are candidates if their ordered prefixes share enough pivots, and are taken once, in the list of the
-smallest pivot at which they meet; the comparison is the exact cosine in double precision. Long lists are dealt into pairs
-of blocks. Equal vectors take part as one.
+in order. It enters the inverted lists of the first few, so a pivot's rank decides whether it retrieves. How many pivots
+describe a vector, and how many lists it enters, is measured: of vectors that are no pivots, perturbed copies at just the
+threshold must be retrieved with the target recall. Where no setting gets there, all vectors make one list, which is exact. Two
+vectors that meet in a list are candidates if their ordered prefixes share enough pivots, and are taken once, in the list
+of the smallest pivot at which they meet; the comparison is the exact cosine in double precision. Long lists are dealt into
+pairs of blocks. Equal vectors take part as one.
 """
 
 from __future__ import annotations
@@ -21,13 +22,16 @@ from curatrix.llm.common import block_count, connected_components, deal_pairs, m
 from curatrix.llm.jaccard import roots
 
 COSINE = 0.9
-#: Nearest pivots that describe a vector, how many of them a pair must share, and the share of pairs to be retrieved.
-NEAREST, SHARED, TARGET_RECALL = 8, 2, 0.98
-#: Vectors on perturbed copies of which recall is measured.
-MEASURED = 1000
-#: Pivots grow with the root of the number of vectors between these bounds; alike ones are dropped.
-LEAST_PIVOTS, MOST_PIVOTS, PIVOT_COSINE = 64, 65_536, 0.7
+#: Numbers of nearest pivots that may describe a vector, tried in turn; how many of them a pair must share, and the share
+#: of pairs to be retrieved.
+NEAREST, SHARED, TARGET_RECALL = (8, 16, 32, 64, 128), 2, 0.98
+#: Vectors on perturbed copies of which recall is measured, and from how many on only those far from all pivots count.
+MEASURED, SPREAD = 2000, 100
+#: Pivots grow with the root of the number of vectors from the first bound up to so many bytes; alike ones are dropped.
+LEAST_PIVOTS, PIVOT_BYTES, PIVOT_COSINE = 64, 64 << 20, 0.7
 LIST_BLOCK = 256
+#: Products of vectors with pivots at once.
+CELLS = 1 << 22
 
 
 def unit(rows: list) -> np.ndarray:
@@ -37,13 +41,16 @@ def unit(rows: list) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def permutations(units: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
-    """Numbers of the nearest pivots of each row, nearest first, ties by number."""
-    near = units @ pivots.T
-    k = min(nearest, near.shape[1])
-    some = np.sort(np.argpartition(-near, k - 1, axis=1)[:, :k], axis=1)
-    order = np.argsort(-np.take_along_axis(near, some, axis=1), axis=1, kind="stable")
-    return np.take_along_axis(some, order, axis=1).astype(np.int32)
+def permutations(units: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
+    """Numbers of the nearest pivots of each row, nearest first, ties by number; rows are taken in parts of CELLS products."""
+    k, some = min(nearest, len(pivots)), max(1, CELLS // max(1, len(pivots)))
+    out = np.empty((len(units), k), np.int32)
+    for first in range(0, len(units), some):
+        far = -(units[first : first + some] @ pivots.T)
+        close = np.sort(np.argpartition(far, k - 1, axis=1)[:, :k], axis=1)
+        order = np.argsort(np.take_along_axis(far, close, axis=1), axis=1, kind="stable")
+        out[first : first + some] = np.take_along_axis(close, order, axis=1)
+    return out
 
 
 def retrieved(x: np.ndarray, y: np.ndarray, reach: int, shared: int) -> np.ndarray:
@@ -52,37 +59,63 @@ def retrieved(x: np.ndarray, y: np.ndarray, reach: int, shared: int) -> np.ndarr
     return both[:, :reach, :reach].any((1, 2)) & (both.sum((1, 2)) >= shared)
 
 
-def measured_reach(units: np.ndarray, pivots: np.ndarray, threshold: float = COSINE, target: float = TARGET_RECALL) -> tuple[int, int]:
-    """The fewest lists a vector must enter, and the pivots a pair must share, to meet the target just at the threshold."""
-    noise = np.random.default_rng(5).normal(size=units.shape)
+def perturbed(units: np.ndarray, cosine: float, seed: int = 5) -> np.ndarray:
+    """A copy of every row at exactly this cosine, in a random direction."""
+    noise = np.random.default_rng(seed).normal(size=units.shape)
     noise -= (noise * units).sum(1, keepdims=True) * units
     size = np.linalg.norm(noise, axis=1, keepdims=True)
-    copies = threshold * units + (1 - threshold**2) ** 0.5 * np.divide(noise, size, out=np.zeros_like(noise), where=size > 0)
-    x, y = permutations(units, pivots), permutations(copies, pivots)
-    for shared in range(min(SHARED, x.shape[1]), 0, -1):
-        for reach in range(1, x.shape[1] + 1):
-            if retrieved(x, y, reach, shared).mean() >= target:
-                return reach, shared
-    return x.shape[1], 1
+    return cosine * units + (1 - cosine**2) ** 0.5 * np.divide(noise, size, out=np.zeros_like(noise), where=size > 0)
 
 
-def choose_pivots(vectors: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit pivots: the first vectors by hash, without those close to an earlier one; and the sample for ``measured_reach``.
+def measured_reach(units: np.ndarray, pivots: np.ndarray, threshold: float = COSINE, target: float = TARGET_RECALL) -> tuple[int, int, int] | None:
+    """Pivots that describe a vector, lists that it enters, and pivots that a pair must share, to meet the target just at
+    the threshold; the least of each. None if nothing meets it.
 
-    At most MOST_PIVOTS rows are collected.
+    ``units`` are no pivots. Those with a pivot as near as PIVOT_COSINE are easy to find and are left out while enough others are there.
     """
-    want = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 4 * n**0.5)))
-    rows = unit([r[0] for r in vectors.orderBy(F.xxhash64("h1", "h2"), "h1").select("vector").limit(max(want, MEASURED)).collect()])
-    kept: list[int] = []
-    chosen = np.zeros_like(rows[:want])
-    for i in range(len(chosen)):
-        if not kept or (chosen[: len(kept)] @ rows[i]).max() < PIVOT_COSINE:
-            chosen[len(kept)] = rows[i]
-            kept.append(i)
-    return rows[kept], rows[:MEASURED]
-
-
-def _compare(threshold: float, plan: dict[int, tuple[int, int]]):
+    if not len(units):
+        return 1, 1, 1
+    nearest = np.concatenate([(units[i : i + 256] @ pivots.T).max(1) for i in range(0, len(units), 256)])
+    if (nearest < PIVOT_COSINE).sum() >= SPREAD:
+        units = units[nearest < PIVOT_COSINE]
+    most = min(NEAREST[-1], len(pivots))
+    x, y = permutations(units, pivots, most), permutations(perturbed(units, threshold), pivots, most)
+    for k in NEAREST:
+        shared = min(SHARED, k, most)
+        both = x[:, :k, None] == y[:, None, :k]
+        # the list where a pair first meets: the least larger rank of a shared pivot
+        larger = np.where(both, np.maximum(np.arange(both.shape[1])[:, None], np.arange(both.shape[2])[None, :]), most).min((1, 2))
+        larger = np.where(both.sum((1, 2)) >= shared, larger, most)
+        for reach in range(1, min(k, most) + 1):
+            if (larger < reach).mean() >= target:
+                return min(k, most), reach, shared
+        if k >= most:
+            break
+    return None
+
+
+def choose_pivots(vectors: DataFrame, n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit pivots: the first vectors by hash, without those close to an earlier one; and the next vectors by hash, the sample
+    for ``measured_reach``.
+
+    At most PIVOT_BYTES of pivots and MEASURED vectors are collected, as arrays. Up to half of a small table are pivots.
+    """
+    want = int(max(1, min(PIVOT_BYTES // (8 * size), max(LEAST_PIVOTS, 4 * n**0.5), n // 2)))
+    found = vectors.orderBy(F.xxhash64("h1", "h2"), "h1").limit(want + MEASURED).select(F.col("vector").cast("array<double>").alias("v")).toArrow()
+    rows = unit(found.column("v").combine_chunks().flatten().to_numpy().reshape(-1, size))
+    kept = np.zeros((0, size))
+    for first in range(0, want, 256):
+        block = rows[first : min(first + 256, want)]
+        block = block[(block @ kept.T).max(1, initial=-1.0) < PIVOT_COSINE]
+        near, ok = block @ block.T >= PIVOT_COSINE, []
+        for i in range(len(block)):
+            if not near[i, ok].any():
+                ok.append(i)
+        kept = np.concatenate([kept, block[ok]]) if ok else kept
+    return kept, rows[want:]
+
+
+def _compare(threshold: float, plan: dict[int, tuple[int, int, int]]):
     """Links of every row of a list (or of two blocks of it), and the smallest row it is linked to, step by step."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[], [], []]
@@ -90,7 +123,7 @@ def _compare(threshold: float, plan: dict[int, tuple[int, int]]):
             pivot, lo, hi = (table.column(c)[0].as_py() for c in ("pivot", "lo", "hi"))
             node, copies, mine = (table.column(c).to_numpy() for c in ("node", "copies", "mine"))
             vectors = table.column("vector").to_pylist()
-            reach, shared = plan[len(vectors[0])]
+            _, reach, shared = plan[len(vectors[0])]
             near = np.array(table.column("near").to_pylist(), np.int64)
             numbers, local = np.unique(near, return_inverse=True)
             local = local.reshape(near.shape)
@@ -142,10 +175,13 @@ def cosine_links(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     spark, kind = vectors.sparkSession, dict(rows.dtypes)["vector"]
     of_length, plan, first = {}, {}, 0
     for size, n in classes.groupBy(F.size("vector").alias("size")).count().orderBy("size").collect():  # as many rows as lengths
-        pivots, sample = choose_pivots(classes.where(F.size("vector") == size), n)
-        of_length[size], plan[size] = (pivots, first), measured_reach(sample, pivots, threshold)
+        pivots, sample = choose_pivots(classes.where(F.size("vector") == size), n, size)
+        found = measured_reach(sample, pivots, threshold)
+        if found is None:  # one list of all, dealt into pairs of blocks
+            pivots, found = pivots[:1], (1, 1, 1)
+        of_length[size], plan[size] = (pivots, first), found
         first += len(pivots)
-    sent = spark.sparkContext.broadcast(of_length)
+    sent = spark.sparkContext.broadcast(of_length)  # PIVOT_BYTES at most for a length
 
     def describe(batches):
         for batch in batches:
@@ -153,13 +189,13 @@ def cosine_links(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
             for size in np.unique(length):
                 part = batch.take(pa.array(np.flatnonzero(length == size)))
                 pivots, number = sent.value[int(size)]
-                near = permutations(unit(part.column(2).to_pylist()), pivots) + number
-                reach = pa.array([plan[int(size)][0]] * len(near), pa.int32())
+                near = permutations(unit(part.column(2).to_pylist()), pivots, plan[int(size)][0]) + number
+                reach = pa.array([plan[int(size)][1]] * len(near), pa.int32())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near.tolist(), pa.list_(pa.int32())), reach], ["node", "copies", "vector", "near", "reach"])
 
     index = materialize(classes.select("node", "copies", "vector").mapInArrow(describe, f"node long, copies long, vector {kind}, near array<int>, reach int"), "pivot-index")
     lists = index.withColumn("pivot", F.explode(F.slice("near", 1, F.col("reach")))).drop("reach")
-    sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))  # a row per pivot, MOST_PIVOTS at most for a length
+    sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))  # a row per pivot, PIVOT_BYTES of them at most for a length
     dealt = lists.join(F.broadcast(sizes.withColumn("blocks", block_count(F.col("n"), LIST_BLOCK))), "pivot").where("n > 1").drop("n")
     dealt = deal_pairs(with_block_pairs(dealt, "blocks", F.xxhash64("node")), F.xxhash64("pivot")).sortWithinPartitions("pivot", "lo", "hi")
 

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from curatrix.llm import chat, common, jaccard, pivots, sharding
@@ -331,7 +333,69 @@ def test_order_of_pivots_decides_what_is_retrieved():
     assert not pivots.retrieved(x, np.array([[1, 12, 13, 14, 15, 16, 17, 18]]), 4, 2)[0]
     rng = np.random.default_rng(2)
     units, some = pivots.unit(rng.normal(size=(300, 16))), pivots.unit(rng.normal(size=(100, 16)))
-    assert np.array_equal(pivots.permutations(units, some), np.argsort(-(units @ some.T), axis=1, kind="stable")[:, :8])
+    assert np.array_equal(pivots.permutations(units, some, 8), np.argsort(-(units @ some.T), axis=1, kind="stable")[:, :8])
+
+
+BANDS = (0.9005, 0.92, 0.95, 0.99)
+
+
+def spread_out(n, size, seed):
+    return pivots.unit(np.random.default_rng(seed).normal(size=(n, size)))
+
+
+@pytest.mark.parametrize("size,n", [(64, 20_000), (64, 70_000), (256, 70_000), (256, 1_000_000)])
+def test_index_finds_pairs_of_vectors_that_are_no_pivots(size, n):
+    some, sample, fresh = spread_out(int(max(64, 4 * n**0.5)), size, 1), spread_out(2000, size, 2), spread_out(2000, size, 3)
+    k, reach, shared = pivots.measured_reach(sample, some)
+    for cosine in BANDS:
+        assert pivots.retrieved(pivots.permutations(fresh, some, k), pivots.permutations(pivots.perturbed(fresh, cosine, 9), some, k), reach, shared).mean() >= 0.95
+
+
+def test_reach_is_the_least_that_retrieves_the_target():
+    some, sample = spread_out(200, 32, 4), spread_out(300, 32, 5)
+    k, reach, shared = pivots.measured_reach(sample, some)
+    x, y = (pivots.permutations(v, some, k) for v in (sample, pivots.perturbed(sample, 0.9)))
+    assert pivots.retrieved(x, y, reach, shared).mean() >= 0.98 > pivots.retrieved(x, y, reach - 1, shared).mean()
+    assert pivots.measured_reach(sample, spread_out(2000, 32, 4), -0.9) is None and pivots.measured_reach(sample[:0], some) == (1, 1, 1)
+
+
+def planted(n, size, each, bands=BANDS):
+    base = spread_out(n, size, 6)
+    copies = np.concatenate([pivots.perturbed(base[i * each : (i + 1) * each], c, 7 + i) for i, c in enumerate(bands)])
+    return np.concatenate([base, copies])
+
+
+def vector_table(spark, m, folder):
+    pq.write_table(pa.table({"vec_id": np.arange(len(m)), "embedding": list(m)}), folder / "v.parquet", row_group_size=10_000)
+    return spark.read.parquet(str(folder / "v.parquet"))
+
+
+def test_links_of_seventy_thousand_vectors(spark, tmp_path):
+    """More vectors than once were measured on their own pivots."""
+    n, each = 70_000, 250
+    m = planted(n, 64, each)
+    got = pivots.cosine_links(vector_table(spark, m, tmp_path)).toPandas().set_index("vec_id").sort_index()
+    for k in range(len(BANDS)):
+        i = np.arange(k * each, (k + 1) * each)
+        assert np.mean(got.component_id.loc[n + i].to_numpy() == got.component_id.loc[i].to_numpy()) >= 0.95
+    assert (got.n_links.loc[len(BANDS) * each : n - 1] == 0).all()  # random vectors are far from 0.9
+
+
+def test_where_no_setting_retrieves_enough_all_are_compared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(pivots, "measured_reach", lambda *a: None)
+    m = planted(300, 16, 20)
+    got = pivots.cosine_links(vector_table(spark, m, tmp_path)).toPandas().set_index("vec_id").sort_index()
+    ok = m @ m.T >= 0.9
+    np.fill_diagonal(ok, False)
+    assert (got.n_links.to_numpy() == ok.sum(1)).all()
+
+
+def test_pivots_and_sample_are_apart(spark):
+    m = planted(400, 8, 0)
+    df = spark.createDataFrame([(i, 7 * i, v.tolist()) for i, v in enumerate(m)], "h1 long, h2 long, vector array<double>")
+    some, sample = pivots.choose_pivots(df, 400, 8)
+    assert len(sample) == 400 - 80 and not (some @ sample.T > 1 - 1e-9).any() and (np.triu(some @ some.T, 1) < pivots.PIVOT_COSINE).all()
+    assert [len(x) for x in pivots.choose_pivots(df.limit(1), 1, 8)] == [1, 0]
 
 
 def test_cosines_of_very_large_small_and_unequal_vectors(spark):
