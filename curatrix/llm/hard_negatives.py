@@ -31,7 +31,7 @@ SCALE = 256
 CODES, BITS = 3, 4
 SEED = 13
 #: Least rows of a block, and most components of its rows together; the same of anchors.
-ROWS, ANCHORS = (1024, 1 << 22), (256, 1 << 18)
+ROWS, ANCHORS = (1024, 1 << 22), (1024, 1 << 18)
 #: Cells (anchors times rows) that are estimated at once.
 CELLS = 1 << 20
 
