@@ -33,6 +33,12 @@ def _sums(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(a).alias("n"), F.sum(a).alias("sx"), F.sum(b).alias("sy"), F.sum(a * a).alias("sxx"), F.sum(b * b).alias("syy"), F.sum(a * b).alias("sxy"))
 
 
+def shifted_pearson(rows: DataFrame, keys: list[str], x: str, y: str, shift: Column) -> DataFrame:
+    """As ``safe_pearson``, with one constant taken from all values instead of each key's mean: tasks send sums, not rows."""
+    c = rows.withColumns({"_x": T.finite(F.col(x)) - shift, "_y": T.finite(F.col(y)) - shift})
+    return _sums(c, keys, "_x", "_y").select(*keys, F.col("n").alias("n_pairs"), pearson_from_sums().alias("r"))
+
+
 def safe_pearson(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """Correlation of two columns per key, over finite pairs; values are centred first, so sums lose no digits."""
     w = Window.partitionBy(*keys)
@@ -40,25 +46,33 @@ def safe_pearson(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return _sums(c, keys, "_x", "_y").select(*keys, F.col("n").alias("n_pairs"), pearson_from_sums().alias("r"))
 
 
-def correlation_matrix(expr: DataFrame, method: str = "pearson") -> DataFrame:
+def correlation_matrix(expr: DataFrame, method: str = "pearson", within: str | None = None) -> DataFrame:
     """``(run_a, run_b, n_pairs, r)`` for run_a < run_b: blocks of runs times chunks of targets give partial sums.
 
-    ``spearman`` ranks each run's finite cells first. A task holds a chunk of two blocks of runs.
+    ``spearman`` ranks each run's finite cells first. A task holds a chunk of two blocks of runs. With ``within``, a column of
+    strings that is the same for all cells of a run, only runs that share its value are paired, and it leads the result.
     """
     v = T.finite(F.col("value"))
-    cells = expr.select("target_id", "run", v.alias("value")).where("value is not null")
+    if within:
+        return _correlation_within(expr.select(F.col(within).alias("_key"), "target_id", "run", v.alias("value")).where("value is not null and _key is not null"), method).withColumnRenamed("_key", within)
+    cells = expr.select(F.lit("").alias("_key"), "target_id", "run", v.alias("value")).where("value is not null")
+    return _correlation_within(cells, method).drop("_key")
+
+
+def _correlation_within(cells: DataFrame, method: str) -> DataFrame:
     if method == "spearman":
         cells = cells.withColumn("value", average_rank(["run"], F.col("value")))
     cells = cells.withColumn("value", F.col("value") - F.avg("value").over(Window.partitionBy("run")))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(float(RUN_BLOCK)))).cast("int")
-    n_runs = cells.agg(F.count_distinct("run").alias("n"))
+    n_runs = cells.groupBy("_key").agg(F.count_distinct("run").alias("n"))
     chunks = F.greatest(F.lit(1), F.ceil(F.approx_count_distinct("target_id") / F.lit(float(TARGET_CHUNK)))).cast("int")
-    shape = n_runs.crossJoin(cells.agg(chunks.alias("chunks"))).select(blocks.alias("blocks"), "chunks")
-    dealt = cells.crossJoin(F.broadcast(shape)).withColumns({"mine": F.pmod(F.xxhash64("run"), F.col("blocks")).cast("int"), "chunk": F.pmod(F.xxhash64("target_id"), F.col("chunks")).cast("int")})
+    # a row per key, left to the planner to send or to shuffle
+    shape = n_runs.join(cells.groupBy("_key").agg(chunks.alias("chunks")), "_key").select("_key", blocks.alias("blocks"), "chunks")
+    dealt = cells.join(shape, "_key").withColumns({"mine": F.pmod(F.xxhash64("run"), F.col("blocks")).cast("int"), "chunk": F.pmod(F.xxhash64("target_id"), F.col("chunks")).cast("int")})
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
 
     def partial(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, lo, hi = key
+        of, _, lo, hi = key
         wide = pdf.pivot_table(index="target_id", columns="run", values="value", aggfunc="first")
         runs = wide.columns.to_numpy()
         mine = pdf.drop_duplicates("run").set_index("run")["mine"].reindex(runs).to_numpy()
@@ -67,11 +81,11 @@ def correlation_matrix(expr: DataFrame, method: str = "pearson") -> DataFrame:
         x, h = np.where(have, x, 0.0), have.astype(float)
         n, sx, sxx, sxy = h.T @ h, x.T @ h, (x * x).T @ h, x.T @ x
         i, j = np.nonzero((runs[:, None] < runs[None, :]) & ((mine[:, None] != mine[None, :]) | (lo == hi)))
-        return pd.DataFrame({"run_a": runs[i], "run_b": runs[j], "n": n[i, j].astype(np.int64), "sx": sx[i, j], "sy": sx[j, i], "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j]})
+        return pd.DataFrame({"_key": of, "run_a": runs[i], "run_b": runs[j], "n": n[i, j].astype(np.int64), "sx": sx[i, j], "sy": sx[j, i], "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j]})
 
-    parts = dealt.groupBy("chunk", "lo", "hi").applyInPandas(partial, "run_a string, run_b string, n long, sx double, sy double, sxx double, syy double, sxy double")
-    sums = parts.groupBy("run_a", "run_b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    return sums.select("run_a", "run_b", F.col("n").alias("n_pairs"), pearson_from_sums().alias("r"))
+    parts = dealt.groupBy("_key", "chunk", "lo", "hi").applyInPandas(partial, "_key string, run_a string, run_b string, n long, sx double, sy double, sxx double, syy double, sxy double")
+    sums = parts.groupBy("_key", "run_a", "run_b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    return sums.select("_key", "run_a", "run_b", F.col("n").alias("n_pairs"), pearson_from_sums().alias("r"))
 
 
 def _equal_pairs(ranked: np.ndarray) -> np.ndarray:
@@ -179,17 +193,50 @@ def ws_correlation_metrics(expr: DataFrame, meta: DataFrame) -> DataFrame:
     return out.withColumn("within", F.when(~one, F.col("within"))).withColumn("margin", F.when(~one, F.col("within") - F.col("max_other"))).drop("_n")
 
 
+def median_with(sorted_values: Column, at: Column, value: Column) -> Column:
+    """Median of a sorted array whose place ``at`` (from 0) gives way to ``value``; a missing one leaves the others.
+
+    The others stay in order, so the new middle is the value itself, held between its neighbours in the middle of them.
+    """
+    rest = F.size(sorted_values) - 1
+    other = lambda j: F.get(sorted_values, F.when(j < at, j).otherwise(j + 1))
+    low = lambda j: F.when(j >= 0, other(j)).otherwise(F.lit(float("-inf")))
+    high = lambda j: F.when(j < rest, other(j)).otherwise(F.lit(float("inf")))
+    held = lambda j: F.least(F.greatest(value, low(j - 1)), high(j))  # noqa: E731  # of the rest + 1 values, number j
+    half = F.floor((rest + 1) / 2).cast("int")
+    all_of = F.when(rest % 2 == 0, held(half)).otherwise((held(half - 1) + held(half)) / 2)
+    mid = F.floor(rest / 2).cast("int")
+    others = F.when(rest % 2 == 1, other(mid)).otherwise((other(mid - 1) + other(mid)) / 2)
+    return F.when(value.isNotNull(), all_of).when(rest > 0, others)
+
+
+def _median_of(sorted_values: Column) -> Column:
+    n = F.size(sorted_values)
+    mid = F.floor(n / 2).cast("int")
+    return F.when(n % 2 == 1, F.get(sorted_values, mid)).otherwise((F.get(sorted_values, mid - 1) + F.get(sorted_values, mid)) / 2)
+
+
 def cs_correlation_metrics(expr: DataFrame, meta: DataFrame) -> DataFrame:
-    """Per run: correlation with the median over species of per-species group means, its own species leave-one-out."""
+    """Per run: correlation with the median over species of per-species group means, its own species leave-one-out.
+
+    Species means of a (target, group) are kept sorted. For other groups' runs their median is one number; for the group's own
+    runs the mean without the run takes its species' place, and the median is read off by rank. A cell meets one row of
+    its target, with a number per group, and tasks send sums per run and group.
+    """
     kept = meta.where(T.is_kept(F.col("exclusion"))).select("run", "species", "sample_group")
-    cells = expr.select("target_id", "run", T.finite(F.col("value")).alias("value")).join(kept, "run")
-    sums = cells.groupBy("target_id", "species", "sample_group").agg(F.sum("value").alias("s"), F.count("value").alias("c"))
-    profile = sums.select("target_id", F.col("species").alias("of_species"), F.col("sample_group").alias("of_group"), "s", "c")
-    seen = cells.join(profile, "target_id")
-    own = (F.col("species") == F.col("of_species")) & (F.col("sample_group") == F.col("of_group"))
-    mean = F.when(own, F.try_divide(F.col("s") - F.coalesce("value", F.lit(0.0)), F.col("c") - F.when(F.col("value").isNotNull(), 1).otherwise(0))).otherwise(F.try_divide("s", F.col("c")))
-    ref = seen.groupBy("run", "species", "sample_group", "of_group", "target_id", "value").agg(F.median(mean).alias("ref"))
-    r = safe_pearson(ref, ["run", "species", "sample_group", "of_group"], "value", "ref")
+    cells = expr.select("target_id", "run", T.finite(F.col("value")).alias("value")).join(kept, "run").where("value is not null")
+    sums = cells.groupBy("target_id", "species", "sample_group").agg(F.sum("value").alias("s"), F.count("value").alias("c")).withColumn("m", F.col("s") / F.col("c"))
+    group = sums.groupBy("target_id", F.col("sample_group").alias("of_group")).agg(F.array_sort(F.collect_list("m")).alias("means"), F.collect_list(F.struct("species", "s", "c", "m")).alias("of"))
+    group = group.withColumn("median", _median_of(F.col("means")))
+    profile = group.groupBy("target_id").agg(F.collect_list(F.struct("of_group", "median", "means", "of")).alias("groups"))
+    shift = sums.agg((F.sum("s") / F.sum("c")).alias("_shift"))  # one row
+    met = cells.join(profile, "target_id").select("run", "species", "sample_group", "value", F.explode("groups").alias("g"))
+    own = F.filter("g.of", lambda x: x["species"] == F.col("species"))[0]
+    without = F.try_divide(own["s"] - F.col("value"), own["c"] - 1)
+    place = (F.array_position("g.means", own["m"]) - 1).cast("int")
+    ref = F.when(F.col("g.of_group") == F.col("sample_group"), median_with(F.col("g.means"), place, without)).otherwise(F.col("g.median"))
+    rows = met.select("run", "species", "sample_group", F.col("g.of_group").alias("of_group"), "value", ref.alias("ref")).crossJoin(F.broadcast(shift))
+    r = shifted_pearson(rows, ["run", "species", "sample_group", "of_group"], "value", "ref", F.col("_shift"))
     out = r.groupBy("species", "run", "sample_group").agg(F.max(F.when(F.col("of_group") == F.col("sample_group"), F.col("r"))).alias("within"), F.max(F.when(F.col("of_group") != F.col("sample_group"), F.col("r"))).alias("max_other"))
     return out.withColumn("margin", F.col("within") - F.col("max_other"))
 
@@ -209,19 +256,50 @@ def delta_test(gaps: DataFrame) -> DataFrame:
 
     out = gaps.select((F.col("between_first") - F.col("between_last")).alias("b"), (F.col("within_first") - F.col("within_last")).alias("w"))
     t = lambda c: F.when(F.count(c) > 2, F.try_divide(F.avg(c) * F.sqrt(F.count(c)), F.stddev_samp(c)))
-    stats = out.agg(F.count("b").alias("n"), t("b").alias("t_between"), t("w").alias("t_within"))
+    stats = out.agg(F.count(F.lit(1)).alias("n"), F.count("b").alias("n_between"), F.count("w").alias("n_within"), t("b").alias("t_between"), t("w").alias("t_within"))
 
     def tails(batches):
         for pdf in batches:  # one row
             for c in ("between", "within"):
-                pdf[f"p_{c}"] = [float(f_tail(np.array([v * v]), 1, n - 1)[0]) if n > 2 and v == v else None for v, n in zip(pdf[f"t_{c}"], pdf["n"])]
+                pdf[f"p_{c}"] = [float(f_tail(np.array([v * v]), 1, n - 1)[0]) if n > 2 and v == v else None for v, n in zip(pdf[f"t_{c}"], pdf.pop(f"n_{c}"))]
             yield pdf
 
     return stats.mapInPandas(tails, "n long, t_between double, t_within double, p_between double, p_within double")
 
 
+def round_statistics(matrix: DataFrame, meta: DataFrame, dropped: DataFrame, rounds: DataFrame) -> DataFrame:
+    """``species, round, pair_class, n, mean, variance`` of run pairs over the rounds of a filter.
+
+    ``matrix`` has pairs of one species (``species, run_a, run_b, r``), ``dropped`` the round (from 0) that excluded a run, and
+    ``rounds`` the last round of each species. Statistics 1 are those before the filter, r + 2 those after round r, as the
+    filter's log counts. Pairs are summed once, by the last statistics that they are part of; what a round
+    drops is taken off by adding up only what outlives it.
+    """
+    side = lambda s: meta.select(F.col("run").alias(f"run_{s}"), F.col("bioproject").alias(f"p_{s}"), F.col("sample_group").alias(f"g_{s}"))
+    gone = lambda s: dropped.select(F.col("run").alias(f"run_{s}"), F.col("round").alias(f"d_{s}"))
+    pairs = matrix.where("r is not null").join(side("a"), "run_a").join(side("b"), "run_b").join(gone("a"), "run_a", "left").join(gone("b"), "run_b", "left")
+    kind = F.concat(F.when(F.col("p_a") == F.col("p_b"), "wi").otherwise("bw"), F.when(F.col("g_a") == F.col("g_b"), "wi").otherwise("bw"))
+    sums = pairs.groupBy("species", kind.alias("pair_class"), (F.least("d_a", "d_b") + 1).alias("last")).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q"))
+    grid = rounds.select("species", F.explode(F.sequence(F.lit(1), F.col("last_round") + 2)).alias("round")).withColumn("pair_class", F.explode(F.array(*map(F.lit, CLASSES))))
+    alive = grid.join(sums, ["species", "pair_class"], "left")  # a row per species, round, class and round of loss
+    lives = F.col("last").isNull() | (F.col("last") >= F.col("round"))
+    total = lambda c: F.sum(F.when(lives, F.coalesce(F.col(c), F.lit(0))))
+    out = alive.groupBy("species", "round", "pair_class").agg(F.coalesce(total("n"), F.lit(0)).alias("n"), total("s").alias("s"), total("q").alias("q"))
+    mean = F.try_divide("s", F.col("n"))
+    variance = F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.try_divide(F.col("q") - F.col("s") * mean, F.col("n") - 1)))
+    return out.select("species", "round", "pair_class", "n", F.when(F.col("n") > 0, mean).alias("mean"), variance.alias("variance"))
+
+
 def delta_pcc(rounds: DataFrame) -> DataFrame:
-    """Per species, first against last round: the gaps |bwbw - wibw| and |bwwi - wiwi|."""
+    """Per species, first against last round: the gaps |bwbw - wibw| and |bwwi - wiwi| of class means.
+
+    ``rounds`` has a row per species and round with a mean per class, as ``class_means`` makes of ``round_statistics``.
+    """
     first, last = (lambda c: F.min_by(c, "round")), (lambda c: F.max_by(c, "round"))
     gap = lambda f, a, b: F.abs(f(a) - f(b))
     return rounds.groupBy("species").agg(gap(first, "bwbw", "wibw").alias("between_first"), gap(last, "bwbw", "wibw").alias("between_last"), gap(first, "bwwi", "wiwi").alias("within_first"), gap(last, "bwwi", "wiwi").alias("within_last"))
+
+
+def class_means(statistics: DataFrame) -> DataFrame:
+    """A row per species and round with the mean of each pair class."""
+    return statistics.groupBy("species", "round").pivot("pair_class", list(CLASSES)).agg(F.first("mean"))

@@ -135,9 +135,10 @@ def run_difference(before: DataFrame, after: DataFrame) -> DataFrame:
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Rows with their number (from 1) in a total order, without bringing them into one task.
 
-    A range-sorted, written table keeps its partitions; the driver gets a count per partition.
+    A range-sorted table is written with the place of each row; the driver gets a count per partition.
     """
-    rows = checkpointed(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+    placed = df.orderBy(*order).withColumns({"_id": F.monotonically_increasing_id(), "_part": F.spark_partition_id()})
+    rows = checkpointed(placed, "numbered")
     before, at = [], 0
     for part, n in sorted(rows.groupBy("_part").count().collect()):
         before.append((part, at))

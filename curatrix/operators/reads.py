@@ -90,7 +90,7 @@ def second_round_ranges(runs: DataFrame, job: str | None = None) -> DataFrame:
     free = F.greatest(F.col("total_spots") - F.col("used_spots"), F.lit(0))
     rows = runs.withColumns({"_need": need, "_free": free, "_job": F.col(job) if job else F.lit(0)}).withColumn("_own", F.least("_need", "_free"))
     rows = rows.withColumns({"_short": (F.col("_need") - F.col("_own")) * F.col("spot_length"), "_cap": (F.col("_free") - F.col("_own")) * F.col("spot_length")})
-    rows = checkpointed(rows.orderBy("_job", "pos")).withColumn("_part", F.spark_partition_id())
+    rows = checkpointed(rows.orderBy("_job", "pos").withColumn("_part", F.spark_partition_id()), "ranges")
     parts = rows.groupBy("_job", "_part").agg(F.sum("_short").alias("_short"), F.sum("_cap").alias("_cap"))
     earlier = F.sum("_cap").over(Window.partitionBy("_job").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.select(F.col("_job").alias("_j"), F.col("_part").alias("_p"), F.coalesce(earlier, F.lit(0.0)).alias("_earlier"), F.sum("_short").over(Window.partitionBy("_job")).alias("_all"))

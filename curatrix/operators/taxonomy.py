@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.session import checkpointed
+from curatrix.session import checkpointed, forget
 
 # The standard ranks.
 RANKS = ("domain", "kingdom", "phylum", "class", "order", "family", "genus", "species")
@@ -22,7 +22,8 @@ def resolve_merged(ids: DataFrame, merged: DataFrame, hops: int = MERGE_HOPS) ->
         moved = out.join(step, "current", "left")
         if not moved.where("next is not null").limit(1).count():
             return out
-        out = checkpointed(moved.select("taxid", F.coalesce("next", "current").alias("current")))
+        before, out = out, checkpointed(moved.select("taxid", F.coalesce("next", "current").alias("current")), "merged-ids")
+        forget(before)
     raise RuntimeError(f"merged ids go on after {hops} steps")
 
 

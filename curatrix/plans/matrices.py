@@ -307,28 +307,6 @@ def cross_species_group_means(spark, d):
     return C.cross_species_group_means(B.expr(spark, d), B.expr_meta(spark, d))
 
 
-DELTA = "with r as (select user_id % 7 as species, event_id // 1000 as round, avg(value) as a, max(value) as b, min(value) as c, median(value) as e from events group by all) select species, abs(arg_min(a, round) - arg_min(b, round)) as between_first, abs(arg_max(a, round) - arg_max(b, round)) as between_last, abs(arg_min(c, round) - arg_min(e, round)) as within_first, abs(arg_max(c, round) - arg_max(e, round)) as within_last from r group by 1"
-
-
-@query(DELTA)
-def delta_pcc(spark, d):
-    return _gaps(spark, d)
-
-
-#: Two-sided tail of t with six degrees of freedom (seven species), which has a closed form.
-T6 = "1 - sin(atan(abs({0}) / sqrt(6))) * (1 + pow(cos(atan(abs({0}) / sqrt(6))), 2) / 2 + 3 * pow(cos(atan(abs({0}) / sqrt(6))), 4) / 8)"
-
-
-@query(f"select *, {T6.format('t_between')} as p_between, {T6.format('t_within')} as p_within from (with g as ({DELTA}) select count(*) as n, avg(between_first - between_last) * sqrt(count(*)) / stddev_samp(between_first - between_last) as t_between, avg(within_first - within_last) * sqrt(count(*)) / stddev_samp(within_first - within_last) as t_within from g)")
-def delta_pcc_test(spark, d):
-    return C.delta_test(_gaps(spark, d))
-
-
-def _gaps(spark, d):
-    e = B.table(spark, d, "events").groupBy((F.col("user_id") % 7).alias("species"), F.floor(F.col("event_id") / 1000).alias("round"))
-    return C.delta_pcc(e.agg(F.avg("value").alias("bwbw"), F.max("value").alias("wibw"), F.min("value").alias("bwwi"), F.median("value").alias("wiwi")))
-
-
 # outliers
 
 RZ = """g as (select sample_group, median(mapping_rate) as mid, count(mapping_rate) as n, stddev_samp(mapping_rate) as sd from runs group by 1), h as (select runs.*, mid, n, sd from runs join g using (sample_group)),
@@ -358,8 +336,13 @@ def _flag_sql(out: str, table: str, keys: str, margin: str, z: float) -> str:
 {out} as (select * from (select h.*, case when n >= 3 and {margin} is not null then case when mad > 0 then ({margin} - mid) / (1.4826 * mad) when sd > 0 then ({margin} - mid) / sd else 0 end end as z from {out}h h join {out}d using ({keys})) where {margin} < 0 and (z <= {z} or z is null))"""
 
 
-def _ws_sql(rounds: int) -> str:
-    """The filter's rounds one after the other; rounds after the last that flags a run change nothing."""
+#: More rounds than the given tables ask for.
+ROUNDS = 16
+
+
+def _ws_sql(rounds: int = ROUNDS) -> str:
+    """CTEs of the filter's rounds one after the other; rounds after the last that flags a run change nothing. Round i starts
+    with the runs ``k<i>`` and takes ``o<i>``."""
     out = ["k0 as materialized (select run, species, sample_group, bioproject from expr_meta where exclusion = 'no')"]
     for i in range(rounds):
         ws = re.sub(r"\b([egprw]) as \(", rf"\g<1>{i} as (", WS.split("\n", 1)[1])
@@ -371,15 +354,73 @@ def _ws_sql(rounds: int) -> str:
             f"o{i} as (select run from (select run, row_number() over (partition by species, bioproject order by margin, run) as a, row_number() over (partition by species, f.sample_group order by margin, run) as b from (select f.*, bioproject from f{i} f join k{i} using (run)) f) where a = 1 or b = 1)",
             f"k{i + 1} as materialized (select * from k{i} where run not in (select run from o{i}))",
         ]
-    return ", ".join(out) + f" select run, case when exclusion = 'no' and run not in (select run from k{rounds}) then 'low_within_sample_group_correlation' else exclusion end as exclusion from expr_meta"
+    return ", ".join(out)
+
+
+def _log_sql(rounds: int = ROUNDS) -> str:
+    """CTE ``log``: a row per species and round, until a round takes nothing."""
+    took = [f"t{i} as (select species, count(*) as k, string_agg(run, ' ' order by run) as names from k{i} where run in (select run from o{i}) group by 1)" for i in range(rounds)]
+    rows = [f"select 'within_group_filter' as step, n.species, {i} as round, case when k > 0 then 'low_within_sample_group_correlation' else 'no_outlier_detected' end as reason, cast(n.n as int) as num_runs_before, cast(n.n - coalesce(k, 0) as int) as num_runs_after, cast(coalesce(k, 0) as int) as num_runs_removed, coalesce(names, '') as removed_runs from (select species, count(*) as n from k{i} group by 1) n left join t{i} using (species)" + (f" where n.species in (select species from t{i - 1})" if i else "") for i in range(rounds)]
+    return ", ".join(took) + ", log as materialized (" + " union all ".join(rows) + ")"
+
 
+def _stats_sql(rounds: int = ROUNDS) -> str:
+    """CTE ``st``: pair classes of each species before the filter (1) and after each of its rounds (2, 3, ...)."""
+    both = "filter (a.value is not null and b.value is not null)"
+    pairs = f"""pr as materialized (select a.species, a.run as run_a, b.run as run_b, case when a.bioproject = b.bioproject then 'wi' else 'bw' end || case when a.sample_group = b.sample_group then 'wi' else 'bw' end as pair_class,
+ case when stddev_samp(a.value) {both} > 1e-9 and stddev_samp(b.value) {both} > 1e-9 then corr(a.value, b.value) end as r
+ from (select * from expr join k0 using (run)) a join (select * from expr join k0 using (run)) b on a.species = b.species and a.target_id = b.target_id and a.run < b.run group by all)"""
+    states = [f"select species, {q} as round, pair_class, r from pr where run_a in (select run from k{q - 1}) and run_b in (select run from k{q - 1})" for q in range(1, rounds + 1)]
+    return f"""{pairs}, ls as (select species, max(round) + 2 as last from log group by 1), grid as (select species, unnest(range(1, last + 1)) as round from ls),
+ al as ({' union all '.join(states)}),
+ st as (select grid.species, cast(grid.round as int) as round, c.pair_class, count(r) as n, avg(r) as mean, var_samp(r) as variance from grid cross join (values ('bwbw'), ('wibw'), ('bwwi'), ('wiwi')) c(pair_class) left join al on al.species = grid.species and al.round = grid.round and al.pair_class = c.pair_class group by all)"""
 
-@query(cte("expr", "expr_meta") + ", " + _ws_sql(12))
+
+@query(cte("expr", "expr_meta") + ", " + _ws_sql() + f" select run, case when exclusion = 'no' and run not in (select run from k{ROUNDS}) then 'low_within_sample_group_correlation' else exclusion end as exclusion from expr_meta")
 def wsfilter(spark, d):
     """The loop has as many rounds as the data ask for; at the scale of its SQL they are fewer than the SQL's."""
     return L.wsfilter(B.expr(spark, d), B.expr_meta(spark, d), 0.0, -1.5).select("run", "exclusion")
 
 
+@query(cte("expr", "expr_meta") + ", " + _ws_sql() + ", " + _log_sql() + " select * from log")
+def ws_round_log(spark, d):
+    return L.WithinGroupFilter(B.expr(spark, d), B.expr_meta(spark, d), 0.0, -1.5).log
+
+
+def _round_statistics(spark, d):
+    e, m = B.expr(spark, d), B.expr_meta(spark, d)
+    kept = m.where(KEPT)
+    done = L.WithinGroupFilter(e, m, 0.0, -1.5)
+    matrix = C.correlation_matrix(e.join(kept.select("run", "species"), "run"), within="species")
+    return C.round_statistics(matrix, kept, done.dropped, done.log.groupBy("species").agg(F.max("round").alias("last_round")))
+
+
+@query(cte("expr", "expr_meta") + ", " + _ws_sql() + ", " + _log_sql() + ", " + _stats_sql() + " select * from st")
+def ws_round_statistics(spark, d):
+    """Pair classes over the rounds of the within-group filter."""
+    return _round_statistics(spark, d)
+
+
+GAPS = """gaps as (select species, abs(max(mean) filter (pair_class = 'bwbw' and round = 1) - max(mean) filter (pair_class = 'wibw' and round = 1)) as between_first, abs(max(mean) filter (pair_class = 'bwbw' and round = last) - max(mean) filter (pair_class = 'wibw' and round = last)) as between_last,
+ abs(max(mean) filter (pair_class = 'bwwi' and round = 1) - max(mean) filter (pair_class = 'wiwi' and round = 1)) as within_first, abs(max(mean) filter (pair_class = 'bwwi' and round = last) - max(mean) filter (pair_class = 'wiwi' and round = last)) as within_last from st join ls using (species) group by 1)"""
+DELTA = cte("expr", "expr_meta") + ", " + _ws_sql() + ", " + _log_sql() + ", " + _stats_sql() + ", " + GAPS
+
+
+@query(DELTA + " select * from gaps")
+def delta_pcc(spark, d):
+    """How far the filter's rounds moved the gaps between pair classes."""
+    return C.delta_pcc(C.class_means(_round_statistics(spark, d)))
+
+
+#: Two-sided tail of t with three degrees of freedom (four species), which has a closed form.
+T3 = "1 - 2 / pi() * (atan(abs({0}) / sqrt(3)) + abs({0}) / sqrt(3) / (1 + {0} * {0} / 3))"
+
+
+@query(DELTA + f" select *, {T3.format('t_between')} as p_between, {T3.format('t_within')} as p_within from (select count(*) as n, avg(between_first - between_last) * sqrt(count(*)) / stddev_samp(between_first - between_last) as t_between, avg(within_first - within_last) * sqrt(count(*)) / stddev_samp(within_first - within_last) as t_within from gaps)")
+def delta_pcc_test(spark, d):
+    return C.delta_test(C.delta_pcc(C.class_means(_round_statistics(spark, d))))
+
+
 @query(cte("expr", "expr_meta") + f""", x as (select target_id, run, value * (1 + cast(substr(target_id, 2) as int) % 5) as value from expr), {_cs_sql('u')}, {_cs_sql('c', 'x')}, {_flag_sql('o', 'c', 'sample_group', 'margin', -1.5)}
 select run, u.margin as margin_uncorrected, c.margin as margin_corrected, case when run in (select run from o) then 'low_cross_species_group_correlation' else exclusion end as exclusion from expr_meta left join u using (run) left join c using (run)""")
 def csfilter(spark, d):

@@ -36,6 +36,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def checkpointed(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends there, and the plan starts anew.
+
+    A table of files has no partitions of its own: what depends on the order or the partition of rows is taken down
+    in columns before.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what ``checkpointed`` wrote for ``df``, once a later table has taken its place; others are left alone."""
+    path = getattr(df, "written_to", None)
+    if path:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
