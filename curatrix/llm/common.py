@@ -2,44 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.session import checkpointed as materialize
+from curatrix.session import forget
 
 #: Rows and bytes of text that a task works on at once (at least one row).
 ROWS_AT_ONCE, BYTES_AT_ONCE = 4096, 2 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset, a local master (tests) gets a folder of its own; a cluster must name one.
-    """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and the work is done once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns whose names (in any letter case) an operator is about to add."""
     taken = {n.lower() for n in names}
@@ -104,12 +81,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` of an undirected edge list ``(a, b)``; the component is its smallest node.
 
     Every round takes the smallest label among neighbours, then jumps to the label's own label, so
-    chains shorten by doubling. Nothing is collected; each round is a written table.
+    chains shorten by doubling. Nothing is collected; each round is a written table that replaces the one before.
     Nodes without an edge do not appear. Null ends are ignored.
     """
     pairs = edges.where("a is not null and b is not null and a <> b").select("a", "b")
     pairs = materialize(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = materialize(pairs.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component")), "labels")
+    before = labels
     for _ in range(max_rounds):
         near = (
             pairs.join(labels.select(F.col("node").alias("b"), "component"), "b")
@@ -120,7 +98,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         own = labels.select(F.col("node").alias("mid"), F.col("component").alias("jump"))
         nxt = materialize(step.join(own, "mid").select("node", F.least("mid", "jump").alias("component"), "old"), "labels")
         moved = nxt.where("component <> old").limit(1).count()
-        labels = nxt.select("node", "component")
+        forget(before)
+        before, labels = nxt, nxt.select("node", "component")
         if not moved:
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
