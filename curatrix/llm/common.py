@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.session import checkpointed as materialize
@@ -105,6 +105,79 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def member_filter(nodes: DataFrame, bits: int, of: Column | None = None) -> np.ndarray:
+    """A bit map of hashed ids (of ``node``, if no hash is given), made of sums per task: ``bits`` / 8 bytes."""
+    slot = F.pmod(F.xxhash64("node") if of is None else of, F.lit(bits)) + 1
+    maps = nodes.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("m")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for k, m in maps:
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(m), np.uint8)
+    return out
+
+
+#: Bits of a map for each member, bits of a map at least and at most, and maps of a cascade.
+BITS_A_MEMBER, LEAST_BITS, MOST_BITS, MAPS = 32, 1 << 16, 1 << 28, 8
+
+
+class Members:
+    """Which ids of a known set are members, by a cascade of bit maps: exact, and of bounded size.
+
+    The first map holds the members; ids that hit it by chance are in the second; members that hit that one are in the third, and so
+    on, until nothing is left that a map takes for its opposite. Only ids are shuffled. Where members are so many that
+    maps of full size leave ids open, ``open`` is true, and ids that pass all maps are to be looked up by a join.
+    """
+
+    def __init__(self, ids: DataFrame, members: DataFrame, name: str = "doc_id"):
+        known = ids.select(F.col(name).cast("long").alias("node")).where("node is not null").distinct()
+        marked = known.join(members.select(F.col(name).cast("long").alias("node")).where("node is not null").distinct().withColumn("member", F.lit(True)), "node", "left")
+        self.rows = materialize(marked.select("node", F.coalesce("member", F.lit(False)).alias("member")), "members")
+        self.maps: list[np.ndarray] = []
+        left = {r["member"]: r["count"] for r in self.rows.groupBy("member").count().collect()}
+        for k in range(MAPS):
+            holds = k % 2 == 0
+            if not left.get(holds):
+                break
+            bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_MEMBER * left[holds] - 1).bit_length()))
+            passed = self._passed()
+            self.maps.append(member_filter(passed.where(F.col("member") == holds), bits, F.xxhash64(F.lit(k), "node")))
+            left = {r["member"]: r["count"] for r in self._passed().groupBy("member").count().collect()}
+        self.open = bool(self.maps and left.get(len(self.maps) % 2 == 0))
+        forget(self.rows)
+
+    @staticmethod
+    def hashes(name: str = "node") -> Column:
+        """What ``levels`` and ``is_member`` look at, made beside the rows."""
+        return F.array(*[F.xxhash64(F.lit(k), F.col(name).cast("long")) for k in range(MAPS)])
+
+    def _passed(self) -> DataFrame:
+        if not self.maps:
+            return self.rows
+        sent = self.rows.sparkSession.sparkContext.broadcast(self.maps)  # MOST_BITS a map at most
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.select([0, 1]).filter(pa.array(levels(sent.value, batch.column(2)) == len(sent.value), pa.bool_()))
+
+        return self.rows.select("node", "member", self.hashes()).mapInArrow(keep, "node long, member boolean")
+
+
+def levels(maps: list[np.ndarray], hashes: pa.ListArray) -> np.ndarray:
+    """How many maps each id passes before the first that does not hold it."""
+    each = hashes.flatten().to_numpy().reshape(max(1, len(hashes)), -1)[: len(hashes)]
+    out, going = np.zeros(len(each), np.int64), np.ones(len(each), bool)
+    for k, m in enumerate(maps if len(each) else ()):
+        slot = each[:, k] & (8 * len(m) - 1)
+        going &= (m[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+        out += going
+    return out
+
+
+def is_member(maps: list[np.ndarray], hashes: pa.ListArray, still_open: bool = False) -> np.ndarray:
+    """Ids that a map of non-members does not hold, or that pass all maps, the last being one of members, if nothing is open."""
+    passed = levels(maps, hashes)
+    return (passed % 2 == 1) & ~(still_open & (passed == len(maps)))
+
+
 def block_count(size, block: int):
     """Column: how many blocks of about ``block`` rows hold ``size`` rows."""
     return F.greatest(F.lit(1), F.ceil(size / F.lit(float(block)))).cast("int")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import block_count, connected_components, deal_pairs, fresh, materialize, release, sorted_groups, with_block_pairs
+from curatrix.llm.common import block_count, connected_components, deal_pairs, fresh, materialize, member_filter, release, sorted_groups, with_block_pairs
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -247,16 +247,6 @@ def _links(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], ["node", "links", "root", "several"])
 
 
-def member_filter(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A bit map of hashed ids, made of sums per task: ``bits`` / 8 bytes."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(bits)) + 1
-    maps = nodes.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("m")).collect()
-    out = np.zeros(bits // 8, np.uint8)
-    for k, m in maps:
-        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(m), np.uint8)
-    return out
-
-
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document: ``doc_id``, ``class_id`` (smallest id reachable by links), ``n_links``, ``kept`` (is that smallest).
 

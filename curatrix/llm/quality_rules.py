@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import fresh
+from curatrix.llm.common import Members, fresh, is_member, levels
 
 BITS = 16
 SMOOTHING = 0.5
@@ -68,27 +68,41 @@ def _chunks(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int
 def gram_model(docs: DataFrame, trusted_ids: DataFrame, smoothing: float = SMOOTHING) -> np.ndarray:
     """log p_target - log p_raw by bucket.
 
-    ``trusted_ids`` names trusted documents, found by a join on ``doc_id``; all of them are the target. Counts of raw
-    n-grams cover every document. Each task sends one row per bucket; the driver gets 2**BITS rows, whatever the input.
+    ``trusted_ids`` names trusted documents; all of them are the target, found by an exact cascade of bit maps, so ids are shuffled and
+    texts are not (but for texts that maps of full size leave open, which meet their ids in a join). A null id is no trusted document. Counts of raw n-grams cover every document. Each task sends one row per
+    bucket; the driver gets 2**BITS rows, whatever the input.
     """
-    named = trusted_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("_trusted", F.lit(True))
-    # one plan at every size: texts are dealt by id once, and not sorted
-    marked = docs.select("doc_id", "text").join(named.hint("shuffle_hash"), "doc_id", "left").select("text", F.col("_trusted").isNotNull().alias("trusted"))
+    members = Members(docs, trusted_ids)
+    maps, still_open = docs.sparkSession.sparkContext.broadcast(members.maps), members.open
 
-    def count(batches):
+    def count(batches, joined=False):
         raw, target = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            wanted = batch.column(1).to_pylist()
+            wanted = np.ones(batch.num_rows, bool) if joined else is_member(maps.value, batch.column(1), still_open) & batch.column(2).to_numpy(zero_copy_only=False)
             for first, run in _chunks(batch.column(0).to_pylist()):
                 for chosen, into in ((False, raw), (True, target)):
                     # the separator's n-grams are left out by counting each text's own
                     parts = [_grams(x) for k, x in enumerate(run) if not chosen or wanted[first + k]]
                     if parts:
                         into += np.bincount(np.concatenate(parts), minlength=1 << BITS)
-        got = np.flatnonzero(raw)
+        if joined:  # counted as raw before
+            raw, target = np.zeros_like(raw), raw
+        got = np.flatnonzero(raw + target)
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(raw[got]), pa.array(target[got])], ["bucket", "raw", "target"])
 
-    counted = marked.mapInArrow(count, "bucket int, raw long, target long")
+    def count_target(batches):
+        return count(batches, joined=True)
+
+    def unsure(batches):
+        for batch in batches:
+            yield batch.select([0, 1]).filter(pa.array(levels(maps.value, batch.column(2)) == len(maps.value), pa.bool_()))
+
+    counted = docs.select("text", Members.hashes("doc_id"), F.col("doc_id").isNotNull()).mapInArrow(count, "bucket int, raw long, target long")
+    if still_open:
+        ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+        some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", Members.hashes("doc_id")).where("doc_id is not null").mapInArrow(unsure, "doc_id long, text string")
+        more = some.join(ids, "doc_id").select("text").mapInArrow(count_target, "bucket int, raw long, target long")
+        counted = counted.unionByName(more)
     rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.full(1 << BITS, smoothing), np.full(1 << BITS, smoothing)
     raw[rows["bucket"]] += rows["raw"]

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import fresh
 from curatrix.llm.quality_rules import BITS, _chunks, _grams, base_counts
 
-#: Documents that the scorer is fitted on, chosen by a hash of their id. A documented bound.
+#: Documents that the scorer is fitted on, about so many, chosen by a hash of id and text. A documented bound.
 SAMPLE = 20_000
 EPOCHS = 4
 #: Tasks that fit the scorer, so that each sees enough of the sample, into however many splits the table falls.
 FITTERS = 8
+#: Texts, and their distinct n-grams, that a fitter goes over together.
+AT_ONCE, HELD = 2000, 1 << 23
 SCALE, RATE = 100.0, 0.5
 GOOD, BAD = 1, 2  # a vote; 0 abstains
 
@@ -110,16 +112,22 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[int, float], np.nda
     table = dict(zip(codes.tolist(), post.tolist()))
 
     part = min(1.0, sample / counts.sum())
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).select("text").repartition(FITTERS)
+    # which rows are chosen, which task fits them and in which order follows from ids and texts, not from where rows lie
+    place = F.xxhash64("doc_id", "text")
+    chosen = docs.where(F.pmod(place, F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).select("text", place.alias("place"))
+    fitter = F.pmod(F.shiftright("place", 20), F.lit(FITTERS)).cast("int")
+    chosen = chosen.repartitionById(FITTERS, fitter).sortWithinPartitions("place", "text").select("text")
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, bias, seen = np.zeros(1 << BITS), 0.0, 0
         held, bias_held = np.full(1 << BITS, 1e-8), 1e-8
         rows: list[tuple[np.ndarray, np.ndarray, float]] = []
+        size = 0
 
         def learn():
-            nonlocal bias, bias_held
+            nonlocal bias, bias_held, seen, size
+            seen += len(rows)
             for epoch in range(EPOCHS):
                 for k, v, y in rows:
                     g = 1 / (1 + np.exp(-np.clip(bias + v @ weight[k], -30, 30))) - y
@@ -127,6 +135,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[int, float], np.nda
                     weight[k] -= RATE * g * v / np.sqrt(held[k])
                     bias_held += g * g
                     bias -= RATE * g / bias_held**0.5
+            rows.clear()
+            size = 0
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -134,18 +144,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[int, float], np.nda
                 if len(grams):
                     k, c = np.unique(grams, return_counts=True)
                     rows.append((k, SCALE * c / len(grams), sent.value.get(_code(votes(text)), 0.5)))
-            if len(rows) >= 2000:  # what a task holds is bounded
-                learn()
-                seen += len(rows)
-                rows.clear()
+                    size += len(k)
+                if len(rows) >= AT_ONCE or size >= HELD:  # what a task holds is bounded
+                    learn()
         if rows:
             learn()
-            seen += len(rows)
         if seen:
             at = np.flatnonzero(weight)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(weight[at], bias) * seen), pa.array(np.full(len(at) + 1, seen), pa.int64())], ["bucket", "w", "n"])
 
-    sums = chosen.mapInArrow(train, "bucket int, w double, n long").groupBy("bucket").agg(F.sum("w").alias("w"), F.sum("n").alias("n")).toPandas()
+    # FITTERS numbers a bucket, added in their order
+    added = F.aggregate(F.sort_array(F.collect_list("w")), F.lit(0.0), lambda a, x: a + x)
+    sums = chosen.mapInArrow(train, "bucket int, w double, n long").groupBy("bucket").agg(added.alias("w"), F.sum("n").alias("n")).toPandas()
     weight, total = np.zeros(1 << BITS), float(sums.loc[sums["bucket"] == -1, "n"].sum()) or 1.0
     mine = sums[sums["bucket"] >= 0]
     weight[mine["bucket"]] = mine["w"] / total
@@ -155,8 +165,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[dict[int, float], np.nda
 def classify(docs: DataFrame, sample: int = SAMPLE, carry: bool = False) -> DataFrame:
     """Every document with the labellers' ``posterior``, the scorer's ``score`` in 0..1 and ``kept`` (score of 0.5 or more).
 
-    A text without n-grams (null, empty, under four bytes) scores its posterior. Ties and repeated rows are scored each
-    on their own; an empty table gives an empty result. With ``carry`` all columns of ``docs`` come first.
+    A text without n-grams (null, empty, under four bytes) scores its posterior. Texts are read whole, however long. Ties and
+    repeated rows are scored each on their own; an empty table gives an empty result. Scores follow from the rows, however
+    they are dealt to files. With ``carry`` all columns of ``docs`` come first, but for those named like a result column.
     """
     table, weight, bias, _ = fit(docs, sample)
     docs = fresh(docs, "posterior", "score", "kept") if carry else docs.select("doc_id", "text")
