@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import math
 import zlib
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
-from curatrix.operators.matrix import RunMatrix, signed, top_eigen
+from curatrix.operators.matrix import GRAM_RUNS, RunMatrix, signed, top_eigen
 from curatrix.operators.tmm import library_sizes, upper_quartile_factor
 
 # Fixed values of the methods.
@@ -135,35 +136,51 @@ def most_sv(m: RunMatrix, design: np.ndarray) -> int:
 def num_sv_be(m: RunMatrix, design: np.ndarray, b: int = 20, seed: int = 1) -> int | None:
     """How many singular values of the residuals stand out of ``b`` permutations of every row (seeded by target).
 
-    None if there are no residuals to share out.
+    A task holds the sums of as many permutations as HELD_BYTES of the matrix kernels allow; of many runs it holds a few
+    columns of one. None if there are no residuals to share out.
     """
     h, n = np.eye(m.n) - hat(design), m.n
     free = min(n, m.n_targets) - np.linalg.matrix_rank(design)
     if free <= 0:
         return 0
 
-    def grams(x: np.ndarray, ids: list[str]) -> np.ndarray:
+    def residuals(x: np.ndarray, ids: list[str], k: int) -> np.ndarray:
         r = np.nan_to_num(x) @ h
-        # a target's permutations follow from its id, whatever block it is in
-        orders = np.stack([np.random.default_rng([seed, *t.encode()]).permuted(np.tile(np.arange(n), (b, 1)), axis=1) for t in ids])
-        out = [r.T @ r]
-        for k in range(b):
-            p = np.take_along_axis(r, orders[:, k], axis=1) @ h
-            out.append(p.T @ p)
-        return np.concatenate(out)
-
-    stack = m.sums(grams, with_ids=True).reshape(b + 1, n, n)
-
-    if any(np.trace(g) <= 1e-12 * m.n_targets for g in stack):
-        return None
-
-    def share(g: np.ndarray) -> np.ndarray:
-        w = top_eigen(g, free)[0]
-        return w / w.sum()
-
-    real, null = share(stack[0]), np.stack([share(g) for g in stack[1:]])
-    p = np.maximum.accumulate((null >= real).mean(0))
-    return min(int((p <= SV_LEVEL).sum()), most_sv(m, design))
+        if not k:
+            return r
+        # a target's permutation follows from its id, whatever block it is in
+        order = np.stack([np.random.default_rng([seed, k, *t.encode()]).permutation(n) for t in ids])
+        return np.take_along_axis(r, order, axis=1) @ h
+
+    if n <= GRAM_RUNS:
+        spectra: list[np.ndarray | None] = []
+
+        def grams(x: np.ndarray, ids: list[str], these: range) -> np.ndarray:
+            return np.stack([((r := residuals(x, ids, k)).T @ r).ravel() for k in these])
+
+        for _, sums in m.stacked(grams, b + 1, n * n):
+            for g in sums.reshape(-1, n, n):
+                w = top_eigen(g, free)[0]
+                spectra.append(None if np.trace(g) <= 1e-12 * m.n_targets else w / w.sum())
+        if any(s is None for s in spectra):
+            return None
+        p = np.maximum.accumulate((np.stack(spectra[1:]) >= spectra[0]).mean(0))
+        return min(int((p <= SV_LEVEL).sum()), most_sv(m, design))
+
+    # of more runs only as many leading shares as it takes for one not to stand out, one permutation at a time
+    some, found = min(8, free), [None] * (b + 1)
+    while True:
+        shares = []
+        for k in range(b + 1):
+            w, v, trace = m.leading(lambda x, ids, k=k: residuals(x, ids, k), some, found[k], with_ids=True)
+            if trace <= 1e-12 * m.n_targets:
+                return None
+            found[k] = v
+            shares.append(w / trace)
+        p = np.maximum.accumulate((np.stack(shares[1:]) >= shares[0]).mean(0))
+        if p[-1] > SV_LEVEL or some == free:
+            return min(int((p <= SV_LEVEL).sum()), most_sv(m, design))
+        some = min(2 * some, free)
 
 
 def _first(hit: np.ndarray, after: int, default: int) -> int:
@@ -182,15 +199,15 @@ def num_sv_leek(m: RunMatrix, design: np.ndarray, parts: int = 10, steps: int =
         raise ValueError("fewer than ten targets")
     n, keep = m.n, np.eye(m.n) - hat(design)
 
-    def tenths(x: np.ndarray, ids: list[str]) -> np.ndarray:
+    def tenths(x: np.ndarray, ids: list[str], these: range) -> np.ndarray:
         x, of = np.nan_to_num(x), np.array([zlib.crc32(i.encode()) % parts for i in ids])
-        out = np.zeros((parts, n * n + 1))
-        for j in range(parts):
+        out = np.zeros((len(these), n * n + 1))
+        for row, j in zip(out, these):
             y = x[of == j]
-            out[j, :-1], out[j, -1] = (y.T @ y).ravel(), len(y)
+            row[:-1], row[-1] = (y.T @ y).ravel(), len(y)
         return out
 
-    grown = np.cumsum(m.sums(tenths, with_ids=True), axis=0)
+    grown = accumulate(row for _, sums in m.stacked(tenths, parts, n * n + 1) for row in sums)
     scale, count = np.linspace(0, 2, steps), np.zeros((steps, parts))
     for j, row in enumerate(grown):
         gram, size = row[:-1].reshape(n, n), max(row[-1], 1.0)
@@ -259,7 +276,7 @@ def sva_factors(m: RunMatrix, design: np.ndarray, n_sv: int, rounds: int = 5) ->
     """Surrogate variables (runs by n_sv), re-weighted: targets count by how surely they follow the surrogates but not the groups."""
     n, one = m.n, np.ones((m.n, 1))
     h = np.eye(n) - hat(design)
-    sv = top_eigen(m.sums(lambda x: (r := np.nan_to_num(x) @ h).T @ r), n_sv)[1]
+    sv = m.leading(lambda x: np.nan_to_num(x) @ h, n_sv)[1]
     for _ in range(rounds):
         both, only = np.hstack([design, sv]), np.hstack([one, sv])
         gb, lb = _posterior(m, both, design)
@@ -268,10 +285,9 @@ def sva_factors(m: RunMatrix, design: np.ndarray, n_sv: int, rounds: int = 5) ->
         def weighted(x: np.ndarray) -> np.ndarray:
             x = np.nan_to_num(x)
             w = (1 - np.interp(_f_block(x, both, design), gb, lb)) * np.interp(_f_block(x, both, only), gg, lg)
-            y = (x - x.mean(1, keepdims=True)) * w[:, None]
-            return y.T @ y
+            return (x - x.mean(1, keepdims=True)) * w[:, None]
 
-        sv = top_eigen(m.sums(weighted), n_sv)[1]
+        sv = m.leading(weighted, n_sv, sv)[1]
     return sv
 
 
@@ -419,7 +435,7 @@ def ruv_basis(residuals: DataFrame, controls: DataFrame, runs: list[str], k: int
     largest = m.per_row(lambda x: {"m": np.abs(centred(x)).max(1)}, "m double").agg(F.max("m")).first()[0]
     if largest is None or largest <= NOISE:
         return np.zeros((m.n, 0))
-    w, v = top_eigen(m.sums(lambda x: (y := centred(x)).T @ y), k)
+    w, v, _ = m.leading(centred, k)
     return v[:, w > max(1e-16, 1e-14 * w[0])]
 
 
@@ -491,6 +507,19 @@ def ruvseq(expr: DataFrame, meta: DataFrame, k_max: int = 5, top_n: int = 1000,
 # latent factors
 
 
+def _energetic(m: RunMatrix, f, free: int) -> int:
+    """How many leading components hold ENERGY of the whole; none if the first holds under LEADING."""
+    some = free if m.n <= GRAM_RUNS else min(8, free)
+    while True:
+        w, _, trace = m.leading(f, some)
+        share = w / max(trace, 1e-300)
+        if share[0] < LEADING:
+            return 0
+        if share.sum() >= ENERGY or some == free:
+            return int(np.searchsorted(np.cumsum(share), ENERGY) + 1)
+        some = min(2 * some, free)
+
+
 def latent_factors(m: RunMatrix, design: np.ndarray, k: int | None = None, rounds: int = 200, tol: float = 1e-5) -> tuple[np.ndarray, bool]:
     """Factors orthogonal to the design from residuals weighted by a negative-binomial variance, refitted until the
     subspace settles. Without ``k``: as many as hold 60 % of the energy, none if the first holds under 10 %."""
@@ -504,17 +533,14 @@ def latent_factors(m: RunMatrix, design: np.ndarray, k: int | None = None, round
             mu = np.maximum(np.expm1(y @ fit), 1e-3)
             alpha = np.clip((((np.nan_to_num(x) - mu) ** 2 - mu) / mu**2).mean(1, keepdims=True), 1e-4, 10)
             w = 1 / np.sqrt((1 / mu + alpha).mean(1, keepdims=True))
-            r = (y @ h) * w
-            return r.T @ r
+            return (y @ h) * w
 
-        gram = m.sums(weighted)
         if k is None:
-            w = top_eigen(gram, m.n - np.linalg.matrix_rank(design))[0]
-            share = w / max(w.sum(), 1e-300)
-            k = 0 if not len(share) or share[0] < LEADING else int(np.searchsorted(np.cumsum(share), ENERGY) + 1)
+            free = m.n - np.linalg.matrix_rank(design)
+            k = _energetic(m, weighted, free) if free else 0
         if not k:
             return np.zeros((m.n, 0)), True
-        new = top_eigen(gram, k)[1]
+        new = m.leading(weighted, k, u)[1]
         if u.shape[1] == k and np.linalg.norm(new @ new.T - u @ u.T) <= tol:
             return new, True
         u = signed(new)

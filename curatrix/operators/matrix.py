@@ -1,7 +1,8 @@
-"""Targets-by-runs kernels: each is a distributed pass over targets that yields sums of runs-by-runs size.
+"""Targets-by-runs kernels: each is a distributed pass over targets that yields sums of runs-by-runs size, or less.
 
-Targets are many, runs few. Rows go through tasks in blocks; what comes back to the driver is the gram matrix, where a
-small eigen step is done, and its result is broadcast for the next pass. Missing cells are NaN inside blocks.
+Targets are many, runs few. Rows go through tasks in blocks. Of a few runs the gram matrix comes back to the driver, where an
+eigen step is done, and its result is broadcast for the next pass; of more runs leading components come from passes that
+send runs by a few columns. Sums travel as packed pieces and are merged in a tree. Missing cells are NaN inside blocks.
 """
 
 from __future__ import annotations
@@ -11,14 +12,24 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
-from curatrix.session import checkpointed
+from curatrix.operators.eigen import leading
+from curatrix.session import checkpointed, forget
 
-#: Runs of a matrix at most; more raise. A block of a gram matrix of so many takes 72 MB in a task and on the driver.
+#: Runs of a matrix at most; more raise. A gram matrix of so many is 72 MB.
 MAX_RUNS = 3_000
+#: Up to so many runs a gram matrix is taken for leading components; beyond, passes that send a few columns.
+GRAM_RUNS = 1_024
+#: Cells of a block of targets, bytes of the sums that a task holds, numbers of a packed piece, and pieces merged in a task.
+CELLS, HELD_BYTES, PIECE, FAN = 1 << 21, 256 << 20, 1 << 17, 16
+#: Rounds of imputation that are replayed before the filled rows are written again.
+REPLAYED = 5
+#: Runs of coordinates at most; the driver holds about 100 numbers for each.
+MAX_PLACED = 200_000
 
 
 class RunMatrix:
@@ -39,36 +50,63 @@ class RunMatrix:
     def n_targets(self) -> int:
         return self.rows.count()
 
-    def sums(self, f: Callable[..., np.ndarray], with_ids: bool = False) -> np.ndarray:
-        """The sum over all blocks of a small matrix that ``f`` makes of each (and of its target ids, if asked)."""
-        n = self.n
+    def sums(self, f: Callable[..., np.ndarray], with_ids: bool = False, rows: DataFrame | None = None, block: Callable | None = None) -> np.ndarray:
+        """The sum over all blocks of a small matrix that ``f`` makes of each (and of its target ids, if asked).
+
+        A task adds up its blocks and sends packed pieces of the sum; pieces of a place are added in lanes of FAN tasks, then
+        over lanes. ``rows`` and ``block`` stand in for the matrix's rows and for how a slice of them becomes an argument.
+        """
+        n, make = self.n, block or _block
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = None
             for pdf in batches:
-                m = f(_block(pdf, n), pdf["target_id"].tolist()) if with_ids else f(_block(pdf, n))
-                total = m if total is None else total + m
+                for part in _slices(pdf, n):
+                    m = f(make(part, n), part["target_id"].tolist()) if with_ids else f(make(part, n))
+                    total = m if total is None else total.__iadd__(m)
             if total is not None:
-                r, c = np.indices(total.shape)
-                yield pd.DataFrame({"r": r.ravel(), "c": c.ravel(), "s": total.ravel()})
-
-        rows = self.rows.mapInPandas(run, "r int, c int, s double").groupBy("r", "c").agg(F.sum("s").alias("s")).toPandas()
-        if not len(rows):
-            return np.zeros((0, 0))
-        out = np.zeros((rows["r"].max() + 1, rows["c"].max() + 1))
-        out[rows["r"], rows["c"]] = rows["s"]
-        return out
-
-    def map(self, f: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+                lane, flat = TaskContext.get().partitionId() // FAN, np.ascontiguousarray(total, float).ravel()
+                for k in range(0, max(1, len(flat)), PIECE):
+                    yield pd.DataFrame({"piece": [k // PIECE], "lane": [lane], "height": [len(total)], "s": [flat[k : k + PIECE].tobytes()]})
+
+        schema = "piece int, lane int, height int, s binary"
+        parts = (self.rows if rows is None else rows).mapInPandas(run, schema)
+        lanes = parts.groupBy("piece", "lane").applyInPandas(_merged, schema).withColumn("lane", F.lit(0))
+        found = sorted(lanes.groupBy("piece", "lane").applyInPandas(_merged, schema).collect())
+        return np.concatenate([np.frombuffer(r["s"]) for r in found]).reshape(found[0]["height"], -1) if found else np.zeros((0, 0))
+
+    def stacked(self, f: Callable[[np.ndarray, list[str], range], np.ndarray], parts: int, size: int) -> Iterator[tuple[range, np.ndarray]]:
+        """Sums of ``parts`` matrices of ``size`` numbers, as many in a pass as HELD_BYTES allow; ``f`` makes those of a range,
+        a row each."""
+        some = max(1, HELD_BYTES // (16 * size))  # the sum, and what is added to it
+        for first in range(0, parts, some):
+            these = range(first, min(first + some, parts))
+            yield these, self.sums(lambda x, ids, these=these: f(x, ids, these), with_ids=True)
+
+    def leading(self, f: Callable[..., np.ndarray], k: int, start: np.ndarray | None = None, with_ids: bool = False) -> tuple[np.ndarray, np.ndarray, float]:
+        """The ``k`` largest eigenvalues and vectors of the gram matrix of the rows that ``f`` makes of each block, and its trace."""
+        if self.n <= GRAM_RUNS:
+            gram = self.sums(lambda x, *ids: (y := f(x, *ids)).T @ y, with_ids)
+            if not len(gram):
+                gram = np.zeros((self.n, self.n))
+            return *top_eigen(gram, k), float(np.trace(gram))
+        trace = self.sums(lambda x, *ids: np.array([[(f(x, *ids) ** 2).sum()]]), with_ids)
+        if not len(trace) or not trace[0, 0]:
+            return np.zeros(k), np.eye(self.n)[:, :k], 0.0
+        w, v = leading(lambda q: self.sums(lambda x, *ids: (y := f(x, *ids)).T @ (y @ q), with_ids), self.n, k, start)
+        return np.maximum(w, 0), signed(v), float(trace[0, 0])
+
+    def map(self, f: Callable[[np.ndarray], np.ndarray], rows: DataFrame | None = None, block: Callable | None = None) -> DataFrame:
         """Every block through ``f``, back in long form."""
-        n, runs = self.n, self.runs
+        n, runs, make = self.n, self.runs, block or _block
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                x = f(_block(pdf, n))
-                yield pd.DataFrame({"target_id": np.repeat(pdf["target_id"].to_numpy(), n), "run": np.tile(runs, len(pdf)), "value": x.ravel()})
+                for part in _slices(pdf, n):
+                    x = f(make(part, n))
+                    yield pd.DataFrame({"target_id": np.repeat(part["target_id"].to_numpy(), n), "run": np.tile(runs, len(part)), "value": x.ravel()})
 
-        return self.rows.mapInPandas(run, "target_id string, run string, value double")
+        return (self.rows if rows is None else rows).mapInPandas(run, "target_id string, run string, value double")
 
     def cells(self, f: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
         """Columns per cell that ``f`` makes of a block, for the cells that are not missing."""
@@ -76,9 +114,10 @@ class RunMatrix:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                x = _block(pdf, n)
-                r, c = np.nonzero(np.isfinite(x))
-                yield pd.DataFrame({"target_id": pdf["target_id"].to_numpy()[r], "run": runs[c], **{k: v[r, c] for k, v in f(x).items()}})
+                for part in _slices(pdf, n):
+                    x = _block(part, n)
+                    r, c = np.nonzero(np.isfinite(x))
+                    yield pd.DataFrame({"target_id": part["target_id"].to_numpy()[r], "run": runs[c], **{k: v[r, c] for k, v in f(x).items()}})
 
         return self.rows.mapInPandas(run, f"target_id string, run string, {schema}")
 
@@ -88,11 +127,26 @@ class RunMatrix:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                yield pd.DataFrame({"target_id": pdf["target_id"].to_numpy(), **f(_block(pdf, n))})
+                for part in _slices(pdf, n):
+                    yield pd.DataFrame({"target_id": part["target_id"].to_numpy(), **f(_block(part, n))})
 
         return self.rows.mapInPandas(run, f"target_id string, {schema}")
 
 
+def _slices(pdf: pd.DataFrame, n: int) -> Iterator[pd.DataFrame]:
+    """Rows of about CELLS cells."""
+    some = max(1, CELLS // max(1, n))
+    for first in range(0, len(pdf), some):
+        yield pdf.iloc[first : first + some]
+
+
+def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.frombuffer(pdf["s"].iloc[0]).copy()
+    for s in pdf["s"].iloc[1:]:
+        total += np.frombuffer(s)
+    return pdf.iloc[:1].assign(s=[total.tobytes()])
+
+
 def _block(pdf: pd.DataFrame, n: int) -> np.ndarray:
     x = np.full((len(pdf), n), np.nan)
     for k, (i, v) in enumerate(zip(pdf["i"], pdf["v"])):
@@ -139,50 +193,75 @@ def _row_mean(x: np.ndarray) -> np.ndarray:
     return np.where(have, x, mean[:, None])
 
 
-def _replay(x: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """A block after all steps so far: missing cells take the low-rank reconstruction of the centred rows."""
-    miss, y = ~np.isfinite(x), _row_mean(x)
+Step = tuple[np.ndarray, np.ndarray]
+
+
+def _replay(miss: np.ndarray, y: np.ndarray, steps: list[Step]) -> np.ndarray:
+    """Filled rows after more steps: missing cells take the low-rank reconstruction of the centred rows."""
     for mean, v in steps:
         y = np.where(miss, (y - mean) @ v @ v.T + mean, y)
     return y
 
 
+def _filled(pdf: pd.DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values with NaN, which are missing, and the rows as filled when they were last written."""
+    x = _block(pdf, n)
+    return x, ~np.isfinite(x), np.stack(pdf["y"].to_numpy()) if len(pdf) else x
+
+
 def impute_low_rank(expr: DataFrame, k: int = 4, rounds: int = 50, tol: float = 1e-6, floor: float | None = None, nipals: bool = False) -> DataFrame:
     """Missing cells by iterated reconstruction from the first components (eigen, or power iteration).
 
-    No state is kept between rounds but each round's means and components: a block replays them. Too small a matrix
-    keeps row means.
+    Filled rows are a written table, which a new one replaces every REPLAYED rounds; a round's pass replays only the steps since,
+    so late rounds cost what early ones do. Too small a matrix keeps row means.
     """
     m = RunMatrix(expr)
-    n_targets = m.rows.count()
-    rank, steps = min(k, n_targets - 1, m.n - 1), []
+    n, n_targets = m.n, m.n_targets
+    state_schema = "target_id string, i array<int>, v array<double>, y array<double>"
+
+    def write(rows: DataFrame, step: Callable[[pd.DataFrame], np.ndarray]) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for part in _slices(pdf, n):
+                    yield part[["target_id", "i", "v"]].assign(y=list(step(part)))
+
+        return checkpointed(rows.mapInPandas(run, state_schema), "filled-rows")
+
+    state, steps = write(m.rows, lambda part: _row_mean(_block(part, n))), []
+    rank = min(k, n_targets - 1, n - 1)
     if rank >= 1:
-        for _ in range(rounds):
-            now, before = list(steps), list(steps[:-1])
-
-            def parts(x: np.ndarray) -> np.ndarray:
-                y = _replay(x, now)
-                g = np.zeros((m_n + 1, m_n + 1))
-                g[:m_n, :m_n] = y.T @ y
-                g[m_n, :m_n] = y.sum(0)
-                moved = np.abs(y - _replay(x, before)) if now else np.ones(1)
-                g[m_n, m_n] = (moved > tol).sum()
+        for done in range(rounds):
+            pending = list(steps)
+
+            def parts(block: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+                _, miss, y = block
+                before = _replay(miss, y, pending[:-1])
+                y = _replay(miss, before, pending[-1:])
+                g = np.zeros((n + 1, n + 1))
+                g[:n, :n] = y.T @ y
+                g[n, :n] = y.sum(0)
+                g[n, n] = (np.abs(y - before) > tol).sum()
                 return g
 
-            m_n = m.n
-            s = m.sums(parts)
-            if now and s[m_n, m_n] == 0:
+            s = m.sums(parts, rows=state, block=_filled)
+            if done and s[n, n] == 0:
                 break
-            mean = s[m_n, :m_n] / n_targets
-            gram = s[:m_n, :m_n] - n_targets * np.outer(mean, mean)
+            mean = s[n, :n] / n_targets
+            gram = s[:n, :n] - n_targets * np.outer(mean, mean)
             steps.append((mean, power_components(gram, rank) if nipals else top_eigen(gram, rank)[1]))
+            if len(steps) > REPLAYED:
+                old, past = state, list(steps[:-1])  # the last step stays, to see how far it moves
+                state = write(old, lambda part, past=past: _replay(*_filled(part, n)[1:], past))
+                forget(old)
+                steps = steps[-1:]
     final = list(steps)
 
-    def fill(x: np.ndarray) -> np.ndarray:
-        y = _replay(x, final)
-        return np.where(np.isfinite(x), x, np.maximum(y, floor)) if floor is not None else y
+    def fill(block: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        x, miss, y = block
+        y = _replay(miss, y, final)
+        return np.where(miss, np.maximum(y, floor), x) if floor is not None else y
 
-    return m.map(fill)
+    return m.map(fill, state, _filled)
 
 
 def correlation_array(matrix: DataFrame, runs: list[str]) -> np.ndarray:
@@ -204,33 +283,60 @@ def finite_block(matrix: DataFrame) -> DataFrame:
     return kept.withColumn("r", F.when(F.col("r").isNull(), F.raise_error(F.lit("correlation of a pair is undefined")).cast("double")).otherwise(F.col("r")))
 
 
-def _coordinates(matrix: DataFrame, k: int, axes: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
-    kept = finite_block(matrix)
-    runs = sorted(r[0] for r in kept.select("run_a").union(kept.select("run_b")).distinct().limit(MAX_RUNS + 1).collect())
-    if len(runs) > MAX_RUNS:
-        raise ValueError("too many runs for a matrix of runs by runs")
-    xy = axes(correlation_array(kept, runs))
+def _placed(kept: DataFrame, n_axes: int, direct: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], product: Callable[[Callable, np.ndarray, int], np.ndarray], name: str) -> DataFrame:
+    """Coordinates from leading eigenpairs: of the whole array for a few runs, else by passes over the pairs."""
+    spark = kept.sparkSession
+    runs = sorted(r[0] for r in kept.select("run_a").union(kept.select("run_b")).distinct().limit(MAX_PLACED + 1).collect())
+    n = len(runs)
+    if n > MAX_PLACED:
+        raise ValueError("too many runs for coordinates")
+    k = min(n_axes, n)
+    if n <= GRAM_RUNS:
+        w, v = direct(correlation_array(kept, runs))
+    else:
+        order = spark.createDataFrame(list(zip(runs, range(n))), "run string, i int")
+        at = lambda s: F.broadcast(order.select(F.col("run").alias(f"run_{s}"), F.col("i").alias(s)))  # noqa: E731  # MAX_PLACED rows at most
+        pairs = checkpointed(kept.join(at("a"), "run_a").join(at("b"), "run_b").select("a", "b", "r"), "pairs")
+
+        def times(of_r: Callable[[np.ndarray], np.ndarray], q: np.ndarray) -> np.ndarray:
+            """Product with the symmetric array of ``of_r`` of each pair's correlation, diagonal apart."""
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                total = np.zeros(q.shape)
+                for pdf in batches:
+                    a, b, r = pdf["a"].to_numpy(), pdf["b"].to_numpy(), of_r(pdf["r"].to_numpy(float))
+                    for c in range(q.shape[1]):
+                        total[:, c] += np.bincount(a, r * q[b, c], n) + np.bincount(b, r * q[a, c], n)
+                lane, flat = TaskContext.get().partitionId() // FAN, total.ravel()
+                for piece in range(0, len(flat), PIECE):
+                    yield pd.DataFrame({"piece": [piece // PIECE], "lane": [lane], "height": [n], "s": [flat[piece : piece + PIECE].tobytes()]})
+
+            schema = "piece int, lane int, height int, s binary"
+            lanes = pairs.mapInPandas(run, schema).groupBy("piece", "lane").applyInPandas(_merged, schema).withColumn("lane", F.lit(0))
+            found = sorted(lanes.groupBy("piece", "lane").applyInPandas(_merged, schema).collect())
+            return np.concatenate([np.frombuffer(x["s"]) for x in found]).reshape(q.shape)
+
+        w, v = leading(lambda q: product(times, q, n), n, k)
+        w, v = np.maximum(w, 0), signed(v)
+        forget(pairs)
+    xy = np.zeros((n, n_axes))
+    xy[:, : len(w)] = v * np.sqrt(w)
     rows = [(r, *map(float, xy[i])) for i, r in enumerate(runs)]
-    return matrix.sparkSession.createDataFrame(rows, "run string, " + ", ".join(f"{name}{i + 1} double" for i in range(k)))
+    return spark.createDataFrame(rows, "run string, " + ", ".join(f"{name}{i + 1} double" for i in range(n_axes)))
 
 
 def pca_coordinates(matrix: DataFrame, k: int = 5) -> DataFrame:
     """Eigenvectors of the run correlation, scaled by the root of their eigenvalues, signs fixed."""
-    def axes(r: np.ndarray) -> np.ndarray:
-        w, v = top_eigen(r, min(k, len(r)))
-        out = np.zeros((len(r), k))
-        out[:, : len(w)] = v * np.sqrt(w)
-        return out
-
-    return _coordinates(matrix, k, axes, "pc")
+    return _placed(finite_block(matrix), k, lambda r: top_eigen(r, k), lambda times, q, n: times(lambda r: r, q) + q, "pc")
 
 
 def mds_coordinates(matrix: DataFrame) -> DataFrame:
     """Classic scaling of 1 - r on two axes."""
-    def axes(r: np.ndarray) -> np.ndarray:
-        d = (1 - r) ** 2
+    def direct(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         j = np.eye(len(r)) - 1 / len(r)
-        w, v = top_eigen(-j @ d @ j / 2, 2)
-        return v * np.sqrt(w)
+        return top_eigen(-j @ (1 - r) ** 2 @ j / 2, 2)
+
+    def product(times: Callable, q: np.ndarray, n: int) -> np.ndarray:
+        y = times(lambda r: (1 - r) ** 2, q - q.mean(0))
+        return -(y - y.mean(0)) / 2
 
-    return _coordinates(matrix, 2, axes, "mds")
+    return _placed(finite_block(matrix), 2, direct, product, "mds")
