@@ -138,18 +138,33 @@ def original_file_links(spark, d):
     return X.original_file_links(files).select("run", "mate", F.size("urls").alias("n_urls"))
 
 
-@query("select 'DRR'||p_partkey as run, 'PRJ'||p_partkey as bioproject, case when p_partkey % 2 = 0 then 'paired' else 'single' end as lib_layout, cast(p_size as varchar) as total_spots, p_brand as tissue from part")
+@query("""select 'DRR'||p_partkey as run, 'PRJ'||p_partkey as bioproject, 'SAMN'||p_partkey as biosample, case when p_partkey % 2 = 0 then 'paired' else 'single' end as lib_layout, cast(p_size as varchar) as total_spots, p_brand as tissue,
+ 'about '||p_name as study_title, p_name as exp_title, p_type as sample_title, 'RNA-Seq' as lib_strategy, 'lib'||p_partkey as lib_name, case when p_partkey % 3 = 0 then 'RANDOM' end as lib_selection, '2020-01-'||lpad(cast(1 + p_size % 28 as varchar), 2, '0')||' 00:00:00' as published_date,
+ 'ILLUMINA' as platform, p_brand as instrument, case when p_partkey % 2 = 0 then cast(p_size * 2 as varchar) end as nominal_length, cast(100 + p_size as varchar) as spot_length, 'Application Read' as read_class, 'c'||p_size as center,
+ case when p_partkey % 3 = 0 then 'https://n/'||p_partkey end as ncbi_link, case when p_partkey % 3 = 1 then 'https://ftp.sra.ebi.ac.uk/'||p_partkey end as ena_sra_link from part""")
 def read_sra_xml(spark, d):
     path, k = scratch(spark, "packages"), F.col("p_partkey").cast("string")
-    even = F.col("p_partkey") % 2 == 0
-    layout = F.struct(F.when(~even, "x").alias("SINGLE"), F.when(even, F.struct(F.lit("x").alias("_VALUE"))).alias("PAIRED"))
-    run = F.struct(F.concat(F.lit("DRR"), k).alias("_accession"), F.col("p_size").cast("string").alias("_total_spots"))
+    even, third = F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 3
+    layout = F.struct(F.when(~even, "x").alias("SINGLE"), F.when(even, F.struct(F.lit("x").alias("_VALUE"), (F.col("p_size") * 2).cast("string").alias("_NOMINAL_LENGTH"))).alias("PAIRED"))
+    library = F.struct(F.concat(F.lit("lib"), k).alias("LIBRARY_NAME"), F.lit("RNA-Seq").alias("LIBRARY_STRATEGY"), F.when(third == 0, "RANDOM").alias("LIBRARY_SELECTION"), layout.alias("LIBRARY_LAYOUT"))
+    spec = F.struct((100 + F.col("p_size")).cast("string").alias("SPOT_LENGTH"), F.array(F.struct(F.lit("Application Read").alias("READ_CLASS")), F.struct(F.lit("later").alias("READ_CLASS"))).alias("READ_SPEC"))
+    design = F.struct(F.struct(spec.alias("SPOT_DECODE_SPEC")).alias("SPOT_DESCRIPTOR"), library.alias("LIBRARY_DESCRIPTOR"))
+    external = lambda *pairs: F.struct(F.array(*[F.struct(v.alias("_VALUE"), F.lit(n).alias("_namespace")) for v, n in pairs]).alias("EXTERNAL_ID")).alias("IDENTIFIERS")
+    link = lambda org, url: F.struct(F.lit(org).alias("_org"), url.alias("_url"))
+    files = F.array(
+        F.struct(F.lit("Original").alias("_supertype"), F.array(link("NCBI", F.lit("https://original"))).alias("Alternatives")),
+        F.struct(F.lit("Primary ETL").alias("_supertype"), F.array(F.when(third == 0, link("NCBI", F.concat(F.lit("https://n/"), k))).when(third == 1, link("EBI", F.concat(F.lit("ftp://ftp.sra.ebi.ac.uk/"), k))).otherwise(link("other", F.lit("x")))).alias("Alternatives")),
+    )
+    date = F.concat(F.lit("2020-01-"), F.lpad((1 + F.col("p_size") % 28).cast("string"), 2, "0"), F.lit(" 00:00:00"))
+    run = F.struct(F.concat(F.lit("DRR"), k).alias("_accession"), date.alias("_published"), F.col("p_size").cast("string").alias("_total_spots"), F.struct(files.alias("SRAFile")).alias("SRAFiles"))
     B.table(spark, d, "part").select(
-        F.struct(F.concat(F.lit("DRX"), k).alias("_accession"), F.struct(F.struct(layout.alias("LIBRARY_LAYOUT")).alias("LIBRARY_DESCRIPTOR")).alias("DESIGN")).alias("EXPERIMENT"),
-        F.struct(F.lit("S").alias("_accession"), F.struct(F.array(F.lit("other"), F.concat(F.lit("PRJ"), k)).alias("EXTERNAL_ID")).alias("IDENTIFIERS")).alias("STUDY"),
-        F.struct(F.lit("B").alias("_accession"), F.struct(F.array(F.struct(F.lit("Tissue kind").alias("TAG"), F.col("p_brand").alias("VALUE"))).alias("SAMPLE_ATTRIBUTE")).alias("SAMPLE_ATTRIBUTES")).alias("SAMPLE"),
+        F.struct(F.concat(F.lit("DRX"), k).alias("_accession"), F.col("p_name").alias("TITLE"), F.struct(F.struct(F.col("p_brand").alias("INSTRUMENT_MODEL")).alias("ILLUMINA")).alias("PLATFORM"), design.alias("DESIGN")).alias("EXPERIMENT"),
+        F.struct(F.concat(F.lit("c"), F.col("p_size")).alias("_center_name")).alias("SUBMISSION"),
+        F.struct(F.lit("S").alias("_accession"), external((F.lit("other"), "x"), (F.concat(F.lit("PRJ"), k), "BioProject")), F.struct(F.concat(F.lit("about "), "p_name").alias("STUDY_TITLE")).alias("DESCRIPTOR")).alias("STUDY"),
+        F.struct(F.lit("B").alias("_accession"), external((F.concat(F.lit("SAMN"), k), "BioSample"), (F.lit("second"), "BioSample")), F.col("p_type").alias("TITLE"), F.struct(F.array(F.struct(F.lit("Tissue kind").alias("TAG"), F.col("p_brand").alias("VALUE"))).alias("SAMPLE_ATTRIBUTE")).alias("SAMPLE_ATTRIBUTES")).alias("SAMPLE"),
         F.struct(F.array(run).alias("RUN")).alias("RUN_SET"),
     ).write.format("xml").option("rootTag", "SET").option("rowTag", "EXPERIMENT_PACKAGE").save(path)
     p = X.read_packages(spark, path)
     tissue = X.attributes_to_columns(p.select("run", F.explode("attributes").alias("a")).select("run", F.col("a.TAG").alias("tag"), F.col("a.VALUE").alias("value"))).select("run", F.col("value").alias("tissue"))
-    return p.join(tissue, "run").select("run", "bioproject", "lib_layout", "total_spots", "tissue")
+    wanted = "study_title exp_title sample_title lib_strategy lib_name lib_selection published_date platform instrument nominal_length spot_length read_class center ncbi_link ena_sra_link"
+    return p.join(tissue, "run").select("run", "bioproject", "biosample", "lib_layout", "total_spots", "tissue", *wanted.split())

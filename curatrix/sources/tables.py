@@ -48,26 +48,75 @@ def attributes_to_columns(attributes: DataFrame, core: tuple[str, ...] = CORE_CO
     return rows.groupBy("run", "name").agg(F.array_join(F.array_sort(F.collect_set("value")), " | ").alias("value"), F.count(F.lit(1)).alias("n_values"))
 
 
-PACKAGE = """EXPERIMENT struct<_accession:string, TITLE:string, DESIGN:struct<LIBRARY_DESCRIPTOR:struct<LIBRARY_LAYOUT:struct<SINGLE:string, PAIRED:struct<_VALUE:string, _NOMINAL_LENGTH:string>>>>>,
-STUDY struct<_accession:string, IDENTIFIERS:struct<EXTERNAL_ID:array<string>>>,
-SAMPLE struct<_accession:string, SAMPLE_NAME:struct<TAXON_ID:string, SCIENTIFIC_NAME:string>, SAMPLE_ATTRIBUTES:struct<SAMPLE_ATTRIBUTE:array<struct<TAG:string, VALUE:string>>>>,
-RUN_SET struct<RUN:array<struct<_accession:string, _total_spots:string, _total_bases:string, SRAFiles:struct<SRAFile:array<struct<_filename:string, _supertype:string, Alternatives:array<struct<_org:string, _url:string>>>>>>>>"""
+# Elements and attributes of nested packages.
+_IDS = "struct<PRIMARY_ID:string, SUBMITTER_ID:string, EXTERNAL_ID:array<struct<_VALUE:string, _namespace:string>>>"
+_LINKS = "array<struct<XREF_LINK:struct<LABEL:string, ID:string>>>"
+_SPOTS = "struct<SPOT_DECODE_SPEC:struct<SPOT_LENGTH:string, READ_SPEC:array<struct<READ_INDEX:string, READ_CLASS:string, READ_TYPE:string, BASE_COORD:string>>>>"
+PACKAGE = f"""EXPERIMENT struct<_accession:string, IDENTIFIERS:{_IDS}, TITLE:string, STUDY_REF:struct<IDENTIFIERS:{_IDS}>, PLATFORM:map<string,struct<INSTRUMENT_MODEL:string>>,
+DESIGN:struct<DESIGN_DESCRIPTION:string, SPOT_DESCRIPTOR:{_SPOTS}, LIBRARY_DESCRIPTOR:struct<LIBRARY_NAME:string, LIBRARY_STRATEGY:string, LIBRARY_SOURCE:string, LIBRARY_SELECTION:string,
+LIBRARY_LAYOUT:struct<SINGLE:string, PAIRED:struct<_VALUE:string, _NOMINAL_LENGTH:string, _NOMINAL_SDEV:string>>>>, EXPERIMENT_LINKS:struct<EXPERIMENT_LINK:{_LINKS}>>,
+SUBMISSION struct<_center_name:string, _accession:string, IDENTIFIERS:{_IDS}>,
+STUDY struct<_accession:string, IDENTIFIERS:{_IDS}, DESCRIPTOR:struct<STUDY_TITLE:string>, STUDY_LINKS:struct<STUDY_LINK:{_LINKS}>>,
+SAMPLE struct<_accession:string, IDENTIFIERS:{_IDS}, TITLE:string, DESCRIPTION:string, SAMPLE_NAME:struct<TAXON_ID:string, SCIENTIFIC_NAME:string>, SAMPLE_LINKS:struct<SAMPLE_LINK:{_LINKS}>,
+SAMPLE_ATTRIBUTES:struct<SAMPLE_ATTRIBUTE:array<struct<TAG:string, VALUE:string>>>>,
+RUN_SET struct<RUN:array<struct<_accession:string, _published:string, _total_spots:string, _total_bases:string, _size:string, IDENTIFIERS:{_IDS}, SRAFiles:struct<SRAFile:array<struct<_filename:string, _supertype:string, Alternatives:array<struct<_org:string, _url:string>>>>>>>>"""
+#: Root of archive files that are named after their experiment and run.
+EXPERIMENT_ARCHIVE = "https://ddbj.nig.ac.jp/public/ddbj_database/dra"
+
+
+def _first_of(items: Column, keep, field: str) -> Column:
+    return F.try_element_at(F.filter(items, keep), F.lit(1))[field]
 
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per run of nested experiment packages; the project falls back to the first ``PRJ`` label."""
+    """One row per run of nested experiment packages, with a column for all that a core column is read from.
+
+    Where an element stands several times the first counts. Ids are those of their element, else its accession. Project and
+    sample are the first external ids of their name spaces in the package; a project falls back to the first label, then to the first
+    external id, that starts with ``PRJ``, then to the study. Platform is the name of the element that holds the model (a model given as
+    an attribute of an empty element is not seen). Links are those of
+    the primary file; archives whose files are named by rule get a link by it. What is absent is null; ``attributes`` are sample attributes.
+    """
     p = spark.read.format("xml").option("rowTag", "EXPERIMENT_PACKAGE").schema(PACKAGE).load(path)
-    layout = F.col("EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR.LIBRARY_LAYOUT")
     rows = p.withColumn("r", F.explode("RUN_SET.RUN"))
-    project = F.try_element_at(F.filter(F.coalesce("STUDY.IDENTIFIERS.EXTERNAL_ID", F.array().cast("array<string>")), lambda x: x.startswith("PRJ")), F.lit(1))
-    links = F.flatten(F.transform(F.coalesce("r.SRAFiles.SRAFile", F.array().cast("array<struct<_filename:string,_supertype:string,Alternatives:array<struct<_org:string,_url:string>>>>")), lambda f: f["Alternatives"]))
-    by_org = lambda org: F.try_element_at(F.filter(links, lambda x: x["_org"] == org), F.lit(1))["_url"]
-    return rows.select(
-        F.col("r._accession").alias("run"), F.col("EXPERIMENT._accession").alias("experiment"), F.coalesce(project, F.col("STUDY._accession")).alias("bioproject"), F.col("SAMPLE._accession").alias("biosample"),
-        F.col("SAMPLE.SAMPLE_NAME.SCIENTIFIC_NAME").alias("scientific_name"), F.col("SAMPLE.SAMPLE_NAME.TAXON_ID").alias("taxid"),
-        F.when(layout["PAIRED"].isNotNull(), "paired").when(layout["SINGLE"].isNotNull(), "single").alias("lib_layout"), F.col("r._total_spots").alias("total_spots"), F.col("r._total_bases").alias("total_bases"),
-        by_org("NCBI").alias("ncbi_link"), by_org("AWS").alias("aws_link"), by_org("GCP").alias("gcp_link"), F.col("SAMPLE.SAMPLE_ATTRIBUTES.SAMPLE_ATTRIBUTE").alias("attributes"),
-    )
+    id_type, link_type = "array<struct<_VALUE:string,_namespace:string>>", _LINKS.replace(" ", "")
+    some = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    external = F.concat(*[some(f"{c}.IDENTIFIERS.EXTERNAL_ID", id_type) for c in ("EXPERIMENT", "EXPERIMENT.STUDY_REF", "SUBMISSION", "STUDY", "SAMPLE", "r")])
+    labels = F.concat(*[some(c, link_type) for c in ("EXPERIMENT.EXPERIMENT_LINKS.EXPERIMENT_LINK", "STUDY.STUDY_LINKS.STUDY_LINK", "SAMPLE.SAMPLE_LINKS.SAMPLE_LINK")])
+    of_space = lambda name: F.nullif(_first_of(external, lambda x: x["_namespace"] == name, "_VALUE"), F.lit(""))
+    label = _first_of(labels, lambda x: x["XREF_LINK"]["LABEL"].startswith("PRJ"), "XREF_LINK")["LABEL"]
+    project = F.coalesce(of_space("BioProject"), label, _first_of(external, lambda x: x["_VALUE"].startswith("PRJ"), "_VALUE"), F.col("STUDY._accession"))
+    own = lambda c, or_else: F.coalesce(F.col(f"{c}.IDENTIFIERS.PRIMARY_ID"), F.col(or_else))
+    run, experiment = own("r", "r._accession"), own("EXPERIMENT", "EXPERIMENT._accession")
+
+    files = F.filter(some("r.SRAFiles.SRAFile", "array<struct<_filename:string,_supertype:string,Alternatives:array<struct<_org:string,_url:string>>>>"), lambda f: f["_supertype"] == "Primary ETL")
+    links = F.flatten(F.transform(files, lambda f: F.coalesce(f["Alternatives"], F.array().cast("array<struct<_org:string,_url:string>>"))))
+    link = lambda org: F.nullif(F.trim(_first_of(links, lambda x: x["_org"] == org, "_url")), F.lit(""))
+    by_org = lambda *org: F.coalesce(*map(link, org))
+    whole = lambda url: F.when(url.contains("://"), url).otherwise(F.concat(F.lit("https://"), F.regexp_replace(url, "^/+", "")))
+    ena = whole(by_org("ENA", "EBI"))
+    ena = F.when(ena.rlike("(?i)^ftp://ftp[.]sra[.]ebi[.]ac[.]uk(/|$)"), F.regexp_replace(ena, "^[^:]+://[^/]+", "https://ftp.sra.ebi.ac.uk")).otherwise(ena)
+    by_rule = F.when(run.rlike("^DRR"), T.archive_link(run, experiment, f"{EXPERIMENT_ARCHIVE}/sra/ByExp/sra"))
+
+    library, design = "EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR", "EXPERIMENT.DESIGN"
+    layout, spec = F.col(f"{library}.LIBRARY_LAYOUT"), F.col(f"{design}.SPOT_DESCRIPTOR.SPOT_DECODE_SPEC")
+    read = F.try_element_at(spec["READ_SPEC"], F.lit(1))
+    platform = F.try_element_at(F.map_entries("EXPERIMENT.PLATFORM"), F.lit(1))
+    fields = {
+        "run": run, "experiment": experiment, "bioproject": project, "biosample": F.coalesce(of_space("BioSample"), F.col("SAMPLE._accession")),
+        "scientific_name": F.col("SAMPLE.SAMPLE_NAME.SCIENTIFIC_NAME"), "taxid": F.col("SAMPLE.SAMPLE_NAME.TAXON_ID"),
+        "sra_primary": own("SUBMISSION", "SUBMISSION._accession"), "sra_sample": own("SAMPLE", "SAMPLE._accession"), "sra_study": F.coalesce("EXPERIMENT.STUDY_REF.IDENTIFIERS.PRIMARY_ID", "STUDY.IDENTIFIERS.PRIMARY_ID", "STUDY._accession"),
+        "published_date": F.col("r._published"), "study_title": F.col("STUDY.DESCRIPTOR.STUDY_TITLE"), "exp_title": F.col("EXPERIMENT.TITLE"), "sample_title": F.col("SAMPLE.TITLE"), "sample_description": F.col("SAMPLE.DESCRIPTION"),
+        "design": F.col(f"{design}.DESIGN_DESCRIPTION"), "lib_name": F.col(f"{library}.LIBRARY_NAME"), "lib_strategy": F.col(f"{library}.LIBRARY_STRATEGY"), "lib_source": F.col(f"{library}.LIBRARY_SOURCE"), "lib_selection": F.col(f"{library}.LIBRARY_SELECTION"),
+        "lib_layout": F.when(layout["SINGLE"].isNotNull(), "single").when(layout["PAIRED"].isNotNull(), "paired"), "nominal_length": layout["PAIRED"]["_NOMINAL_LENGTH"], "nominal_sdev": layout["PAIRED"]["_NOMINAL_SDEV"],
+        "spot_length": spec["SPOT_LENGTH"], "read_index": read["READ_INDEX"], "read_class": read["READ_CLASS"], "read_type": read["READ_TYPE"], "base_coord": read["BASE_COORD"],
+        "platform": platform["key"], "instrument": F.nullif(platform["value"]["INSTRUMENT_MODEL"], F.lit("")),
+        "center": F.col("SUBMISSION._center_name"), "submitter_id": F.col("SUBMISSION.IDENTIFIERS.SUBMITTER_ID"), "pubmed_id": F.try_element_at("STUDY.STUDY_LINKS.STUDY_LINK", F.lit(1))["XREF_LINK"]["ID"],
+        "total_spots": F.col("r._total_spots"), "total_bases": F.col("r._total_bases"), "size": F.col("r._size"),
+        "ncbi_link": by_org("NCBI"), "aws_link": by_org("AWS"), "gcp_link": by_org("GCP"), "ena_sra_link": ena, "ddbj_sra_link": F.coalesce(whole(by_org("DDBJ")), by_rule),
+        "attributes": F.col("SAMPLE.SAMPLE_ATTRIBUTES.SAMPLE_ATTRIBUTE"),
+    }
+    return rows.select(*[c.alias(k) for k, c in fields.items()])
 
 
 def original_file_links(files: DataFrame) -> DataFrame:

@@ -227,13 +227,38 @@ def test_packages(spark, tmp_path):
     (tmp_path / "x.xml").write_text("""<SET><EXPERIMENT_PACKAGE><EXPERIMENT accession="DRX1"><DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_LAYOUT><PAIRED/></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN></EXPERIMENT>
 <STUDY accession="DRP1"><IDENTIFIERS><EXTERNAL_ID namespace="BioProject">PRJDB1</EXTERNAL_ID></IDENTIFIERS></STUDY><SAMPLE accession="DRS1"><SAMPLE_NAME><TAXON_ID>9606</TAXON_ID><SCIENTIFIC_NAME>Homo sapiens</SCIENTIFIC_NAME></SAMPLE_NAME>
 <SAMPLE_ATTRIBUTES><SAMPLE_ATTRIBUTE><TAG>Tissue Type (x)</TAG><VALUE>leaf</VALUE></SAMPLE_ATTRIBUTE><SAMPLE_ATTRIBUTE><TAG>tissue</TAG><VALUE>b</VALUE></SAMPLE_ATTRIBUTE></SAMPLE_ATTRIBUTES></SAMPLE>
-<RUN_SET><RUN accession="DRR1" total_spots="5" total_bases="50"><SRAFiles><SRAFile filename="f" supertype="Original"><Alternatives org="AWS" url="s3://f"/><Alternatives org="NCBI" url="https://f"/></SRAFile></SRAFiles></RUN><RUN accession="DRR2"/></RUN_SET></EXPERIMENT_PACKAGE></SET>""")
+<RUN_SET><RUN accession="DRR1" total_spots="5" total_bases="50"><SRAFiles><SRAFile filename="o" supertype="Original"><Alternatives org="NCBI" url="https://o"/></SRAFile><SRAFile filename="f" supertype="Primary ETL"><Alternatives org="AWS" url="s3://f"/><Alternatives org="NCBI" url="https://f"/></SRAFile></SRAFiles></RUN><RUN accession="DRR2"/></RUN_SET></EXPERIMENT_PACKAGE></SET>""")
     rows = {r.run: r for r in X.read_packages(spark, str(tmp_path / "x.xml")).collect()}
     assert rows["DRR1"].bioproject == "PRJDB1" and rows["DRR1"].ncbi_link == "https://f" and rows["DRR2"].ncbi_link is None and rows["DRR2"].lib_layout == "paired"
     attrs = X.read_packages(spark, str(tmp_path / "x.xml")).select("run", F.explode("attributes").alias("a")).select("run", F.col("a.TAG").alias("tag"), F.col("a.VALUE").alias("value"))
     assert {(r.name, r.value) for r in X.attributes_to_columns(attrs).collect()} == {("tissue_type", "leaf"), ("sample_attribute_tissue", "b")}
 
 
+def test_all_fields_of_a_package(spark, tmp_path):
+    (tmp_path / "x.xml").write_text("""<SET><EXPERIMENT_PACKAGE><EXPERIMENT accession="DRX000002"><IDENTIFIERS><PRIMARY_ID>DRX000001</PRIMARY_ID></IDENTIFIERS><TITLE>an experiment</TITLE>
+<STUDY_REF><IDENTIFIERS><PRIMARY_ID>DRP1</PRIMARY_ID></IDENTIFIERS></STUDY_REF><DESIGN><DESIGN_DESCRIPTION>by design</DESIGN_DESCRIPTION><LIBRARY_DESCRIPTOR><LIBRARY_NAME>L</LIBRARY_NAME><LIBRARY_STRATEGY>RNA-Seq</LIBRARY_STRATEGY>
+<LIBRARY_SOURCE>TRANSCRIPTOMIC</LIBRARY_SOURCE><LIBRARY_SELECTION>cDNA</LIBRARY_SELECTION><LIBRARY_LAYOUT><PAIRED NOMINAL_LENGTH="250" NOMINAL_SDEV="25"/></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR>
+<SPOT_DESCRIPTOR><SPOT_DECODE_SPEC><SPOT_LENGTH>200</SPOT_LENGTH><READ_SPEC><READ_INDEX>0</READ_INDEX><READ_CLASS>Application Read</READ_CLASS><READ_TYPE>Forward</READ_TYPE><BASE_COORD>1</BASE_COORD></READ_SPEC><READ_SPEC><READ_INDEX>1</READ_INDEX></READ_SPEC></SPOT_DECODE_SPEC></SPOT_DESCRIPTOR></DESIGN>
+<PLATFORM><OXFORD_NANOPORE><INSTRUMENT_MODEL>MinION</INSTRUMENT_MODEL></OXFORD_NANOPORE></PLATFORM></EXPERIMENT>
+<SUBMISSION center_name="a centre" accession="DRA1"><IDENTIFIERS><PRIMARY_ID>DRA9</PRIMARY_ID><SUBMITTER_ID>sub</SUBMITTER_ID></IDENTIFIERS></SUBMISSION>
+<STUDY accession="DRP1"><IDENTIFIERS><EXTERNAL_ID namespace="GEO">GSE1</EXTERNAL_ID></IDENTIFIERS><DESCRIPTOR><STUDY_TITLE>a study</STUDY_TITLE></DESCRIPTOR><STUDY_LINKS><STUDY_LINK><XREF_LINK><DB>pubmed</DB><LABEL>x</LABEL><ID>77</ID></XREF_LINK></STUDY_LINK><STUDY_LINK><XREF_LINK><LABEL>PRJNA5</LABEL><ID>5</ID></XREF_LINK></STUDY_LINK></STUDY_LINKS></STUDY>
+<SAMPLE accession="DRS1"><IDENTIFIERS><PRIMARY_ID>DRS2</PRIMARY_ID><EXTERNAL_ID namespace="BioSample">SAMD1</EXTERNAL_ID><EXTERNAL_ID namespace="BioSample">SAMD2</EXTERNAL_ID></IDENTIFIERS><TITLE>a sample</TITLE><SAMPLE_NAME><TAXON_ID>9606</TAXON_ID><SCIENTIFIC_NAME>Homo sapiens</SCIENTIFIC_NAME></SAMPLE_NAME><DESCRIPTION>described</DESCRIPTION></SAMPLE>
+<RUN_SET><RUN accession="DRR000001" total_spots="5" total_bases="50" size="7" published="2020-02-03 04:05:06"><SRAFiles><SRAFile supertype="Primary ETL"><Alternatives org="EBI" url="ftp://ftp.sra.ebi.ac.uk/v/r"/><Alternatives org="GCP" url="gs://g"/></SRAFile></SRAFiles></RUN></RUN_SET></EXPERIMENT_PACKAGE>
+<EXPERIMENT_PACKAGE><EXPERIMENT accession="SRX2"><PLATFORM><ILLUMINA><INSTRUMENT_MODEL>HiSeq</INSTRUMENT_MODEL></ILLUMINA></PLATFORM></EXPERIMENT><RUN_SET><RUN accession="SRR2"/></RUN_SET></EXPERIMENT_PACKAGE></SET>""")
+    df = X.read_packages(spark, str(tmp_path / "x.xml"))
+    rows = {r.run: r.asDict() for r in df.collect()}
+    assert {c.lower() for c in X.CORE_COLUMNS} - set(df.columns) == {"sample_group", "tissue", "genotype", "sex", "age", "treatment", "source_name", "is_sampled", "is_qualified", "exclusion", "protocol"}
+    want = dict(
+        run="DRR000001", experiment="DRX000001", bioproject="PRJNA5", biosample="SAMD1", scientific_name="Homo sapiens", taxid="9606", sra_primary="DRA9", sra_sample="DRS2", sra_study="DRP1", published_date="2020-02-03 04:05:06",
+        study_title="a study", exp_title="an experiment", sample_title="a sample", sample_description="described", design="by design", lib_name="L", lib_strategy="RNA-Seq", lib_source="TRANSCRIPTOMIC", lib_selection="cDNA",
+        lib_layout="paired", nominal_length="250", nominal_sdev="25", spot_length="200", read_index="0", read_class="Application Read", read_type="Forward", base_coord="1", platform="OXFORD_NANOPORE", instrument="MinION",
+        center="a centre", submitter_id="sub", pubmed_id="77", total_spots="5", total_bases="50", size="7", ncbi_link=None, aws_link=None, gcp_link="gs://g", ena_sra_link="https://ftp.sra.ebi.ac.uk/v/r",
+        ddbj_sra_link=X.EXPERIMENT_ARCHIVE + "/sra/ByExp/sra/DRX/DRX000/DRX000001/DRR000001/DRR000001.sra", attributes=None,
+    )
+    assert rows["DRR000001"] == want
+    assert {k: v for k, v in rows["SRR2"].items() if v is not None} == {"run": "SRR2", "experiment": "SRX2", "platform": "ILLUMINA", "instrument": "HiSeq"}
+
+
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_reads_of_a_file_in_many_blocks(spark, tmp_path, end):
     want = [(i + 1, f"@r{i}", "ACGT" * (i % 5), "+", "I" * (4 * (i % 5))) for i in range(40)]
