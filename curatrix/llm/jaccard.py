@@ -127,10 +127,11 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return lab
 
 
-def descend(sig: np.ndarray, stretch: np.ndarray, floor: float, shortest: int) -> tuple[np.ndarray, list[int]]:
+def descend(sig: np.ndarray, stretch: np.ndarray, floor: float, shortest: int, side: np.ndarray | None = None) -> tuple[np.ndarray, list[int]]:
     """Join alike rows of a subtree, sorted by ``stretch``: each row's smallest joined row, and comparisons by level.
 
-    From the full depth to the ``shortest`` prefix, rows under one node are compared if they are not joined yet.
+    From the full depth to the ``shortest`` prefix, rows under one node are compared if they are not joined yet, and, with
+    ``side``, only across sides: rows of one side meet elsewhere.
     """
     lab, compared = np.arange(len(sig)), []
     for depth in range(stretch.shape[1], shortest - 1, -1):
@@ -140,9 +141,10 @@ def descend(sig: np.ndarray, stretch: np.ndarray, floor: float, shortest: int) -
             if b - a < 2:
                 continue
             for i in range(a, b - 1):
-                apart = i + 1 + np.flatnonzero(lab[i + 1 : b] != lab[i])
+                other = lab[i + 1 : b] != lab[i]
+                apart = i + 1 + np.flatnonzero(other if side is None else other & (side[i + 1 : b] != side[i]))
                 if not len(apart):
-                    if i == a and (lab[a:b] == lab[a]).all():
+                    if i == a and not other.any():
                         break
                     continue
                 done += len(apart)
@@ -162,7 +164,7 @@ def _alike(floor: float, shortest: int):
             table = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
             if table is None or not table.num_rows:
                 continue
-            key, lo, hi, tree, node = (table.column(c).to_numpy() for c in ("key", "lo", "hi", "tree", "node"))
+            key, lo, hi, mine, tree, node = (table.column(c).to_numpy() for c in ("key", "lo", "hi", "mine", "tree", "node"))
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
             if batch is not None:  # the last subtree may go on in the next batch
                 rest = table.slice(int(new[-1]))
@@ -179,13 +181,14 @@ def _alike(floor: float, shortest: int):
             for d in range(1, 8):  # small subtrees: all pairs at a distance, for all of them at once
                 i = np.flatnonzero(small[group[:-d]] & (group[:-d] == group[d:])) if stop > d else np.zeros(0, np.int64)
                 for part in np.array_split(i, max(1, len(i) // 50_000)):
+                    part = part[(lo[part] == hi[part]) | (mine[part] != mine[part + d])]
                     hit = part[(sig[part] == sig[part + d]).mean(1) >= floor] if len(part) else part
                     a.append(node[hit])
                     b.append(node[hit + d])
             for g in np.flatnonzero(~small):
                 s = slice(int(new[g]), int(new[g] + sizes[g]))
                 t = int(tree[s.start]) * DEPTH
-                lab, _ = descend(sig[s], sig[s, t : t + DEPTH], floor, shortest)
+                lab, _ = descend(sig[s], sig[s, t : t + DEPTH], floor, shortest, None if lo[s.start] == hi[s.start] else mine[s])
                 at = np.flatnonzero(lab != np.arange(len(lab)))
                 a.append(node[s][at])
                 b.append(node[s][lab[at]])
@@ -216,18 +219,19 @@ def _verify(threshold: float):
             row, ids = row[shared], col[ids[shared]]
             order = np.argsort(ids, kind="stable")
             row, ids = row[order], ids[order]
-            common = np.zeros((len(n), len(n)), np.float32)
+            # of two blocks only pairs across them; pairs of a block are those of the block with itself
+            a = np.flatnonzero(mine == lo)
+            b = a if lo == hi else np.flatnonzero(mine == hi)
+            common = np.zeros((len(a), len(b)), np.float32)
             width = max(512, min(8192, 8_000_000 // max(1, len(n))))
             for c in range(0, int(ids[-1]) + 1 if len(ids) else 0, width):
                 s = slice(*np.searchsorted(ids, [c, c + width]))
                 m = np.zeros((len(n), width), np.float32)
                 m[row[s], ids[s] - c] = 1
-                common += m @ m.T
-            ok = common >= threshold * (n[:, None] + n[None, :] - common) - 1e-6
-            i, j = np.nonzero(np.triu(ok, 1))
-            if lo != hi:
-                across = mine[i] != mine[j]
-                i, j = i[across], j[across]
+                common += m[a] @ m[b].T if lo != hi else m @ m.T
+            ok = common >= threshold * (n[a, None] + n[None, b] - common) - 1e-6
+            i, j = np.nonzero(np.triu(ok, 1) if lo == hi else ok)
+            i, j = a[i], b[j]
             links = np.bincount(i, weights=copies[j], minlength=len(n)) + np.bincount(j, weights=copies[i], minlength=len(n))
             by_id = np.argsort(node, kind="stable")
             place = np.empty(len(n), np.int64)
@@ -270,7 +274,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     several = leaves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = leaves.join(several, "key").join(reps.select("node", "sig"), "node")
     dealt = with_block_pairs(members.withColumn("blocks", block_count(F.col("n"), BUCKET_BLOCK)), "blocks", F.xxhash64("node"))
-    tries = deal_pairs(dealt.select("key", "lo", "hi", "tree", "stretch", "node", "sig"), F.col("key")).sortWithinPartitions("key", "lo", "hi", "stretch")
+    tries = deal_pairs(dealt.select("key", "lo", "hi", "mine", "tree", "stretch", "node", "sig"), F.col("key")).sortWithinPartitions("key", "lo", "hi", "stretch")
     parts = connected_components(tries.mapInArrow(_alike(floor, shortest), "a long, b long"))
 
     candidates = parts.join(reps.select("node", "copies", "h1", "h2"), "node")
