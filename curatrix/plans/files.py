@@ -8,6 +8,7 @@ from curatrix.functions import text as T
 from curatrix.plans import bindings as B
 from curatrix.plans.bindings import cte, query
 from curatrix.session import scratch
+from curatrix.sources import reads as R
 from curatrix.sources import tables as X
 
 
@@ -120,6 +121,16 @@ def read_fastq(spark, d):
     return X.read_fastq(spark, f"{path}/*.gz").select("header", F.length("seq").alias("n"), "plus")
 
 
+@query(cte("reads") + " select '@'||core||'/'||coalesce(mate, 1)||'.'||ordinal as header, cast(length(replace(seq, chr(10), ' ')) as int) as n, '+' as plus from reads")
+def read_fastq_source(spark, d):
+    """Plain files by the data source, in splits of a few records."""
+    path = scratch(spark, "reads")
+    seq = F.regexp_replace("seq", "\n", " ")
+    record = F.concat_ws("\n", F.concat(F.lit("@"), "core", F.lit("/"), F.coalesce("mate", F.lit(1)), F.lit("."), "ordinal"), seq, F.lit("+"), F.regexp_replace(seq, ".", "I"))
+    B.reads(spark, d).select(record.alias("value")).write.text(path)
+    return R.scan_reads(spark, f"{path}/*.txt", ("header", "seq", "plus"), 1 << 16).select("header", F.length("seq").alias("n"), "plus")
+
+
 @query("select 'R'||o_orderkey as run, case when o_orderkey % 2 = 0 then 2 else 1 end as n_urls, 'https://h/'||o_orderkey||'_1' as first from orders")
 def read_archive_report(spark, d):
     path, k = scratch(spark, "report"), F.col("o_orderkey")
