@@ -81,7 +81,8 @@ def hat(design: np.ndarray) -> np.ndarray:
 
 
 def group_of(meta: DataFrame, runs: list[str], column: str = "sample_group") -> list[str]:
-    found = dict(meta.select("run", column).collect())
+    wanted = meta.sparkSession.createDataFrame([(r,) for r in runs], "run string")  # as many as a matrix may have
+    found = dict(meta.select("run", column).join(F.broadcast(wanted), "run", "left_semi").collect())
     return [found[r] for r in runs]
 
 
@@ -404,6 +405,17 @@ class CountModel:
         return self.m.per_row(lambda x: {k: v for k, v in _count_block(x, lib, of).items() if k in ("p", "dispersion", "failed")}, "p double, dispersion double, failed boolean")
 
 
+def fit_diagnostics(tests: DataFrame) -> DataFrame:
+    """One row about the fits of ``CountModel.tests``: targets, those with more than Poisson spread that kept their refit,
+    those whose refit did not settle and fell back, those without a p, whether any fell back, and the reasons."""
+    fell = F.count_if(F.col("failed"))
+    counts = tests.agg(
+        F.count(F.lit(1)).alias("n_targets"), F.count_if(~F.col("failed") & (F.col("dispersion") > DISPERSED)).alias("n_refitted"),
+        fell.alias("n_refit_failed"), F.count_if(T.finite(F.col("p")).isNull()).alias("n_without_p"), (fell > 0).alias("fallback_used"),
+    )
+    return counts.withColumn("reasons", F.when(F.col("fallback_used"), "negative_binomial_refit_failed").otherwise(""))
+
+
 def expressed_targets(counts: DataFrame, libraries: DataFrame, n_runs: int) -> DataFrame:
     """Targets with more than one count per million in a quarter of the runs, in two at least."""
     cpm = counts.join(libraries, "run").withColumn("cpm", F.try_divide(F.col("value") * 1e6, F.col("library")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
+from curatrix.session import checkpointed
 
 
 def metadata_summary(meta: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
@@ -66,18 +67,22 @@ def curation_summary(meta: DataFrame) -> DataFrame:
     return meta.groupBy("scientific_name").agg(F.count_if(kept).alias("n_kept"), F.count_if(~kept).alias("n_excluded"), runs(kept).alias("kept_runs"), runs(~kept).alias("excluded_runs"))
 
 
+def every_pair(meta: DataFrame, rows: str, columns: str) -> DataFrame:
+    """All pairs of the distinct values of two columns. Both lists are written first, so the planner knows their sizes and
+    sends one to every task only if it is small."""
+    return checkpointed(meta.select(rows).distinct(), "values").crossJoin(checkpointed(meta.select(columns).distinct(), "values"))
+
+
 def zero_filled_counts(meta: DataFrame, rows: str, columns: str) -> DataFrame:
     """``(rows, columns, n)`` for every pair of values, 0 where there is none."""
     counted = meta.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
-    grid = meta.select(rows).distinct().crossJoin(F.broadcast(meta.select(columns).distinct()))  # species by a few reasons
-    return grid.join(counted, [rows, columns], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return every_pair(meta, rows, columns).join(counted, [rows, columns], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def sample_number_matrix(meta: DataFrame) -> DataFrame:
     flags = meta.withColumn("_k", T.is_kept(F.col("exclusion")))
     counted = flags.groupBy("scientific_name", "sample_group").agg(F.count_if("_k").alias("n"))
-    grid = meta.select("scientific_name").distinct().crossJoin(F.broadcast(meta.select("sample_group").distinct()))
-    return grid.join(counted, ["scientific_name", "sample_group"], "left").select("scientific_name", "sample_group", F.coalesce("n", F.lit(0)).alias("n_runs"), F.log2(F.coalesce("n", F.lit(0)) + 1).alias("log2_runs"))
+    return every_pair(meta, "scientific_name", "sample_group").join(counted, ["scientific_name", "sample_group"], "left").select("scientific_name", "sample_group", F.coalesce("n", F.lit(0)).alias("n_runs"), F.log2(F.coalesce("n", F.lit(0)) + 1).alias("log2_runs"))
 
 
 def layout_counts(meta: DataFrame) -> DataFrame:

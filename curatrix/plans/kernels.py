@@ -138,15 +138,23 @@ def glm_residuals(spark, d):
     return G.CountModel(B.counts(spark, d), B.runs(spark, d)).residuals()
 
 
-#: The likelihood ratio of three groups has two degrees of freedom, so its tail is an exponential.
-@query(cte("counts", "runs").replace("with ", "with recursive ", 1) + COUNT_MODEL + """, f0 as (select target_id, 0 as it, sum(y) / sum(lib) as rate from c group by 1 union all select f0.target_id, f0.it + 1, any_value(rate) * exp(greatest(-1, least(1, sum((y - rate * lib) / (1 + a * rate * lib)) / sum(rate * lib / (1 + a * rate * lib))))) from f0 join d using (target_id) join c on c.target_id = f0.target_id where it < 40 and rate > 0 group by f0.target_id, f0.it),
+TESTS_SQL = cte("counts", "runs").replace("with ", "with recursive ", 1) + COUNT_MODEL + """, f0 as (select target_id, 0 as it, sum(y) / sum(lib) as rate from c group by 1 union all select f0.target_id, f0.it + 1, any_value(rate) * exp(greatest(-1, least(1, sum((y - rate * lib) / (1 + a * rate * lib)) / sum(rate * lib / (1 + a * rate * lib))))) from f0 join d using (target_id) join c on c.target_id = f0.target_id where it < 40 and rate > 0 group by f0.target_id, f0.it),
  fit0 as (select target_id, arg_max(rate, it) as rate from f0 group by 1),
  r as (select cells.target_id, any_value(a) as a, count(distinct cells.g) as k, sum(case when y > 0 then y * ln(mu / (rate * lib)) else 0 end - case when a > 0 then (y + 1 / a) * (ln(1 + a * mu) - ln(1 + a * rate * lib)) else mu - rate * lib end) as s from cells join (select target_id, run, lib from c) using (target_id, run) join fit0 on fit0.target_id = cells.target_id group by 1)
- select target_id, case k when 3 then exp(-greatest(s, 0)) when 1 then 1.0 end as p, a as dispersion, false as failed from r""")
+ select target_id, case k when 3 then exp(-greatest(s, 0)) when 1 then 1.0 end as p, a as dispersion, false as failed from r"""
+
+
+#: The likelihood ratio of three groups has two degrees of freedom, so its tail is an exponential.
+@query(TESTS_SQL)
 def glm_tests(spark, d):
     return G.CountModel(B.counts(spark, d), B.runs(spark, d)).tests()
 
 
+@query(f"select count(*) as n_targets, count(*) filter (dispersion > 1e-6) as n_refitted, count(*) filter (failed) as n_refit_failed, count(*) filter (p is null) as n_without_p, count(*) filter (failed) > 0 as fallback_used, '' as reasons from ({TESTS_SQL})")
+def glm_diagnostics(spark, d):
+    return G.fit_diagnostics(G.CountModel(B.counts(spark, d), B.runs(spark, d)).tests())
+
+
 @query(cte("counts", "runs") + f""", g as (select target_id, sample_group, count(*) as n, sum(ln(1 + greatest(value, 0))) as s, sum(ln(1 + greatest(value, 0)) * ln(1 + greatest(value, 0))) as q from counts join runs using (run) group by all),
  t as (select target_id, sum(n) as n, sum(s * s / n) - sum(s) * sum(s) / sum(n) as between_, sum(q) - sum(s * s / n) as within_ from g group by 1), top as (select target_id from t order by {TAIL} desc, target_id limit 20),
  q as (select run, quantile_cont(value, 0.75) as q from counts group by 1), n as (select target_id, run, round(value / (q / (select avg(q) from q))) as v from counts join q using (run) where target_id in (from top)),

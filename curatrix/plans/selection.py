@@ -356,10 +356,16 @@ def busco_species(spark, d):
     return B.titles(spark, d).select("run", T.marker_species(F.concat(F.lit("run_"), F.lit("Genus_"), F.regexp_replace("title", " ", "-"), F.lit(".tsv"))).alias("species"))
 
 
-@query(cte("reads") + " select core, case when mate is null then core else core end as stem, mate from reads")
+@query(cte("reads") + """ select core, core || case ordinal % 4 when 0 then '' when 1 then '.lane' || ordinal % 7 when 2 then '_L' || mate when 3 then '_1_x' end as stem, mate from reads where mate is not null
+union all select core, case ordinal % 2 when 0 then core || '_3' else core || '_1.sra' end as stem, null as mate from reads""")
 def fastq_stem_mate(spark, d):
-    name = F.concat("core", F.coalesce(F.concat(F.lit("_"), "mate"), F.lit("")), F.lit(".fastq.gz"))
-    return B.reads(spark, d).select("core", T.read_file_stem(name).alias("stem"), T.read_file_mate(name).alias("mate"))
+    """Stems with marks of their own before the mate's, of both spellings of the ending, and names without a mate."""
+    r, k = B.reads(spark, d), F.col("ordinal") % 4
+    inside = F.when(k == 0, "").when(k == 1, F.concat(F.lit(".lane"), F.col("ordinal") % 7)).when(k == 2, F.concat(F.lit("_L"), "mate")).otherwise("_1_x")
+    ending = F.when(k < 2, ".fastq.gz").otherwise(".FQ")
+    both = r.where("mate is not null").select("core", F.concat("core", inside, F.lit("_"), "mate", ending).alias("name"))
+    lone = r.select("core", F.concat("core", F.when(F.col("ordinal") % 2 == 0, "_3.fq.gz").otherwise("_1.sra")).alias("name"))
+    return both.unionByName(lone).select("core", T.read_file_stem(F.col("name")).alias("stem"), T.read_file_mate(F.col("name")).alias("mate"))
 
 
 def _headers(spark, d):
