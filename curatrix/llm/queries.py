@@ -27,7 +27,8 @@ def op1_pack_bfd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curatrix.llm.quality_rules import quality_rules
 
-    return quality_rules(_documents(spark, sf_dir), _table(spark, sf_dir, "labels")).drop("text")
+    judged = quality_rules(_documents(spark, sf_dir), _table(spark, sf_dir, "labels")).drop("text")
+    return judged.withColumn("llr", F.round("llr", 6))
 
 
 def op3_weak_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +157,24 @@ cast(sum(n + case role when 'user' then 15 when 'assistant' then 4 when 'system'
 }
 
 ORACLES |= {
+    # 4-byte windows of the text, little-endian, by a multiplicative hash into 65,536 buckets
+    "op2_quality_llr": r"""with
+d as (select doc_id, coalesce(text, '') as t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws, hex(encode(coalesce(text, ''))) as h from documents),
+l as (select doc_id, unnest(string_split(t, chr(10))) as line from d),
+dup as (select doc_id, count(*) - count(distinct line) as n from l where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1),
+w3 as (select doc_id, unnest(range(1, len(ws) - 1)) as i, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) as g from d where len(ws) > 2),
+twice as (select doc_id, i from w3 qualify count(*) over (partition by doc_id, g) > 1),
+rep as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from twice) group by 1),
+b as (select doc_id, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words
+ from d left join dup using (doc_id) left join rep using (doc_id)),
+v as (select doc_id, list_transform(regexp_extract_all(h, '..'), lambda x: cast('0x' || x as bigint)) as bs from d),
+k as (select doc_id, cast((v::hugeint * 2654435761 % 4294967296) // 65536 as int) as k from (select doc_id, unnest(list_transform(range(1, len(bs) - 2), lambda i: bs[i] + 256 * bs[i + 1] + 65536 * bs[i + 2] + 16777216 * bs[i + 3])) as v from v)),
+r as (select k, count(*) as raw, count(*) filter (doc_id in (select doc_id from labels where quality = 1)) as target from k group by 1),
+s as (select sum(raw) as raw, sum(target) as target from r),
+m as (select k, case when s.target > 0 then ln((r.target + 0.5) / (s.target + 32768.0)) - ln((r.raw + 0.5) / (s.raw + 32768.0)) else 0 end as gain from r, s),
+a as (select doc_id, avg(gain) as llr from k join m using (k) group by 1),
+f as (select b.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, round(coalesce(llr, 0), 6) as llr from b left join a using (doc_id))
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed, llr, not base_failed and llr >= -0.5 as kept from f""",
     # CRC-32 by a table of 256 that is built by its rule; gains and draws as stated
     "op11_crc_resample": r"""with
 t as (select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as crcs from range(256) r(i)),
