@@ -451,12 +451,18 @@ def ruv_basis(residuals: DataFrame, controls: DataFrame, runs: list[str], k: int
     return v[:, w > max(1e-16, 1e-14 * w[0])]
 
 
-def ruv_correct(m: RunMatrix, basis: np.ndarray, k: int) -> DataFrame:
-    """log(x + 1) without the first k factors, back to rounded counts."""
+def ruv_correct(m: RunMatrix, basis: np.ndarray, k: int, whole: bool = True) -> DataFrame:
+    """log(x + 1) without the first k factors, back to counts, rounded and not below 0 unless ``whole`` is false."""
     if not k:
         return m.map(lambda x: x)
     h = hat(np.hstack([np.ones((m.n, 1)), basis[:, :k]])) - 1.0 / m.n
-    return m.map(lambda x: np.maximum(np.round(np.expm1((y := np.log1p(np.maximum(np.nan_to_num(x), 0))) - y @ h)), 0))
+
+    def clean(x: np.ndarray) -> np.ndarray:
+        y = np.log1p(np.maximum(np.nan_to_num(x), 0))
+        y = np.expm1(y - y @ h)
+        return np.maximum(np.round(y), 0) if whole else y
+
+    return m.map(clean)
 
 
 def factor_r2(values: np.ndarray, groups: list[str]) -> float:

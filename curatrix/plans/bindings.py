@@ -16,7 +16,7 @@ ROUNDED = {
     "tmm_apply": "value", "tmm_annotate": "tmm_factor", "cstmm": "factor", "mean_expression_before_after": "before_all after_all before_single after_single", "correlation_matrix": "r", "correlation_matrix_spearman": "r",
     "correlation_matrix_kendall": "r", "safe_pearson": "r", "correlation_statistics": "mean median variance", "group_pair_correlation_classes": "mean median variance", "loo_group_reference": "reference",
     "ws_correlation_metrics": "within max_other margin", "cs_correlation_metrics": "within max_other margin", "cross_species_group_means": "mean_value", "delta_pcc": "between_first between_last within_first within_last",
-    "ws_round_statistics": "mean variance", "robust_z": "z", "flag_margin_outliers": "z", "single_copy_mask": "percent", "busco_status_counts": "percent", "align_effective_length": "eff_length", "sample_number_matrix": "log2_runs", "log_transform": "a b c e",
+    "ws_round_statistics": "mean variance", "pca_distances": "distance", "sva_correct_given": "value", "ruv_residuals_given": "value", "robust_z": "z", "flag_margin_outliers": "z", "single_copy_mask": "percent", "busco_status_counts": "percent", "align_effective_length": "eff_length", "sample_number_matrix": "log2_runs", "log_transform": "a b c e",
     "safe_ratio_clip": "x", "run_statistics": "spot_length", "recover_run_statistics": "spot_length total_bases total_spots", "second_round_needed": "rate", "target_bp_per_run": "total_bases", "filtered_percent": "pct",
     "weighted_metric_update": "metric", "identical_mate_ratio": "ratio", "long_read_adapt": "p_mapped", "stage_totals": "total", "extraction_counts": "dumped rejected", "csfilter": "margin_uncorrected margin_corrected",
     "update_by_run": "mapping_rate", "coalesce_filter_columns": "margin", "delta_pcc_test": "t_between t_within p_between p_within", "finite_block": "r", "residualize": "value", "upper_quartile_normalize": "scale", "glm_residuals": "mu value", "glm_tests": "p dispersion", "covariate_r2": "r2", "f_test": "p", "anova_pvalue": "p",

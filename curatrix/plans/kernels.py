@@ -44,6 +44,21 @@ def pca_coordinates(spark, d):
     return X.pca_coordinates(C.correlation_matrix(B.counts(spark, d)))
 
 
+#: Every cell of the matrix, absent ones zero.
+FULL = "full_ as (select t.target_id, r.run, coalesce(cast(value as double), 0) as v from (select distinct target_id from counts) t cross join (select distinct run from counts) r left join counts using (target_id, run))"
+
+
+@query(cte("counts") + f", {FULL} select a.run as run_a, b.run as run_b, sqrt(greatest(0, 2 - 2 * corr(a.v, b.v))) as distance from full_ a join full_ b on a.target_id = b.target_id and a.run < b.run group by all")
+def pca_distances(spark, d):
+    """What coordinates on all axes must keep: the distances of standardised runs."""
+    m = X.RunMatrix(B.counts(spark, d))
+    matrix = C.correlation_matrix(m.map(np.nan_to_num))
+    xy = X.pca_coordinates(matrix, min(m.n, m.n_targets))  # there are no more axes
+    place = xy.select("run", F.array(*xy.columns[1:]).alias("x"))
+    pairs = matrix.join(place.withColumnsRenamed({"run": "run_a", "x": "a"}), "run_a").join(place.withColumnsRenamed({"run": "run_b", "x": "b"}), "run_b")
+    return pairs.select("run_a", "run_b", F.sqrt(F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)).alias("distance"))
+
+
 @query()
 def mds_coordinates(spark, d):
     return X.mds_coordinates(C.correlation_matrix(B.counts(spark, d)))
@@ -164,6 +179,31 @@ def control_genes_top_n(spark, d):
     return G.control_targets(G.anova_pvalue(c, r), G.upper_quartile_normalize(c), 20, 5)
 
 
+#: A factor of each run that is given, not estimated.
+GIVEN = "fac as (select cast(s_suppkey as varchar) as run, cast(s_acctbal as double) / 10000 as f from supplier)"
+
+
+def _given(spark, d, runs):
+    found = dict(B.table(spark, d, "supplier").select(F.col("s_suppkey").cast("string"), (F.col("s_acctbal").cast("double") / 10000)).collect())
+    return np.array([[found[r]] for r in runs])
+
+
+@query(cte("counts", "runs") + f""", {FULL}, {GIVEN}, y as (select target_id, run, f, ln(1 + greatest(v, 0)) as y, f - avg(f) over (partition by target_id, sample_group) as fg, ln(1 + greatest(v, 0)) - avg(ln(1 + greatest(v, 0))) over (partition by target_id, sample_group) as yg from full_ join runs using (run) join fac using (run)),
+ b as (select target_id, sum(fg * yg) / sum(fg * fg) as beta from y group by 1) select target_id, run, greatest(exp(y - beta * f) - 1, 0) as value from y join b using (target_id)""")
+def sva_correct_given(spark, d):
+    """The correction for a known factor: its slope beside the groups is taken away, times the factor."""
+    m, _, x = _design(spark, d)
+    return G.sva_correct(m, x, _given(spark, d, m.runs)).select("target_id", "run", "value")
+
+
+@query(cte("counts") + f""", {FULL}, {GIVEN}, y as (select target_id, run, f - avg(f) over (partition by target_id) as fg, ln(1 + v) as y from full_ join fac using (run)), b as (select target_id, sum(fg * y) / sum(fg * fg) as beta from y group by 1)
+ select target_id, run, exp(y - beta * fg) - 1 as value from y join b using (target_id)""")
+def ruv_residuals_given(spark, d):
+    """What is left of log counts beside a known factor, back on the scale of counts; ``ruv_correct`` rounds it."""
+    m = X.RunMatrix(B.counts(spark, d))
+    return G.ruv_correct(m, _given(spark, d, m.runs), 1, whole=False).select("target_id", "run", "value")
+
+
 @query()
 def ruv_correct(spark, d):
     c, r = B.counts(spark, d), B.runs(spark, d)
