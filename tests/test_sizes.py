@@ -3,6 +3,7 @@
 import numpy as np
 
 from curatrix.operators import batch as G
+from curatrix.operators import corr as C
 from curatrix.operators import matrix as X
 
 
@@ -46,3 +47,38 @@ def test_few_targets_of_many_runs_are_summed_on_their_side(spark, monkeypatch):
     monkeypatch.setattr(X, "GRAM_RUNS", 8)  # more targets and runs than that: components by passes
     passes = {(r.target_id, r.run): r.value for r in X.impute_low_rank(long(spark, holes), 2, 12).collect()}
     assert max(abs(passes[k] - v) for k, v in whole[2][0].items()) < 1e-6
+
+
+def test_pairs_of_blocks_are_those_of_sums_over_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(12, 40)), 1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    rows = lambda df: {(r.run_a, r.run_b): (r.n_pairs, r.r) for r in df.collect()}
+    monkeypatch.setattr(C, "TARGET_CHUNK", 5)  # more targets than that
+    monkeypatch.setattr(C, "SIGNED_TARGETS", 5)
+    want = rows(C.correlation_matrix(long(spark, x))), rows(C.kendall_matrix(long(spark, x)))
+    matrix = C.correlation_matrix(long(spark, x)).cache()
+    meta = spark.createDataFrame([(f"r{j:05d}", f"p{j % 3}", f"g{j % 2}") for j in range(40)], "run string, bioproject string, sample_group string")
+    assert isinstance(C.run_pairs(long(spark, x)), type(matrix))
+    monkeypatch.setattr(C, "TARGET_CHUNK", 12)
+    monkeypatch.setattr(C, "SIGNED_TARGETS", 12)
+    monkeypatch.setattr(C, "PAIR_RUNS", 7)
+    monkeypatch.setattr(C, "STRIP", 20)
+    pairs = C.run_pairs(long(spark, x))
+    assert isinstance(pairs, C.RunPairs)  # no shuffle of pairs
+    plan = pairs.table()._jdf.queryExecution().toString()
+    assert "HashAggregate" not in plan.split("FlatMapGroupsInArrow")[0]
+    for a, b in zip(want, (rows(pairs.table()), rows(C.kendall_matrix(long(spark, x))))):
+        assert a.keys() == b.keys() and all(a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-12 for k in a)
+    # coordinates without a table of pairs
+    monkeypatch.setattr(X, "GRAM_RUNS", 10)
+    far = lambda df: (lambda a: np.linalg.norm(a[:, None] - a[None], axis=2))(np.array([r[1:] for r in df.orderBy("run").collect()]))
+    for place in (X.pca_coordinates, X.mds_coordinates):
+        assert np.allclose(far(place(pairs)), far(place(matrix)), atol=1e-7)
+    # a median by counts in ever finer stretches
+    monkeypatch.setattr(C, "LOOKED_AT", 3)
+    monkeypatch.setattr(C, "BINS", 4)
+    got = {r.pair_class: r for r in C.correlation_statistics(matrix, meta).collect()}
+    for k in C.CLASSES:
+        rs = [v[1] for (a, b), v in want[0].items() if (("wi" if int(a[1:]) % 3 == int(b[1:]) % 3 else "bw") + ("wi" if int(a[1:]) % 2 == int(b[1:]) % 2 else "bw")) == k]
+        assert got[k].n == len(rs) and np.allclose([got[k]["mean"], got[k]["median"], got[k].variance], [np.mean(rs), np.median(rs), np.var(rs, ddof=1)], rtol=1e-9)
