@@ -3,7 +3,10 @@
 import inspect
 import math
 
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
@@ -135,3 +138,15 @@ def test_kernel_queries_keep_the_bounds_of_the_reference(spark, sf_dir, monkeypa
         with pytest.raises(StopIteration):
             entry.queries()[q](spark, sf_dir)
     assert seen == {"impute_low_rank": {(50, 1e-6)}, "sva_factors": {(5,)}, "latent_factors": {(200, 1e-5)}}
+
+
+def test_the_sql_of_the_filter_has_as_many_rounds_as_the_data(tmp_path):
+    """Twenty runs look like another group's, one goes per round."""
+    rng = np.random.default_rng(1)
+    base = rng.random((2, 64))
+    rows = [{"vec_id": 20 * k, "embedding": [float(v) for v in base[int(k < 20 or k >= 66)] + rng.random(64) * 0.1], "label": int(k >= 66)} for k in range(100)]
+    pq.write_table(pa.Table.from_pylist(rows), tmp_path / "embeddings.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view embeddings as from '{tmp_path}/embeddings.parquet'")
+    got = {r for r, e in db.execute(entry.oracle_sql()["wsfilter"]).fetchall() if e != "no" and e != "manual"}
+    assert got == {f"v{20 * k}" for k in range(20)}
