@@ -40,16 +40,14 @@ def write_matrix(spark, d):
     path = scratch(spark, "matrix")
     c = B.counts(spark, d)
     X.write_matrix(c, path, [r[0] for r in c.select("run").distinct().orderBy("run").collect()])
-    wide = X.read_delimited(spark, path)
-    cells = F.array(*[F.col(f"`{r}`").try_cast("double") for r in wide.columns[1:]])
-    return wide.select("target_id", F.size(F.filter(cells, lambda x: x.isNotNull())).cast("long").alias("n_runs"), F.aggregate(F.filter(cells, lambda x: x.isNotNull()), F.lit(0.0), lambda a, x: a + x).alias("total"))
+    return X.read_expression(spark, path).groupBy("target_id").agg(F.count("value").alias("n_runs"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
 
 
 @query(cte("abundance") + " select run, target_id, length, eff_length, est_counts, tpm from abundance")
 def read_abundance(spark, d):
     path = scratch(spark, "abundance")
     a = B.abundance(spark, d)
-    a.select("target_id", "length", "eff_length", "est_counts", "tpm", "run").write.partitionBy("run").csv(path, sep="\t", header=True)
+    a.select("target_id", "length", "eff_length", "est_counts", "tpm", "run").repartition("run").write.partitionBy("run").csv(path, sep="\t", header=True)
     got = X.read_abundance(spark, [f"{path}/*/*.csv"])
     return got.withColumn("run", F.regexp_replace("run", "^run=", "")).select("run", "target_id", "length", "eff_length", "est_counts", "tpm")
 
