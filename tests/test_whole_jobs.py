@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from curatrix.operators import batch, corr, expression, filters, matrix, reads
+from curatrix.operators import batch, corr, expression, filters, matrix, ortholog, reads, tmm
 from curatrix.plans import bindings as B
 
 
@@ -150,3 +151,33 @@ def test_the_sql_of_the_filter_has_as_many_rounds_as_the_data(tmp_path):
     db.execute(f"create view embeddings as from '{tmp_path}/embeddings.parquet'")
     got = {r for r, e in db.execute(entry.oracle_sql()["wsfilter"]).fetchall() if e != "no" and e != "manual"}
     assert got == {f"v{20 * k}" for k in range(20)}
+
+
+@pytest.mark.parametrize("seed, zeros", [(1, 0.0), (2, 0.2), (3, 0.97)])
+def test_factors_across_species_without_a_cell_for_each_missing_one(spark, monkeypatch, seed, zeros):
+    rng = np.random.default_rng(seed)
+    ortho, cells = [], []
+    for b in range(70):
+        for s in range(3):
+            kind = rng.random()
+            if kind > 0.1 or s == 0:  # else the species lacks the group
+                ortho.append((f"o{b}", s, "-" if kind > 0.9 else f"g{b},h{b}" if kind > 0.8 else f"g{b}"))
+    for s in range(3):
+        for k in range(5):
+            cells += [(s, f"g{b}", f"s{s}r{k}", 0.0 if rng.random() < zeros else float(rng.integers(1, 60))) for b in range(70) if rng.random() < 0.5]
+            # libraries are powers of two, so that equal ratios are equal after division too
+            cells.append((s, "other", f"s{s}r{k}", 2.0 ** (12 + k % 3) - sum(v for *_, run, v in cells if run == f"s{s}r{k}")))
+    cells += [(1, "other", "s1r9", 64.0), (2, "g1", "s2r9", 0.0)]  # without orthologs; without counts
+    ortho = spark.createDataFrame(ortho, "busco_id string, species int, sequence string")
+    expr = spark.createDataFrame(cells, "species int, target_id string, run string, value double")
+    libraries = tmm.library_sizes(expr).where("library_size > 0")
+    dense = ortholog.ortholog_expression(ortho, expr).join(libraries.select("run"), "run", "left_semi").select(F.col("busco_id").alias("target_id"), "run", "value")
+    want = {r.run: r.factor for r in tmm.tmm_normalize(expression.impute_row_mean(dense), libraries).collect()}
+
+    def never(*_):
+        raise AssertionError("makes missing cells")
+
+    monkeypatch.setattr(ortholog, "ortholog_expression", never)
+    monkeypatch.setattr(expression, "impute_row_mean", never)
+    got = {r.run: r.factor for r in tmm.cstmm(ortholog.single_gene(ortho), expr).collect()}
+    assert len(got) == 16 and got == pytest.approx(want, rel=1e-9)
