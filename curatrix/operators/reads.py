@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from curatrix.functions import text as T
 from curatrix.operators.metadata import raise_if
@@ -78,27 +83,52 @@ def target_bp_per_run(meta: DataFrame, max_bp: float) -> DataFrame:
     return out.select("n_runs", "total_bases", each.alias("bp_per_run"))
 
 
-def second_round_ranges(runs: DataFrame, job: str | None = None) -> DataFrame:
+def second_round_ranges(runs: DataFrame, job: str | None = None, order: list[str] | None = None) -> DataFrame:
     """Reads that each run still gives. Runs short of their own target leave a shortfall in base pairs, which others of
     the job take over in row order while they have spots; a running sum finds the run that takes the last part.
 
     ``runs``: pos, spot_length, total_spots, used_spots, target_bp, rate (share of base pairs that pass). All runs are
-    one job unless a column names it. Rows are sorted into ranges and written; sums run inside a range of a job, and the
-    totals of the ranges before are added, so a large job is no single task.
+    one job unless a column names it. With ``order``, rows go by these columns and ``pos`` is their number in the job. Rows are shuffled
+    once, into sorted ranges; sums run along a range as it is written, and the totals of the ranges before are
+    added, so a large job is no single task.
     """
     need = F.ceil(F.col("target_bp") / F.col("spot_length") / F.col("rate")).cast("long")
     free = F.greatest(F.col("total_spots") - F.col("used_spots"), F.lit(0))
     rows = runs.withColumns({"_need": need, "_free": free, "_job": F.col(job) if job else F.lit(0)}).withColumn("_own", F.least("_need", "_free"))
-    rows = rows.withColumns({"_short": (F.col("_need") - F.col("_own")) * F.col("spot_length"), "_cap": (F.col("_free") - F.col("_own")) * F.col("spot_length")})
-    rows = checkpointed(rows.orderBy("_job", "pos").withColumn("_part", F.spark_partition_id()), "ranges")
-    parts = rows.groupBy("_job", "_part").agg(F.sum("_short").alias("_short"), F.sum("_cap").alias("_cap"))
-    earlier = F.sum("_cap").over(Window.partitionBy("_job").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = parts.select(F.col("_job").alias("_j"), F.col("_part").alias("_p"), F.coalesce(earlier, F.lit(0.0)).alias("_earlier"), F.sum("_short").over(Window.partitionBy("_job")).alias("_all"))
-    inside = F.coalesce(F.sum("_cap").over(Window.partitionBy("_job", "_part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rows = rows.withColumn("_inside", inside).join(parts, F.col("_job").eqNullSafe(F.col("_j")) & (F.col("_part") == F.col("_p")))
+    rows = rows.withColumns({"_short": ((F.col("_need") - F.col("_own")) * F.col("spot_length")).cast("double"), "_cap": ((F.col("_free") - F.col("_own")) * F.col("spot_length")).cast("double")}).drop("_need")
+    rows = rows.orderBy("_job", *(order or ["pos"])).withColumn("_part", F.spark_partition_id())
+    names = rows.columns
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n, total = (), 0, 0.0  # of the job that a batch ends in
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of = batch.column(names.index("_job")).dictionary_encode("encode")
+            code = np.asarray(of.indices)
+            starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            cap = np.nan_to_num(batch.column(names.index("_cap")).to_numpy(zero_copy_only=False))
+            number, inside = np.empty(len(code), np.int64), np.empty(len(code))
+            for first, end in zip(starts, np.append(starts[1:], len(code))):
+                value = (of.dictionary[int(code[first])].as_py(),)
+                if value != last:
+                    last, n, total = value, 0, 0.0
+                sums = total + np.cumsum(cap[first:end])
+                number[first:end], inside[first], inside[first + 1 : end] = n + np.arange(end - first), total, sums[:-1]
+                n, total = n + int(end - first), float(sums[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number), pa.array(inside)], [*names, "_number", "_inside"])
+
+    schema = StructType([*rows.schema.fields, StructField("_number", LongType()), StructField("_inside", DoubleType())])
+    rows = checkpointed(rows.mapInArrow(along, schema), "ranges")
+    parts = rows.groupBy("_job", "_part").agg(F.count(F.lit(1)).alias("_n"), F.sum("_short").alias("_short"), F.sum("_cap").alias("_cap"))
+    before = lambda c: F.sum(c).over(Window.partitionBy("_job").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(F.col("_job").alias("_j"), F.col("_part").alias("_p"), F.coalesce(before("_n"), F.lit(0)).alias("_first"), F.coalesce(before("_cap"), F.lit(0.0)).alias("_earlier"), F.sum("_short").over(Window.partitionBy("_job")).alias("_all"))
+    rows = rows.join(parts, F.col("_job").eqNullSafe(F.col("_j")) & (F.col("_part") == F.col("_p")))
+    if order:
+        rows = rows.withColumn("pos", (F.col("_first") + F.col("_number") + 1).cast("int"))
     rest = F.col("_all") - F.col("_earlier") - F.col("_inside")
     extra = F.when(rest <= 0, 0).when(rest >= F.col("_cap"), F.col("_free") - F.col("_own")).otherwise(F.ceil(rest / F.col("spot_length"))).cast("long")
-    return rows.withColumn("reads", F.col("_own") + extra).drop("_need", "_free", "_own", "_short", "_cap", "_all", "_job", "_part", "_j", "_p", "_earlier", "_inside")
+    return rows.withColumn("reads", F.col("_own") + extra).drop("_free", "_own", "_short", "_cap", "_all", "_job", "_part", "_j", "_p", "_earlier", "_inside", "_number", "_first")
 
 
 def unique_run_ids(files: DataFrame) -> DataFrame:

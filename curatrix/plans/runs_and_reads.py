@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from curatrix.operators import quality as Q
 from curatrix.operators import reads as R
-from curatrix.operators.metadata import numbered
 from curatrix.plans import bindings as B
 from curatrix.plans.bindings import cte, query
 
@@ -71,10 +70,7 @@ e as (select *, sum(short) over (partition by l_suppkey) - coalesce(sum(cap) ove
 select l_suppkey, pos, own + cast(case when rest <= 0 then 0 when rest >= cap then free - own else ceil(rest / len) end as bigint) as reads from e""")
 def second_round_ranges(spark, d):
     """Each supplier is a job."""
-    x = numbered(_lines(spark, d), ["l_suppkey", "p0", "l_partkey", "total_spots"], "n")
-    first = x.groupBy("l_suppkey").agg(F.min("n").alias("first"))
-    x = x.join(first, "l_suppkey").withColumn("pos", F.col("n") - F.col("first") + 1)
-    return R.second_round_ranges(x, "l_suppkey").select("l_suppkey", "pos", "reads")
+    return R.second_round_ranges(_lines(spark, d), "l_suppkey", ["p0", "l_partkey", "total_spots"]).select("l_suppkey", "pos", "reads")
 
 
 def _lines(spark, d):

@@ -181,3 +181,22 @@ def test_factors_across_species_without_a_cell_for_each_missing_one(spark, monke
     monkeypatch.setattr(expression, "impute_row_mean", never)
     got = {r.run: r.factor for r in tmm.cstmm(ortholog.single_gene(ortho), expr).collect()}
     assert len(got) == 16 and got == pytest.approx(want, rel=1e-9)
+
+
+def test_second_round_sorts_rows_once_and_numbers_them(spark):
+    schema = "job string, at int, spot_length double, total_spots long, used_spots long, target_bp double, rate double"
+    rng = np.random.default_rng(4)
+    rows = [(j, int(k) * 3, 50.0 + 10 * int(rng.integers(1, 7)), int(rng.integers(10, 90)), int(rng.integers(0, 40)), float(rng.integers(1, 50)) * 100, 1 - int(rng.integers(0, 10)) / 100) for j in ("a", "b", None) for k in rng.permutation(40)]
+    df = spark.createDataFrame(rows, schema)
+    want = {}
+    for j in ("a", "b", None):
+        numbered = [(j, k + 1, *r[2:]) for k, r in enumerate(sorted(r for r in rows if r[0] == j))] if j else [(j, k + 1, *r[2:]) for k, r in enumerate(sorted((r for r in rows if r[0] is None), key=lambda r: r[1]))]
+        want |= {(r.job, r.pos): r.reads for r in reads.second_round_ranges(spark.createDataFrame(numbered, schema.replace("at", "pos", 1)), "job").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = reads.second_round_ranges(df, "job", ["at"])
+        got = {(r.job, r.pos): r.reads for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == want and len(got) == 120
+
