@@ -200,3 +200,14 @@ def test_second_round_sorts_rows_once_and_numbers_them(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == want and len(got) == 120
 
+
+
+def test_tasks_that_group_lines_grow_in_number_not_in_size(spark, sf_dir, monkeypatch):
+    want = sorted(entry.queries()["target_consistency"](spark, sf_dir).collect())
+    monkeypatch.setattr(B, "LINES_A_TASK", 300)
+    tasks = -(-B.table(spark, sf_dir, "lineitem").count() // 300)
+    assert tasks > 15 and B.gene_expr(spark, sf_dir).rdd.getNumPartitions() == tasks
+    seen = []
+    real = expression.target_consistency
+    monkeypatch.setattr(expression, "target_consistency", lambda df, keys, n: seen.append(n) or real(df, keys, n))
+    assert sorted(entry.queries()["target_consistency"](spark, sf_dir).collect()) == want and seen == [tasks]
