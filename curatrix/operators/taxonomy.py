@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.session import checkpointed, forget
+from curatrix.session import checkpointed, forget, scratch
 
 # The standard ranks.
 RANKS = ("domain", "kingdom", "phylum", "class", "order", "family", "genus", "species")
@@ -28,17 +28,24 @@ def resolve_merged(ids: DataFrame, merged: DataFrame, hops: int = MERGE_HOPS) ->
 
 
 def lineage(ids: DataFrame, nodes: DataFrame, merged: DataFrame) -> DataFrame:
-    """``(taxid, ancestor, rank, depth)`` from each id (depth 0) up to the root."""
+    """``(taxid, ancestor, rank, depth)`` from each id (depth 0) up to the root; a chain that goes on after MAX_DEPTH steps raises.
+
+    A step up is a written table: a recursive query holds one million rows at most, however many ids there are.
+    """
     spark = ids.sparkSession
-    resolve_merged(ids, merged).createOrReplaceTempView("_start")
-    nodes.createOrReplaceTempView("_nodes")
-    return spark.sql(f"""
-        with recursive up(taxid, ancestor, depth) max recursion level {MAX_DEPTH} as (
-            select taxid, current, 0 from _start
-            union all
-            select up.taxid, n.parent_taxid, up.depth + 1 from up join _nodes n on n.taxid = up.ancestor where n.parent_taxid <> n.taxid
-        )
-        select up.taxid, up.ancestor, n.rank, up.depth from up join _nodes n on n.taxid = up.ancestor""")
+    parent = nodes.select(F.col("taxid").alias("ancestor"), F.col("parent_taxid").alias("up"))
+    ranks = nodes.select(F.col("taxid").alias("ancestor"), "rank")
+    folder, at = scratch(spark, "lineage"), resolve_merged(ids, merged).select("taxid", F.col("current").alias("ancestor"))
+    schema = at.schema.add("rank", ranks.schema["rank"].dataType)
+    for depth in range(MAX_DEPTH + 1):
+        level = at.join(parent, "ancestor").where(F.col("up") != F.col("ancestor")).select("taxid", F.col("up").cast(at.schema["ancestor"].dataType).alias("ancestor"))
+        at.join(ranks, "ancestor").select("taxid", "ancestor", "rank").write.parquet(f"{folder}/depth={depth}")
+        before, at = at, checkpointed(level, "one-up")
+        forget(before)
+        if at.isEmpty():
+            forget(at)
+            return spark.read.schema(schema.add("depth", "integer")).option("basePath", folder).parquet(folder)
+    raise RuntimeError(f"lineages go on after {MAX_DEPTH} steps")
 
 
 def rank_columns(lineages: DataFrame, ranks: tuple[str, ...] = RANKS) -> DataFrame:
