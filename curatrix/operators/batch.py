@@ -7,19 +7,27 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Callable
 from itertools import accumulate
+from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators.matrix import GRAM_RUNS, RunMatrix, signed, top_eigen
+from curatrix.operators.metadata import numbered
+from curatrix.operators.spline import evaluate, smoothing_spline
 from curatrix.operators.tmm import library_sizes, upper_quartile_factor
+from curatrix.session import checkpointed, forget
 
 # Fixed values of the methods.
 SV_LEVEL, ENERGY, LEADING = 0.10, 0.60, 0.10
 DISPERSED, NOISE, LEAST_ROWS = 1e-6, 1e-6, 10
+#: p of which the null has a known share, distance of p from 0 and 1, factor on n^-1/5, points of a density and of a search for turns.
+HIGH_P, LFDR_EPS, SCOTT, LEAST_GRID, MOST_GRID, TURNS = 0.8, 1e-8, 1.5, 512, 4096, 1 << 16
 #: Most runs of which the eigenvalue estimate takes a gram matrix, of 72 MB then; of more runs few targets are needed.
 GRAM_SIDE = 3_000
 
@@ -273,46 +281,141 @@ def num_sv(m: RunMatrix, design: np.ndarray, b: int = 20) -> tuple[int | None, s
     return (num_sv_leek(m, design), "leek") if m.n_targets >= LEAST_ROWS else (None, "failed")
 
 
-Z_EDGES = np.linspace(-8, 8, 321)
-Z_MID = (Z_EDGES[:-1] + Z_EDGES[1:]) / 2
-_PHI = np.array([0.5 * math.erfc(-z / 2**0.5) for z in Z_EDGES])
+def probit(p: np.ndarray) -> np.ndarray:
+    """Normal quantiles of p, which is held LFDR_EPS away from 0 and 1."""
+    normal = NormalDist()
+    return np.array([normal.inv_cdf(v) for v in np.clip(p, LFDR_EPS, 1 - LFDR_EPS).tolist()])
 
 
-def probit(p: np.ndarray) -> np.ndarray:
-    """Normal quantiles, by interpolation of the distribution function; -8 to 8."""
-    return np.interp(p, _PHI, Z_EDGES)
-
-
-def fdr_on_grid(counts: np.ndarray, p_high: float) -> np.ndarray:
-    """Local false discovery rate at ``Z_MID`` from counts of probits; ``p_high`` is the share of p >= 0.8."""
-    total = counts.sum()
-    if not total:
-        return np.ones(len(Z_MID))
-    width = Z_EDGES[1] - Z_EDGES[0]
-    spread = np.sqrt(np.cov(Z_MID, fweights=counts.astype(int))) if total > 1 else 1.0
-    band = max(0.1, 0.9 * spread * total**-0.2)
-    kernel = np.exp(-0.5 * ((Z_MID[:, None] - Z_MID[None, :]) / band) ** 2)
-    density = kernel @ counts / (kernel.sum(0).mean() * width * total)
-    null = np.exp(-0.5 * Z_MID**2) / math.sqrt(2 * math.pi)
-    rate = np.minimum(min(1.0, p_high / 0.2) * null / np.maximum(density, 1e-12), 1.0)
-    rate = np.where(Z_MID < 0, rate, np.maximum(rate, rate[Z_MID < 0][-1]))
-    return np.maximum.accumulate(np.where((density < 1e-9) & (Z_MID < 0), 0.0, rate))
+class FdrCurve:
+    """Local false discovery rate as a function of probits: null share from p >= 0.8, a kernel density with 1.5 times Scott's
+    bandwidth on an even grid, a smoothing spline through it, at most 1, and nowhere less than at a smaller probit.
+
+    The running maximum is over the probits that there are. Where the rate rises it is the rate itself, or what came before; where
+    it falls it is what the first probit there has: so a few stretches of the curve, with the largest rate of the probits in
+    each, are enough, and no probits are sorted.
+    """
+
+    def __init__(self, n: int, n_high: int, low: float, high: float, density: Callable[[np.ndarray], np.ndarray], most: Callable[[Callable], np.ndarray]):
+        """``density`` of the probits at points, and ``most``: the largest value in each stretch, for a function that gives the
+        stretch and the value of each probit."""
+        self.null = min(1.0, n_high / n / (1 - HIGH_P)) if n else 1.0
+        self.spline = None
+        if n < 2:
+            return
+        grid = np.linspace(low, high, min(MOST_GRID, max(LEAST_GRID, n)))
+        self.spline = smoothing_spline(grid, density(grid), float(len(grid)))
+        fine = np.linspace(low, high, TURNS)
+        rising = np.diff(self.raw(fine)) >= 0
+        turns = np.flatnonzero(rising[1:] != rising[:-1]) + 1
+        self.ends, self.rising = fine[turns], rising[np.append(0, turns)]
+        self.before = np.maximum.accumulate(most(lambda x: (self.stretch(x), self.raw(x))))
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.minimum(1.0, self.null * np.exp(-0.5 * x**2) / math.sqrt(2 * math.pi) / np.maximum(evaluate(self.spline, x), LFDR_EPS))
+
+    def stretch(self, x: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, x, "right")
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        if self.spline is None:
+            return np.full(len(x), self.null)
+        k = self.stretch(x)
+        earlier = np.where(k > 0, self.before[k - 1], -np.inf)
+        return np.where(self.rising[k], np.maximum(earlier, self.raw(x)), self.before[k])
+
+
+def _kernel_sum(grid: np.ndarray, x: np.ndarray, width: float) -> np.ndarray:
+    """Sum over ``x`` of normal densities of a width, at each point of the grid."""
+    out = np.zeros(len(grid))
+    for k in range(0, len(x), 256):
+        out += np.exp(-0.5 * ((grid[:, None] - x[None, k : k + 256]) / width) ** 2).sum(1)
+    return out / (width * math.sqrt(2 * math.pi))
+
+
+def _alike(low: float, high: float, first: float) -> bool:
+    return max(first - low, high - first) <= 1e-8 + 1e-5 * abs(first)
 
 
 def local_fdr(p: np.ndarray) -> np.ndarray:
-    """Posterior of the null for each p: null share from p >= 0.8, a kernel density of probits, monotone in p."""
-    grid = fdr_on_grid(np.histogram(np.clip(probit(p), -7.99, 7.99), bins=Z_EDGES)[0].astype(float), float((p >= 0.8).mean()))
-    return np.interp(probit(p), Z_MID, grid)
+    """Posterior of the null for each p, as ``FdrCurve`` has it; equal probits are drawn apart by LFDR_EPS."""
+    if not len(p):
+        return np.zeros(0)
+    x = probit(p)
+    if len(x) > 1 and _alike(x.min(), x.max(), x[0]):
+        x = x + np.linspace(-LFDR_EPS, LFDR_EPS, len(x))
+    width = SCOTT * len(x) ** -0.2 * x.std(ddof=1) if len(x) > 1 else 1.0
+
+    def most(of: Callable) -> np.ndarray:
+        k, v = of(x)
+        return np.array([v[k == j].max(initial=-np.inf) for j in range(k.max() + 1)])
+
+    return FdrCurve(len(x), int((p >= HIGH_P).sum()), x.min(), x.max(), lambda grid: _kernel_sum(grid, x, width) / len(x), most)(x)
+
+
+class Posterior:
+    """p and local false discovery rate of every target for nested designs, by passes over a written table of p: targets are
+    neither collected nor put in bins."""
+
+    def __init__(self, m: RunMatrix, full: np.ndarray, null: np.ndarray):
+        table = checkpointed(f_test(m, full, null), "target-p")
+        n, first = table.count(), table.orderBy("target_id").first()
+
+        def frames(f: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> list[np.ndarray]:
+            """What ``f`` makes of p and probit in each task, a row of numbers."""
+            def run(batches):
+                for pdf in batches:
+                    yield pd.DataFrame({"s": [np.ascontiguousarray(f(pdf["p"].to_numpy(float), _drawn(pdf)), float).tobytes()]})
+
+            return [np.frombuffer(r["s"]) for r in self.table.mapInPandas(run, "s binary").toLocalIterator()]
+
+        self.table = table.withColumn("apart", F.lit(0.0))
+        shape = np.stack(frames(lambda p, x: np.array([(p >= HIGH_P).sum(), x.sum(), x.min(), x.max()]))) if n else np.array([[0.0, 0.0, 0.0, 0.0]])
+        if n > 1 and _alike(shape[:, 2].min(), shape[:, 3].max(), probit(np.array([first["p"]]))[0]):
+            step = 2 * LFDR_EPS / (n - 1)
+            self.table = checkpointed(numbered(table, ["target_id"], "k").select("target_id", "p", ((F.col("k") - 1) * step - LFDR_EPS).alias("apart")), "target-p")
+            forget(table)
+            shape = np.stack(frames(lambda p, x: np.array([(p >= HIGH_P).sum(), x.sum(), x.min(), x.max()])))
+        mean = shape[:, 1].sum() / max(n, 1)
+        spread = math.sqrt(sum(s[0] for s in frames(lambda p, x: np.array([((x - mean) ** 2).sum()]))) / (n - 1)) if n > 1 else 1.0
+        width = SCOTT * max(n, 1) ** -0.2 * spread
+
+        def density(grid: np.ndarray) -> np.ndarray:
+            return sum(frames(lambda p, x: _kernel_sum(grid, x, width))) / n
+
+        def most(of: Callable) -> np.ndarray:
+            def tops(p: np.ndarray, x: np.ndarray) -> np.ndarray:
+                k, v = of(x)
+                out = np.full(k.max() + 1, -np.inf)
+                np.maximum.at(out, k, v)
+                return out
+
+            found = frames(tops)
+            size = max(len(t) for t in found)
+            return np.max([np.append(t, np.full(size - len(t), -np.inf)) for t in found], axis=0)
+
+        self.curve = FdrCurve(n, int(shape[:, 0].sum()), shape[:, 2].min(), shape[:, 3].max(), density, most)
+
+    def rates(self) -> DataFrame:
+        """``p, lfdr`` of each target."""
+        curve = self.curve
+
+        def run(batches):
+            for pdf in batches:
+                yield pd.DataFrame({"p": pdf["p"], "lfdr": curve(_drawn(pdf))})
+
+        return self.table.mapInPandas(run, "p double, lfdr double")
+
 
+def _drawn(pdf: pd.DataFrame) -> np.ndarray:
+    return probit(pdf["p"].to_numpy(float)) + pdf["apart"].to_numpy(float)
 
-def _posterior(m: RunMatrix, full: np.ndarray, null: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Grid of p and the local false discovery rate on it; targets are counted into bins, not collected."""
-    def count(x: np.ndarray) -> np.ndarray:
-        p = _f_block(np.nan_to_num(x), full, null)
-        return np.append(np.histogram(np.clip(probit(p), -7.99, 7.99), bins=Z_EDGES)[0], (p >= 0.8).sum())[None, :].astype(float)
 
-    counts = m.sums(count)[0]
-    return np.interp(Z_MID, Z_EDGES, _PHI), fdr_on_grid(counts[:-1], counts[-1] / max(1.0, counts[:-1].sum()))
+def _posterior(m: RunMatrix, full: np.ndarray, null: np.ndarray) -> FdrCurve:
+    """The local false discovery rate as a function of probits; the table of p goes."""
+    found = Posterior(m, full, null)
+    forget(found.table)
+    return found.curve
 
 
 def sva_factors(m: RunMatrix, design: np.ndarray, n_sv: int, rounds: int = 5) -> np.ndarray:
@@ -322,12 +425,11 @@ def sva_factors(m: RunMatrix, design: np.ndarray, n_sv: int, rounds: int = 5) ->
     sv = m.leading(lambda x: left_over(np.nan_to_num(x), q), n_sv)[1]
     for _ in range(rounds):
         both, only = np.hstack([design, sv]), np.hstack([one, sv])
-        gb, lb = _posterior(m, both, design)
-        gg, lg = _posterior(m, both, only)
+        of_sv, of_groups = _posterior(m, both, design), _posterior(m, both, only)
 
         def weighted(x: np.ndarray) -> np.ndarray:
             x = np.nan_to_num(x)
-            w = (1 - np.interp(_f_block(x, both, design), gb, lb)) * np.interp(_f_block(x, both, only), gg, lg)
+            w = (1 - of_sv(probit(_f_block(x, both, design)))) * of_groups(probit(_f_block(x, both, only)))
             return (x - x.mean(1, keepdims=True)) * w[:, None]
 
         sv = m.leading(weighted, n_sv, sv)[1]

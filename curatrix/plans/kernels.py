@@ -111,8 +111,7 @@ def num_sv_leek(spark, d):
 @query()
 def local_fdr(spark, d):
     m, _, x = _design(spark, d)
-    mid, lfdr = G._posterior(m, x, np.ones((m.n, 1)))
-    return spark.createDataFrame(list(zip(mid.tolist(), lfdr.tolist())), "p double, lfdr double")
+    return G.Posterior(m, x, np.ones((m.n, 1))).rates()
 
 
 @query()
