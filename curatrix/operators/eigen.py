@@ -8,6 +8,8 @@ import numpy as np
 
 #: Columns beside the wanted ones in a block, columns of a basis before it is started anew, and blocks at most.
 SPARE, MOST_BASIS, MOST_BLOCKS = 4, 96, 400
+#: Bytes of a basis and its image, unless four blocks take more.
+BASIS_BYTES = 256 << 20
 
 
 def _orthonormal(block: np.ndarray, against: np.ndarray) -> np.ndarray:
@@ -38,7 +40,7 @@ def leading(times: Callable[[np.ndarray], np.ndarray], n: int, k: int, start: np
         first = np.hstack([start, first])[:, : max(wide, start.shape[1])]
     block = _orthonormal(first, np.zeros((n, 0)))
     basis, image = np.zeros((n, 0)), np.zeros((n, 0))
-    most = max(MOST_BASIS, 4 * wide)
+    most = max(min(MOST_BASIS, BASIS_BYTES // (16 * n)), 4 * wide)
     for _ in range(MOST_BLOCKS):
         basis, image = np.hstack([basis, block]), np.hstack([image, times(block)])
         t = basis.T @ image
